@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,3 +18,8 @@ def check(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return query
 
     return register
+
+
+def filled(number: Column) -> Column:
+    """A number that may be null as a long, -1 for null."""
+    return F.coalesce(number.cast("long"), F.lit(-1).cast("long"))

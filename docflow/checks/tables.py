@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from docflow.checks import inputs as I, sql as S
-from docflow.checks.registry import check
+from docflow.checks.registry import check, filled
 from docflow.functions import files as ff
 from docflow.operators import lookups as lk, records as rc
 from docflow.operators.changes import changed_rows, latest_per_key
@@ -19,7 +19,6 @@ EV = f"WITH {I.EVENTS}"
 LI = f"WITH {I.LISTED}"
 DOC = f"WITH {I.DOCUMENTS}"
 LISTED = 'id, name, mimeType, createdTime, modifiedTime, size, webViewLink, webContentLink, parents'
-NO_LAST = "NOT (modifiedTime IS NULL)"
 
 
 def pages(spark, sf, emptied=False):
@@ -55,7 +54,7 @@ def a3(spark, sf):
 @check(
     "a4_file_bytes",
     f"""{EV}, ids AS (SELECT DISTINCT id FROM ev), held AS (SELECT CAST(page_id * 2 AS VARCHAR) AS id, html || chr(10) AS t FROM pages)
-    SELECT id, t IS NOT NULL AS found, octet_length(encode(t)) AS bytes, md5(t) AS digest
+    SELECT id, t IS NOT NULL AS found, coalesce(octet_length(encode(t)), -1) AS bytes, md5(t) AS digest
     FROM ids LEFT JOIN held USING (id)""",
 )
 def a4(spark, sf):
@@ -63,7 +62,7 @@ def a4(spark, sf):
     ids = I.events(spark, sf).select("id").distinct()
     rows = lk.bytes_lookup(ids, landed)
     return rows.select(
-        "id", "found", F.octet_length("content").cast("long").alias("bytes"), F.md5("content").alias("digest")
+        "id", "found", filled(F.octet_length("content")).alias("bytes"), F.md5("content").alias("digest")
     )
 
 
@@ -101,13 +100,14 @@ def b1(spark, sf):
 
 @check(
     "b2_value_serialisation",
-    f"""{EV} SELECT id AS key, "offset", id, name, mimeType, createdTime, modifiedTime, try_cast(size AS BIGINT) AS size FROM ev""",
+    f"""{EV} SELECT id AS key, "offset", id, name, mimeType, createdTime, modifiedTime, coalesce(try_cast(size AS BIGINT), -1) AS size FROM ev""",
 )
 def b2(spark, sf):
     written = rc.to_json_messages(I.file_messages(spark, sf))
     rows = rc.from_json_messages(written, FILE_RECORD)
-    names = ["id", "name", "mimeType", "createdTime", "modifiedTime", "size"]
-    return rows.select("key", "offset", *[F.col(f"value.{n}") for n in names])
+    names = ["id", "name", "mimeType", "createdTime", "modifiedTime"]
+    size = filled(F.col("value.size")).alias("size")
+    return rows.select("key", "offset", *[F.col(f"value.{n}") for n in names], size)
 
 
 @check("b3_retry_without_doubles", f"""{EV} SELECT "offset", count(*) AS times FROM ev GROUP BY "offset" """)
@@ -181,12 +181,12 @@ def b6(spark, sf):
 @check(
     "c1_normalise_file",
     f"""{LI} SELECT "offset", coalesce(id, '') AS id, coalesce(name, '') AS name, mimeType, createdTime, modifiedTime,
-      try_cast(size AS BIGINT) AS size, webViewLink, webContentLink, coalesce(parents, '') AS parents, 0 AS owners,
+      coalesce(try_cast(size AS BIGINT), -1) AS size, webViewLink, webContentLink, coalesce(parents, '') AS parents, 0 AS owners,
       size IS DISTINCT FROM 'abc' AS valid FROM li""",
 )
 def c1(spark, sf):
     rows = rc.file_records(I.listed(spark, sf), ["offset"])
-    files = rows.select("offset", "valid", "value.*")
+    files = rows.select("offset", "valid", "value.*").withColumn("size", filled(F.col("size")))
     return flat(files, "offset", "valid", F.size("owners").alias("owners"))
 
 
@@ -280,13 +280,13 @@ HELD = "held AS (SELECT CAST(page_id * 2 AS VARCHAR) AS id, octet_length(encode(
 
 @check(
     "e2_bytes_lookup",
-    f"""{EV}, {HELD} SELECT "offset", id, bytes, CASE WHEN bytes IS NULL THEN 'failed' ELSE 'found' END AS status
+    f"""{EV}, {HELD} SELECT "offset", id, coalesce(bytes, -1) AS bytes, CASE WHEN bytes IS NULL THEN 'failed' ELSE 'found' END AS status
     FROM ev LEFT JOIN held USING (id)""",
 )
 def e2(spark, sf):
     rows = lk.bytes_lookup(I.events(spark, sf), I.file_bytes(spark, sf))
     status = F.when(F.col("found"), "found").otherwise("failed")
-    return rows.select("offset", "id", F.octet_length("content").cast("long").alias("bytes"), status.alias("status"))
+    return rows.select("offset", "id", filled(F.octet_length("content")).alias("bytes"), status.alias("status"))
 
 
 @check("e3_exists_by_path", f"{DOC}, {I.WANTED} SELECT path FROM wanted WHERE path IN (SELECT path FROM doc)")
@@ -434,10 +434,10 @@ def j9(spark, sf):
     return I.events(spark, sf).select("offset", iso.alias("is_iso"))
 
 
-@check("j10_size_to_long", f"""{EV} SELECT "offset", try_cast(size AS BIGINT) AS size, coalesce(size = 'abc', false) AS bad FROM ev""")
+@check("j10_size_to_long", f"""{EV} SELECT "offset", coalesce(try_cast(size AS BIGINT), -1) AS size, coalesce(size = 'abc', false) AS bad FROM ev""")
 def j10(spark, sf):
     return I.events(spark, sf).select(
-        "offset", ff.size_to_long(F.col("size")).alias("size"), ff.size_is_bad(F.col("size")).alias("bad")
+        "offset", filled(ff.size_to_long(F.col("size"))).alias("size"), ff.size_is_bad(F.col("size")).alias("bad")
     )
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from docflow.checks import inputs as I, sql as S
-from docflow.checks.registry import check
+from docflow.checks.registry import check, filled
 from docflow.functions import files as ff, text as ft
 from docflow.operators.chunking import chunk_documents, chunk_statistics
 from docflow.operators.records import chunk_record
@@ -62,21 +62,21 @@ def d5(spark, sf):
 @check(
     "j3_sentence_boundary",
     rf"""{DOC} SELECT id, CASE WHEN length(regexp_extract(right(text, 100), '(?s)^(.*[.!?\n])', 1)) > 0 THEN
-      length(text) - least(length(text), 100) + length(regexp_extract(right(text, 100), '(?s)^(.*[.!?\n])', 1)) END AS cut
+      length(text) - least(length(text), 100) + length(regexp_extract(right(text, 100), '(?s)^(.*[.!?\n])', 1)) ELSE -1 END AS cut
     FROM doc""",
 )
 def j3(spark, sf):
-    return I.documents(spark, sf).select("id", ft.sentence_cut(F.col("text")).cast("long").alias("cut"))
+    return I.documents(spark, sf).select("id", filled(ft.sentence_cut(F.col("text"))).alias("cut"))
 
 
 @check(
     "j4_word_boundary",
-    f"""{DOC} SELECT id, CASE WHEN instr(right(text, 50), ' ') > 0 AND kept > 0 THEN kept END AS cut FROM (
+    f"""{DOC} SELECT id, CASE WHEN instr(right(text, 50), ' ') > 0 AND kept > 0 THEN kept ELSE -1 END AS cut FROM (
       SELECT *, length(text) - least(length(text), 50) + length(regexp_extract(right(text, 50), '(?s)^(.*) ', 1)) AS kept
       FROM doc)""",
 )
 def j4(spark, sf):
-    return I.documents(spark, sf).select("id", ft.word_cut(F.col("text")).cast("long").alias("cut"))
+    return I.documents(spark, sf).select("id", filled(ft.word_cut(F.col("text"))).alias("cut"))
 
 
 @check(

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docflow.functions.files import path_stem
 
+FILE = "path string, modificationTime timestamp, length long, content binary"
+
 
 def file_id(path: Column) -> Column:
     """Id of a landed file: the stem of its name."""
@@ -22,7 +24,7 @@ def read_bytes_stream(
     spark: SparkSession, path: str, id_of: Callable[[Column], Column] = file_id, max_files: int = 1000
 ) -> DataFrame:
     """(id, content, landed) of files as they land."""
-    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", True)
+    reader = spark.readStream.format("binaryFile").schema(FILE).option("recursiveFileLookup", True)
     files = reader.option("maxFilesPerTrigger", max_files).load(path)
     return files.select(id_of(F.col("path")).alias("id"), "content", F.col("modificationTime").alias("landed"))
 

@@ -43,7 +43,7 @@ def difference(spark_frame, sql_frame):
             if str(side[column].dtype).startswith("float"):
                 whole = side[column].dropna()
                 if len(whole) and (whole == whole.round()).all():
-                    side[column] = side[column].map(lambda v: None if v != v else int(v)).astype(object)
+                    side[column] = pd.Series([None if v != v else int(v) for v in side[column]], dtype=object)
     left, right = canonical(spark_frame), canonical(sql_frame)
     if left[0] != right[0]:
         return f"columns {left[0]} / {right[0]}"
