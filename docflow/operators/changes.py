@@ -46,16 +46,34 @@ def mark_changed(
         .withColumn("_resets", (success & time.isNull()).cast("long"))
     )
 
-    so_far = Window.partitionBy(key, "_segment").orderBy(order)
-    rows = rows.withColumn("_epoch", F.sum("_resets").over(so_far) - F.col("_resets"))
-    earlier = (
-        Window.partitionBy(key, "_segment", "_epoch").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    rows = rows.withColumn("_before", F.max("_time").over(earlier))
+    # Epochs never fall, so the greatest (epoch, time) so far is the greatest time of the newest epoch: both windows
+    # share one sort.
+    arrival = Window.partitionBy(key, "_segment").orderBy(order)
+    earlier = arrival.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_epoch", F.coalesce(F.sum("_resets").over(earlier), F.lit(0)))
+    rows = rows.withColumn("_top", F.max(F.struct("_epoch", "_time")).over(earlier))
+    rows = rows.withColumn("_before", F.when(F.col("_top._epoch") == F.col("_epoch"), F.col("_top._time")))
+
+    starts = _segment_starts(rows.filter("_hot"), key)
+    if last is not None:
+        kept = last.select(key, F.nullif(F.col(modified), F.lit("")).alias("_last"))
+        carried = F.when(F.col("_restarted"), F.col("_start")).otherwise(F.greatest("_start", "_last"))
+        cold = kept.join(F.broadcast(hot), key, "left_anti")
+        starts = starts.join(kept, key, "left").withColumn("_start", carried).drop("_last", "_restarted").unionByName(
+            cold.select(key, F.lit(0).cast("long").alias("_segment"), F.col("_last").alias("_start"))
+        )
+
+    # Rows are partitioned by key and segment already, which is what this join asks for.
+    rows = rows.join(starts.select(key, "_segment", "_start"), [key, "_segment"], "left")
+    known = F.when(F.col("_epoch") == 0, F.greatest("_before", "_start")).otherwise(F.col("_before"))
+    changed = time.isNull() | known.isNull() | (time > known)
+    return rows.withColumn("changed", changed).select(*df.columns, "changed")
+
 
+def _segment_starts(rows: DataFrame, key: str) -> DataFrame:
+    """Per segment of a hot key: the maximum it starts from, and whether a kept row without time came before it."""
     closing = (
-        rows.filter(F.col("_hot"))
-        .groupBy(key, "_segment")
+        rows.groupBy(key, "_segment")
         .agg(F.max(F.struct("_epoch", "_resets")).alias("_end"), F.max(F.struct("_epoch", "_time")).alias("_top"))
         .select(
             key,
@@ -64,23 +82,6 @@ def mark_changed(
             F.when(F.col("_end._resets") == 0, F.col("_top._time")).alias("_closing"),
         )
     )
-    carried = _carry(closing, key)
-
-    rows = rows.join(carried, [key, "_segment"], "left")
-    known = F.col("_before")
-    first_epoch = F.col("_epoch") == 0
-    known = F.when(first_epoch, F.greatest("_before", "_carried")).otherwise(known)
-    if last is not None:
-        kept = last.select(key, F.nullif(F.col(modified), F.lit("")).alias("_last"))
-        rows = rows.join(kept, key, "left")
-        untouched = first_epoch & ~F.coalesce(F.col("_restarted"), F.lit(False))
-        known = F.when(untouched, F.greatest(known, F.col("_last"))).otherwise(known)
-    changed = time.isNull() | known.isNull() | (time > known)
-    return rows.withColumn("changed", changed).select(*df.columns, "changed")
-
-
-def _carry(closing: DataFrame, key: str) -> DataFrame:
-    """Per segment of a hot key: the maximum it starts from, and whether a restart came before it."""
     by_segment = Window.partitionBy(key).orderBy("_segment")
     return (
         closing.withColumn("_run", F.sum("_restarts").over(by_segment))
@@ -88,7 +89,7 @@ def _carry(closing: DataFrame, key: str) -> DataFrame:
         .select(
             key,
             "_segment",
-            F.lag("_out").over(by_segment).alias("_carried"),
+            F.lag("_out").over(by_segment).alias("_start"),
             (F.lag("_run", 1, 0).over(by_segment) > 0).alias("_restarted"),
         )
     )

@@ -40,7 +40,9 @@ def run_chunk(
     now: Column | None = None,
 ) -> None:
     """Chunk a batch of parsed files with the texts the store holds. Running a batch again replaces what it wrote."""
-    texts = content_lookup(chunkable(parsed), read_store(spark, store, as_of))
+    files = chunkable(parsed)
+    wanted = files.select(F.col("storagePath").alias("path")).distinct()
+    texts = content_lookup(files, read_store(spark, store, as_of, wanted))
     write_topic(chunk_messages(first_rows(texts, "offset", max_files), window, overlap, now), topic, batch_id)
 
 

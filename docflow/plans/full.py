@@ -1,6 +1,6 @@
 """Both stages after the listing, one after the other."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docflow.operators.extraction import Extractor, utf8_pages
 from docflow.plans.chunk import run_chunk
@@ -25,5 +25,5 @@ def run_full(
 ) -> None:
     """Parse a batch of file messages and chunk what came of it."""
     run_parse(spark, messages, content, store, parsed_topic, extractor, max_files, batch_id, now)
-    parsed = read_topic(spark, parsed_topic, PARSED_RECORD, [batch_id])
+    parsed = read_topic(spark, parsed_topic, PARSED_RECORD, F.col("batch_id") == batch_id)
     run_chunk(spark, parsed, store, chunks_topic, window, overlap, max_files, batch_id, batch_id, now)

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from docflow.operators.ordering import limit_by_pages, number_batches, until_empty_page
 from docflow.operators.records import delivery_counts, file_records, run_totals
 from docflow.schemas import FILE_RECORD
-from docflow.sources.listing import PAGE_CAPACITY, from_token, list_files, next_token, read_pages
-from docflow.sources.topics import read_rejects, read_topic, write_topic
+from docflow.sources.listing import from_token, list_files, next_token, page_of, read_pages
+from docflow.sources.topics import read_rows, write_topic
 
 
 def listing_run(pages: DataFrame, max_files: int | None = None, token: str | None = None) -> DataFrame:
@@ -24,11 +24,10 @@ def listing_messages(files: DataFrame, **options) -> DataFrame:
 
 def sent_counts(spark: SparkSession, topic: str, batch_size: int | None, batch_id: int) -> DataFrame:
     """success, failure and total per batch of a written run: a page each, or `batch_size` files each."""
-    sent = read_topic(spark, topic, FILE_RECORD, [batch_id]).select("offset", F.lit(True).alias("valid"))
-    failed = read_rejects(spark, topic, FILE_RECORD, [batch_id]).select("offset", F.lit(False).alias("valid"))
-    rows = sent.unionByName(failed)
+    rows = read_rows(spark, topic, FILE_RECORD, F.col("batch_id") == batch_id)
+    rows = rows.select("offset", F.col("accepted").alias("valid"))
     if batch_size is None:
-        batched = rows.withColumn("batch", F.floor(F.col("offset") / PAGE_CAPACITY).cast("long"))
+        batched = rows.withColumn("batch", page_of(F.col("offset")))
     else:
         batched = number_batches(rows, "offset", batch_size)
     return delivery_counts(batched, ["batch"])
@@ -46,16 +45,17 @@ def run_listing(
 ) -> dict:
     """Write one run of a landed listing to a topic and report on it.
 
-    The report holds processed, sent, failed, duration and the token to go on from.
+    The report holds processed, sent, failed, duration and the token to go on from. It is made from what was
+    written, so the listing is not read again for it.
     """
     started = time.monotonic()
     pages = read_pages(spark, source)
-    files = listing_run(pages, max_files, token)
-    write_topic(listing_messages(files, **options), topic, batch_id)
+    write_topic(listing_messages(listing_run(pages, max_files, token), **options), topic, batch_id)
     report = run_totals(sent_counts(spark, topic, batch_size, batch_id)).first().asDict()
-    # The pages a run takes have no gap, so the last one follows from where it starts and how far it gets.
-    last_page = files.agg(F.max("page_no")).scalar()
-    following = next_token(pages.filter(F.col("page_no") == last_page)).first()["next_token"]
-    report["next_page_token"] = token if report["processed"] == 0 else following
+    report["next_page_token"] = token
+    if report["processed"]:
+        sent = read_rows(spark, topic, FILE_RECORD, F.col("batch_id") == batch_id)
+        last_page = sent.agg(page_of(F.max("offset")).alias("last")).first()["last"]
+        report["next_page_token"] = next_token(pages.filter(F.col("page_no") == last_page)).first()["next_token"]
     report["duration"] = time.monotonic() - started
     return report

@@ -25,7 +25,7 @@ def pdf_messages(messages: DataFrame) -> DataFrame:
 def last_parsed(spark: SparkSession, topic: str, before_batch: int) -> DataFrame:
     """Per id the modified time of the last file the earlier batches parsed. The topic itself is the state."""
     try:
-        earlier = read_topic(spark, topic, PARSED_RECORD, list(range(before_batch)))
+        earlier = read_topic(spark, topic, PARSED_RECORD, F.col("batch_id") < before_batch)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -44,7 +44,9 @@ def extract_needed(files: DataFrame, content: DataFrame, extractor: Extractor, l
     maybe = files.join(last.select("id", F.col("modifiedTime").alias("_last")), "id", "left").filter(
         time.isNull() | known.isNull() | (time > known)
     )
-    return extract_text(content.select("id", "content").join(maybe, "id", "left_semi"), extractor)
+    # Distinct first: one task must not get all messages of a hot file.
+    needed = maybe.select("id").distinct()
+    return extract_text(content.select("id", "content").join(needed, "id", "left_semi"), extractor)
 
 
 def parse_attempts(files: DataFrame, extracted: DataFrame, last: DataFrame | None = None, **options) -> DataFrame:

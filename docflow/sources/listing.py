@@ -1,12 +1,12 @@
 """Landed listing pages: one JSON object per page."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docflow.operators.ordering import until_empty_page
 from docflow.schemas import LISTING_PAGE
 
-# Files per page stay below this, so that page and place on the page make one unique order value.
-PAGE_CAPACITY = 1 << 20
+# A page holds fewer than 2**PAGE_BITS files, so that page and place on the page make one unique order value.
+PAGE_BITS = 20
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -35,10 +35,15 @@ def list_files(pages: DataFrame) -> DataFrame:
     """One row per listed file, with page_no, pos and `offset`, which orders all files of the listing."""
     files = pages.select("page_no", F.posexplode("files").alias("pos", "file"))
     return files.select(
-        (F.col("page_no") * PAGE_CAPACITY + F.col("pos")).alias("offset"), "page_no", "pos", "file.*"
+        (F.shiftleft("page_no", PAGE_BITS) + F.col("pos")).alias("offset"), "page_no", "pos", "file.*"
     )
 
 
+def page_of(offset: Column) -> Column:
+    """Page of a file from its offset."""
+    return F.shiftright(offset, PAGE_BITS)
+
+
 def drain(pages: DataFrame, stop_at_empty: bool = False) -> DataFrame:
     """Files of all pages; with `stop_at_empty` only of those before the first page without files."""
     return list_files(until_empty_page(pages) if stop_at_empty else pages)

@@ -6,7 +6,7 @@ half never opens the other. `partition` is a hash of the key. A hot key makes a
 file: its rows go to several files, and `offset` keeps their order.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from docflow.operators.records import from_json_messages, to_json_messages
@@ -48,20 +48,18 @@ def write_topic(rows: DataFrame, path: str, batch_id: int = 0, partitions: int =
     )
 
 
-def read_rows(
-    spark: SparkSession, path: str, record: T.StructType, batches: list[int] | None = None
-) -> DataFrame:
-    """All a topic holds: messages and rejects, with their topic partition and batch."""
+def read_rows(spark: SparkSession, path: str, record: T.StructType, batches: Column | None = None) -> DataFrame:
+    """All a topic holds, messages and rejects, with topic partition and batch; `batches` is a condition on batch_id."""
     rows = spark.read.schema(_stored_schema(record).add("batch_id", T.LongType())).parquet(path)
-    return rows if batches is None else rows.filter(F.col("batch_id").isin(batches))
+    return rows if batches is None else rows.filter(batches)
 
 
-def read_topic(spark: SparkSession, path: str, record: T.StructType, batches: list[int] | None = None) -> DataFrame:
+def read_topic(spark: SparkSession, path: str, record: T.StructType, batches: Column | None = None) -> DataFrame:
     """Accepted messages from the earliest on."""
     return read_rows(spark, path, record, batches).filter("accepted").select("key", "offset", "value")
 
 
-def read_rejects(spark: SparkSession, path: str, record: T.StructType, batches: list[int] | None = None) -> DataFrame:
+def read_rejects(spark: SparkSession, path: str, record: T.StructType, batches: Column | None = None) -> DataFrame:
     """Rejected rows with their reason."""
     return read_rows(spark, path, record, batches).filter(~F.col("accepted")).select("key", "offset", "value", "reason")
 
