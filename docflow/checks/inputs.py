@@ -25,11 +25,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def spread(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:
     """A table for work that is heavy per row: if its scan has fewer splits than there are cores, rows are dealt out."""
     df = table(spark, sf, name)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 # --- events -----------------------------------------------------------------------------------
@@ -144,7 +144,7 @@ def land_files(spark: SparkSession, sf: str) -> str:
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as files: offset, id, name, mimeType, modifiedTime, text, status."""
-    return spread(spark, sf, "documents").select(
+    return spread(spark, sf, "documents", "doc_id").select(
         F.col("doc_id").alias("offset"),
         F.col("doc_id").cast("string").alias("id"),
         F.concat(F.col("source"), F.lit("_"), F.col("doc_id"), F.lit(".txt")).alias("name"),

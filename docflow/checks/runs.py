@@ -14,12 +14,13 @@ from docflow.schemas import CHUNK_RECORD, FILE_RECORD, PARSED_RECORD
 from docflow.session import work_folder
 from docflow.sources import store as st, topics as tp
 from docflow.sources.files import read_bytes, read_paths
+from docflow.sources.listing import PAGE_BITS
 from docflow.streaming import stages
 from docflow.streaming.changes import changed_stream
 
 EV = f"WITH {I.EVENTS}"
 LI = f"WITH {I.LISTED}"
-PAGE_CAPACITY = 1 << 20
+PAGE_CAPACITY = 1 << PAGE_BITS
 PARTS = 3
 PDF = "mimeType IN ('application/pdf', 'application/vnd.google-apps.document')"
 HELD = "held AS (SELECT CAST(page_id * 2 AS VARCHAR) AS id, html FROM pages)"
@@ -166,7 +167,7 @@ def chunk_rows(spark, topic):
       length({S.extracted('html')}) AS text_length FROM pages""",
 )
 def m1(spark, sf):
-    pages = I.spread(spark, sf, "pages")
+    pages = I.spread(spark, sf, "pages", "page_id")
     content = pages.select(F.col("page_id").cast("string").alias("id"), F.encode("html", "UTF-8").alias("content"))
     return extract_text(content, utf8_pages).select("id", "status", F.md5("text").alias("text"), "text_length")
 
@@ -193,7 +194,7 @@ def m1_failures(spark, sf):
 
 @check("m1_extract_html")
 def m1_html(spark, sf):
-    pages = I.spread(spark, sf, "pages")
+    pages = I.spread(spark, sf, "pages", "page_id")
     content = pages.select(F.col("page_id").cast("string").alias("id"), F.encode("html", "UTF-8").alias("content"))
     return extract_text(content, html_pages).select("id", "status", "text", "text_length")
 

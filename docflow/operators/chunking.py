@@ -13,6 +13,7 @@ from docflow.functions.lets import let
 from docflow.functions.text import boundary_cut, clean_for_chunking, has_text
 from docflow.schemas import OVERLAP, SENTENCE_LOOK_BACK, WINDOW_SIZE
 
+CHUNK_FIELDS = ["chunkIndex", "chunkText", "startPosition", "endPosition", "totalChunks"]
 SPAN = "struct<s:int,e:int,t:string>"
 
 # Chunks gathered before they are appended to a document's list, which keeps appending cheap for long ones.
@@ -115,6 +116,31 @@ def simple_spans(text: Column, window: int = WINDOW_SIZE, overlap: int = OVERLAP
     return let(_blocks(text, step), lambda b: let(_length(b, step), lambda n: spans(b, n)))
 
 
+def chunk_list(
+    text: Column, window: int = WINDOW_SIZE, overlap: int = OVERLAP, boundaries: bool = True
+) -> Column:
+    """`array<struct>` of a document's chunks with index, text, positions and their number.
+
+    Index and number come from the list itself, so no window function and no shuffle is needed for them. Text
+    that is only control characters gives one empty chunk; look for blank text with `has_text` first.
+    """
+    spans = (boundary_spans if boundaries else simple_spans)(clean_for_chunking(text), window, overlap)
+
+    def row(span: Column, index: Column, total: Column) -> Column:
+        values = [index, span["t"], span["s"], span["e"], total]
+        return F.struct(*[value.alias(name) for name, value in zip(CHUNK_FIELDS, values)])
+
+    return let(spans, lambda all_: F.transform(all_, lambda span, i: row(span, i, F.size(all_))))
+
+
+def explode_chunks(rows: DataFrame, chunks: Column, id_col: str, keep: list[str]) -> DataFrame:
+    """One row per chunk of a list that is never empty: `keep` columns, chunkId and the fields of the chunk."""
+    # The outer form keeps Spark from testing for empty lists, for which it would build each list twice.
+    exploded = rows.select(*dict.fromkeys([*keep, id_col]), F.inline_outer(chunks).alias(*CHUNK_FIELDS))
+    key = chunk_id(F.col(id_col).cast("string"), F.col("chunkIndex"))
+    return exploded.select(*keep, key.alias("chunkId"), *CHUNK_FIELDS)
+
+
 def chunk_documents(
     df: DataFrame,
     id_col: str,
@@ -124,35 +150,10 @@ def chunk_documents(
     overlap: int = OVERLAP,
     boundaries: bool = True,
 ) -> DataFrame:
-    """One row per chunk: `keep` columns, chunkId, chunkIndex, chunkText, startPosition, endPosition, totalChunks.
-
-    Documents without text give no rows. Index and count come from the chunk list of the row, so nothing is
-    shuffled.
-    """
-    make = boundary_spans if boundaries else simple_spans
-    spans = make(clean_for_chunking(F.col(text_col)), window, overlap)
-
-    def row(span: Column, index: Column, total: Column) -> Column:
-        return F.struct(
-            index.alias("chunkIndex"),
-            span["t"].alias("chunkText"),
-            span["s"].alias("startPosition"),
-            span["e"].alias("endPosition"),
-            total.alias("totalChunks"),
-        )
-
-    rows = let(spans, lambda all_: F.transform(all_, lambda span, i: row(span, i, F.size(all_))))
+    """One row per chunk of the documents that have text; nothing is shuffled."""
     kept = keep if keep is not None else [c for c in df.columns if c != text_col]
-    fields = ["chunkIndex", "chunkText", "startPosition", "endPosition", "totalChunks"]
-    # The list is never empty here; the outer form keeps Spark from testing that by building the list twice.
-    chunks = df.filter(has_text(F.col(text_col))).select(
-        *dict.fromkeys([*kept, id_col]), F.inline_outer(rows).alias(*fields)
-    )
-    return chunks.select(
-        *kept,
-        chunk_id(F.col(id_col).cast("string"), F.col("chunkIndex")).alias("chunkId"),
-        *fields,
-    )
+    chunks = chunk_list(F.col(text_col), window, overlap, boundaries)
+    return explode_chunks(df.filter(has_text(F.col(text_col))), chunks, id_col, kept)
 
 
 def chunk_statistics(chunks: DataFrame, by: list[str] | None = None) -> DataFrame:

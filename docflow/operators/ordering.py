@@ -51,17 +51,25 @@ def first_rows(df: DataFrame, order: str, max_rows: int | None) -> DataFrame:
     return df if max_rows is None else df.orderBy(order).limit(max_rows)
 
 
+def pages_within(pages: DataFrame, page: str, rows: Column, max_rows: int | None) -> DataFrame:
+    """Pages as long as the `rows` of the pages before sum up to fewer than `max_rows`; None or 0: no limit."""
+    if not max_rows:
+        return pages
+    return running_total(pages, page, rows, "_before").filter(F.col("_before") < max_rows).drop("_before")
+
+
 def limit_by_pages(df: DataFrame, page: str, max_rows: int | None) -> DataFrame:
-    """Whole pages, as long as the rows on the pages before number fewer than `max_rows`; None or 0: no limit."""
+    """Rows of whole pages, as long as the rows on the pages before number fewer than `max_rows`."""
     if not max_rows:
         return df
     pages = df.groupBy(page).agg(F.count("*").alias("rows"))
-    last = running_total(pages, page, F.col("rows")).filter(F.col("before") < max_rows).agg(F.max(page).alias("last"))
+    last = pages_within(pages, page, F.col("rows"), max_rows).agg(F.max(page).alias("last"))
     return df.filter(F.col(page) <= last.scalar())
 
 
-def until_empty_page(pages: DataFrame, page: str = "page_no", files: str = "files") -> DataFrame:
-    """Pages before the first one without files."""
-    empty = pages.filter(F.coalesce(F.size(files), F.lit(0)) <= 0).agg(F.min(page).alias("first_empty"))
+def until_empty_page(pages: DataFrame, page: str = "page_no", rows: Column | None = None) -> DataFrame:
+    """Pages before the first one without files; `rows` is their number, by default that of the list `files`."""
+    rows = F.size("files") if rows is None else rows
+    empty = pages.filter(F.coalesce(rows, F.lit(0)) <= 0).agg(F.min(page).alias("first_empty"))
     limit = F.coalesce(empty.scalar(), F.lit(2**63 - 1))
     return pages.filter(F.col(page) < limit)

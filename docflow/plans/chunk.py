@@ -2,8 +2,9 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docflow.operators.chunking import chunk_documents, chunk_statistics
-from docflow.operators.lookups import content_lookup, with_path, with_status
+from docflow.functions.text import has_text
+from docflow.operators.chunking import check_window, chunk_documents, chunk_list, chunk_statistics, explode_chunks
+from docflow.operators.lookups import with_content, with_path, with_status
 from docflow.operators.ordering import first_rows
 from docflow.operators.records import chunk_record
 from docflow.schemas import CHUNK_RECORD, OVERLAP, WINDOW_SIZE
@@ -21,10 +22,12 @@ def chunk_messages(
     texts: DataFrame, window: int = WINDOW_SIZE, overlap: int = OVERLAP, now: Column | None = None
 ) -> DataFrame:
     """Topic rows, keyed by chunk id, of files with content. Chunks of a file share the offset of its message."""
-    chunks = chunk_documents(texts, "id", "content", ["offset", "id", "name"], window, overlap)
-    return chunks.select(
-        F.col("chunkId").alias("key"), "offset", chunk_record(F.col("id"), F.col("name"), now).alias("value")
-    )
+    return _keyed(chunk_documents(texts, "id", "content", ["offset", "id", "name"], window, overlap), now)
+
+
+def _keyed(chunks: DataFrame, now: Column | None) -> DataFrame:
+    value = chunk_record(F.col("id"), F.col("name"), now)
+    return chunks.select(F.col("chunkId").alias("key"), "offset", value.alias("value"))
 
 
 def run_chunk(
@@ -40,10 +43,16 @@ def run_chunk(
     now: Column | None = None,
 ) -> None:
     """Chunk a batch of parsed files with the texts the store holds. Running a batch again replaces what it wrote."""
+    check_window(window, overlap)
     files = chunkable(parsed)
     wanted = files.select(F.col("storagePath").alias("path")).distinct()
-    texts = content_lookup(files, read_store(spark, store, as_of, wanted))
-    write_topic(chunk_messages(first_rows(texts, "offset", max_files), window, overlap, now), topic, batch_id)
+    # Each text is chunked once, before the join, however many messages name it.
+    held = with_content(read_store(spark, store, as_of, wanted))
+    chunks = F.when(has_text(F.col("content")), chunk_list(F.col("content"), window, overlap))
+    lists = held.select(F.col("path").alias("storagePath"), chunks.alias("chunks"))
+    found = first_rows(files.join(lists, "storagePath"), "offset", max_files).filter("chunks IS NOT NULL")
+    rows = explode_chunks(found, F.col("chunks"), "id", ["offset", "id", "name"])
+    write_topic(_keyed(rows, now), topic, batch_id)
 
 
 def chunk_report(spark: SparkSession, topic: str, by_file: bool = False) -> DataFrame:

@@ -4,17 +4,17 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docflow.operators.ordering import limit_by_pages, number_batches, until_empty_page
+from docflow.operators.ordering import number_batches, pages_within, until_empty_page
 from docflow.operators.records import delivery_counts, file_records, run_totals
 from docflow.schemas import FILE_RECORD
-from docflow.sources.listing import from_token, list_files, next_token, page_of, read_pages
+from docflow.sources.listing import from_token, list_files, page_of, page_sizes, read_pages
 from docflow.sources.topics import read_rows, write_topic
 
 
-def listing_run(pages: DataFrame, max_files: int | None = None, token: str | None = None) -> DataFrame:
-    """Files one run takes: from `token` on, up to the first empty page, whole pages until `max_files` is met."""
-    taken = until_empty_page(from_token(pages, token))
-    return limit_by_pages(list_files(taken), "page_no", max_files)
+def pages_of_run(sizes: DataFrame, max_files: int | None = None, token: str | None = None) -> DataFrame:
+    """Pages one run takes: from `token` on, up to the first empty page, whole pages until `max_files` is met."""
+    taken = until_empty_page(from_token(sizes, token), rows=F.col("files"))
+    return pages_within(taken, "page_no", F.col("files"), max_files)
 
 
 def listing_messages(files: DataFrame, **options) -> DataFrame:
@@ -45,17 +45,22 @@ def run_listing(
 ) -> dict:
     """Write one run of a landed listing to a topic and report on it.
 
-    The report holds processed, sent, failed, duration and the token to go on from. It is made from what was
-    written, so the listing is not read again for it.
+    The report holds processed, sent, failed, duration and the token to go on from. The listing is read twice: for
+    the sizes of its pages, from which follows what the run takes, and for the files.
     """
     started = time.monotonic()
     pages = read_pages(spark, source)
-    write_topic(listing_messages(listing_run(pages, max_files, token), **options), topic, batch_id)
+    sizes = page_sizes(pages).persist()
+    try:
+        run = pages_of_run(sizes, max_files, token).agg(
+            F.min("page_no").alias("first"), F.max("page_no").alias("last"),
+            F.max_by("nextPageToken", "page_no").alias("next_page_token"),
+        ).first()
+    finally:
+        sizes.unpersist()
+    taken = F.lit(False) if run["first"] is None else F.col("page_no").between(run["first"], run["last"])
+    write_topic(listing_messages(list_files(pages.filter(taken)), **options), topic, batch_id)
     report = run_totals(sent_counts(spark, topic, batch_size, batch_id)).first().asDict()
-    report["next_page_token"] = token
-    if report["processed"]:
-        sent = read_rows(spark, topic, FILE_RECORD, F.col("batch_id") == batch_id)
-        last_page = sent.agg(page_of(F.max("offset")).alias("last")).first()["last"]
-        report["next_page_token"] = next_token(pages.filter(F.col("page_no") == last_page)).first()["next_token"]
+    report["next_page_token"] = token if run["first"] is None else run["next_page_token"]
     report["duration"] = time.monotonic() - started
     return report

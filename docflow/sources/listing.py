@@ -26,6 +26,11 @@ def from_token(pages: DataFrame, token: str | None) -> DataFrame:
     return pages.filter(F.col("page_no") > before.scalar())
 
 
+def page_sizes(pages: DataFrame) -> DataFrame:
+    """page_no, nextPageToken and number of files of each page."""
+    return pages.select("page_no", "nextPageToken", F.greatest(F.size("files"), F.lit(0)).alias("files"))
+
+
 def next_token(pages: DataFrame) -> DataFrame:
     """The token to go on from: that of the last page; null after the end of the listing."""
     return pages.agg(F.max_by("nextPageToken", "page_no").alias("next_token"))
