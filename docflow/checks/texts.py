@@ -51,11 +51,11 @@ _texts("j2_clean_extracted", ft.clean_extracted, S.extracted)
 
 @check(
     "d5_blank_text_guard",
-    f"""WITH w AS (SELECT conv_id, turn, regexp_replace(text, '[^ \\n]{{8,}}', chr(31), 'g') AS t FROM conversations)
-    SELECT conv_id, turn, {S.not_blank("regexp_extract(t, '^[^.]*')")} AS has_text FROM w""",
+    f"""WITH w AS (SELECT conv_id, turn, CASE WHEN role = 'user' THEN regexp_replace(text, '[^ \\n]', chr(31), 'g') ELSE text END AS t
+      FROM conversations) SELECT conv_id, turn, {S.not_blank('t')} AS has_text FROM w""",
 )
 def d5(spark, sf):
-    text = F.regexp_extract(F.regexp_replace("text", r"[^ \n]{8,}", "\x1f"), "^[^.]*", 0)
+    text = F.when(F.col("role") == "user", F.regexp_replace("text", r"[^ \n]", "\x1f")).otherwise(F.col("text"))
     return I.table(spark, sf, "conversations").select("conv_id", "turn", ft.has_text(text).alias("has_text"))
 
 

@@ -11,7 +11,7 @@ MAX_HOT_KEYS = 100_000
 def hot_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
     """Keys holding more than `rows` rows and more than 1 in MAX_HOT_KEYS of all: never more than that many keys."""
     counts = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    share = counts.agg((F.sum("_rows") / MAX_HOT_KEYS).alias("share")).scalar()
+    share = df.agg((F.count("*") / MAX_HOT_KEYS).alias("share")).scalar()
     return counts.filter((F.col("_rows") > rows) & (F.col("_rows") > share)).select(key)
 
 
@@ -46,15 +46,8 @@ def mark_changed(
         .withColumn("_resets", (success & time.isNull()).cast("long"))
     )
 
-    # Epochs never fall, so the greatest (epoch, time) so far is the greatest time of the newest epoch: both windows
-    # share one sort.
-    arrival = Window.partitionBy(key, "_segment").orderBy(order)
-    earlier = arrival.rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_epoch", F.coalesce(F.sum("_resets").over(earlier), F.lit(0)))
-    rows = rows.withColumn("_top", F.max(F.struct("_epoch", "_time")).over(earlier))
-    rows = rows.withColumn("_before", F.when(F.col("_top._epoch") == F.col("_epoch"), F.col("_top._time")))
-
-    starts = _segment_starts(rows.filter("_hot"), key)
+    # Only the rows of hot keys go into the summaries; there are none of them as a rule.
+    starts = _segment_starts(_with_epochs(rows.filter("_hot"), key, order), key)
     if last is not None:
         kept = last.select(key, F.nullif(F.col(modified), F.lit("")).alias("_last"))
         carried = F.when(F.col("_restarted"), F.col("_start")).otherwise(F.greatest("_start", "_last"))
@@ -64,12 +57,25 @@ def mark_changed(
         )
 
     # Rows are partitioned by key and segment already, which is what this join asks for.
-    rows = rows.join(starts.select(key, "_segment", "_start"), [key, "_segment"], "left")
+    rows = _with_epochs(rows, key, order).join(starts.select(key, "_segment", "_start"), [key, "_segment"], "left")
     known = F.when(F.col("_epoch") == 0, F.greatest("_before", "_start")).otherwise(F.col("_before"))
     changed = time.isNull() | known.isNull() | (time > known)
     return rows.withColumn("changed", changed).select(*df.columns, "changed")
 
 
+def _with_epochs(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """Number the stretches between kept rows without time, and take the running maximum within each.
+
+    Epochs never fall, so the greatest (epoch, time) so far is the greatest time of the newest epoch: both windows
+    share one sort.
+    """
+    arrival = Window.partitionBy(key, "_segment").orderBy(order)
+    earlier = arrival.rowsBetween(Window.unboundedPreceding, -1)
+    numbered = rows.withColumn("_epoch", F.coalesce(F.sum("_resets").over(earlier), F.lit(0)))
+    seen = numbered.withColumn("_seen", F.max(F.struct("_epoch", "_time")).over(earlier))
+    return seen.withColumn("_before", F.when(F.col("_seen._epoch") == F.col("_epoch"), F.col("_seen._time")))
+
+
 def _segment_starts(rows: DataFrame, key: str) -> DataFrame:
     """Per segment of a hot key: the maximum it starts from, and whether a kept row without time came before it."""
     closing = (

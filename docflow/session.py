@@ -12,6 +12,11 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # File bytes are wide: bound an Arrow batch by size, not only by rows.
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
+    # State grows with the number of files: keep it off the heap and checkpoint what changed only.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
