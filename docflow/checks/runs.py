@@ -344,12 +344,27 @@ def n3_report(spark, sf):
     return chunk_report(spark, chunked(spark, sf))
 
 
-@check(
-    "n4_full_run",
-    f"""{CHAIN} SELECT "offset", id || '_chunk_' || chunkIndex AS key, name, startPosition, endPosition, md5(chunkText) AS chunk
-    FROM parsed JOIN chunks USING (id)""",
-)
+FULL = f"""{CHAIN} SELECT "offset", id || '_chunk_' || chunkIndex AS key, name, startPosition, endPosition, md5(chunkText) AS chunk
+  FROM parsed JOIN chunks USING (id)"""
+
+
+@check("n4_full_run", FULL)
 def n4(spark, sf):
     store, topic, chunks = (work_folder(spark, n) for n in ("store", "parsed", "chunks"))
     run_full(spark, I.file_messages(spark, sf), I.file_bytes(spark, sf), store, topic, chunks)
     return chunk_rows(spark, chunks)
+
+
+@check("n4_full_run_stream", FULL)
+def n4_stream(spark, sf):
+    """The full run on each micro-batch of a growing topic, stopped and started again between parts."""
+    store, topic, chunks, checkpoint = (work_folder(spark, n) for n in ("store", "parsed", "chunks", "checkpoint"))
+
+    def drain(files):
+        def content(session):
+            return I.file_bytes(session, sf)
+
+        return tp.run_available(stages.full_stage(spark, files, content, store, topic, chunks, checkpoint))
+
+    list(streamed_messages(spark, sf, drain))
+    return chunk_rows(spark, chunks)

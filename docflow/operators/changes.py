@@ -29,21 +29,21 @@ def mark_changed(
     Only rows with `success` become the last kept one. A kept row without modified time makes the next row count
     as changed. `last` (key, modified) gives what earlier runs kept. `order` is unique and grows with arrival.
 
-    Within a key the last kept time is a running maximum that starts anew after each kept row without a time. Hot keys are cut
-    into segments of `order`, each summed up by its closing maximum; a window over the summaries carries the
-    maximum from one segment into the next. No task sees more than one segment of a hot key.
+    Within a key the last kept time is a running maximum that starts anew after each kept row without a time. Hot
+    keys are cut into segments of `order`, each summed up by its closing maximum; a window over the summaries
+    carries the maximum from one segment into the next. No task sees more than one segment of a hot key.
     """
     success = F.lit(True) if success is None else F.coalesce(success, F.lit(False))
     time = F.nullif(F.col(modified), F.lit(""))
     hot = hot_keys(df, key, segment_rows).withColumn("_hot", F.lit(True))
-    rows = (
-        # at most MAX_HOT_KEYS keys
-        df.join(F.broadcast(hot), key, "left")
-        .withColumn(
-            "_segment", F.when(F.col("_hot"), F.floor(F.col(order) / segment_rows)).otherwise(F.lit(0)).cast("long")
-        )
-        .withColumn("_time", F.when(success, time))
-        .withColumn("_resets", (success & time.isNull()).cast("long"))
+    segment = F.when(F.col("_hot"), F.floor(F.col(order) / segment_rows)).otherwise(F.lit(0))
+    # at most MAX_HOT_KEYS keys are broadcast
+    rows = df.join(F.broadcast(hot), key, "left").withColumns(
+        {
+            "_segment": segment.cast("long"),
+            "_time": F.when(success, time),
+            "_resets": (success & time.isNull()).cast("long"),
+        }
     )
 
     # Only the rows of hot keys go into the summaries; there are none of them as a rule.

@@ -140,3 +140,17 @@ def to_json_messages(records: DataFrame) -> DataFrame:
 def from_json_messages(messages: DataFrame, record) -> DataFrame:
     """Topic rows with the value read back by its declared schema."""
     return messages.withColumn("value", F.from_json(F.col("value").cast("string"), record, {"mode": "FAILFAST"}))
+
+
+def to_avro_messages(records: DataFrame, avro_schema: str) -> DataFrame:
+    """Topic rows with the value as Avro bytes of a schema in JSON; needs Spark's Avro package."""
+    from pyspark.sql.avro.functions import to_avro
+
+    return records.withColumn("value", to_avro("value", avro_schema))
+
+
+def from_avro_messages(messages: DataFrame, avro_schema: str) -> DataFrame:
+    """Topic rows with the value read from Avro bytes; needs Spark's Avro package."""
+    from pyspark.sql.avro.functions import from_avro
+
+    return messages.withColumn("value", from_avro("value", avro_schema))

@@ -10,9 +10,11 @@ from docflow.operators.changes import latest_per_key
 from docflow.operators.extraction import Extractor, extract_text, utf8_pages
 from docflow.operators.lookups import content_lookup
 from docflow.plans.chunk import chunk_messages, chunkable
+from docflow.plans.full import run_full
 from docflow.plans.listing import listing_messages
 from docflow.plans.parse import parsed_messages, pdf_messages
 from docflow.schemas import FILE_RECORD, OVERLAP, PARSED_RECORD, WINDOW_SIZE
+from docflow.session import configure
 from docflow.sources.files import file_id, read_bytes_stream
 from docflow.sources.listing import list_files, read_page_stream
 from docflow.sources.topics import read_topic_stream, topic_stream_writer
@@ -87,6 +89,28 @@ def chunk_stage(
     )
 
 
+def full_stage(
+    spark: SparkSession, files_topic: str, content: Callable[[SparkSession], DataFrame], store: str, parsed_topic: str,
+    chunks_topic: str, checkpoint: str, extractor: Extractor = utf8_pages, window: int = WINDOW_SIZE,
+    overlap: int = OVERLAP, max_files: int = 1000, now: Column | None = None,
+) -> DataStreamWriter:
+    """Files topic to store, parsed topic and chunks topic: the batch job on each micro-batch.
+
+    `content` gives the file bytes there are at the time of a micro-batch. A micro-batch that is run again after a
+    failure replaces what it wrote. Files with very many messages are cut into segments here, as in the batch job.
+    """
+
+    def run(messages: DataFrame, batch_id: int) -> None:
+        session = configure(messages.sparkSession)
+        run_full(
+            session, messages, content(session), store, parsed_topic, chunks_topic, extractor, window, overlap,
+            batch_id=batch_id, now=now,
+        )
+
+    messages = read_topic_stream(spark, files_topic, FILE_RECORD, max_files)
+    return messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+
+
 def progress(query: StreamingQuery) -> list[dict]:
     """Batch number, rows in and rows per second of the batches a query has run lately."""
     return [

@@ -7,7 +7,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from docflow.session import configure  # noqa: E402
+from docflow.session import STATIC_SETTINGS, configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -16,7 +16,8 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("docflow-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config(map=STATIC_SETTINGS)
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
