@@ -134,7 +134,8 @@ def file_bytes(spark: SparkSession, sf: str) -> DataFrame:
 def land_files(spark: SparkSession, sf: str) -> str:
     """Write each page as a file of its own, in a folder named by its id. The writer ends a file with a newline."""
     path = work_folder(spark, "files")
-    rows = table(spark, sf, "pages").select((F.col("page_id") * 2).alias("id"), F.col("html").alias("value"))
+    pages = spread(spark, sf, "pages", "page_id")
+    rows = pages.select((F.col("page_id") * 2).alias("id"), F.col("html").alias("value"))
     rows.write.partitionBy("id").option("lineSep", "\n").text(path)
     return path
 

@@ -1,7 +1,9 @@
 """Session settings and the shared work folder."""
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application; not needed where it is installed on them."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="docflow-")) / package.name
+        context.addPyFile(shutil.make_archive(str(archive), "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
+    return spark
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder the cluster names.
 
