@@ -31,6 +31,7 @@ class LineRuns:
         self.spark, self.fanout = spark, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
 
     def add(self, lines: DataFrame) -> None:
         """Take in a batch of rows doc, h1, h2. The documents of a batch must be in no other batch.
@@ -47,24 +48,23 @@ class LineRuns:
 
     def lines(self) -> DataFrame:
         """h1, h2, keeper, docs of all batches."""
-        runs = [self.spark.table(run) for level in self.levels for run in level]
+        runs = [run for level in self.levels for run in level]
         return self._merged(runs) if runs else self.spark.createDataFrame([], "h1 long, h2 long, keeper long, docs long")
 
-    def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        rows = runs[0]
-        for run in runs[1:]:
-            rows = rows.unionByName(run)
-        # The explicit shuffle is needed: Spark 4.1 takes a union of bucketed scans for partitioned by the buckets, and then reads
-        # the scans without them.
-        return rows.repartition(*KEY).groupBy(KEY).agg(F.max("keeper").alias("keeper"), F.sum("docs").alias("docs"))
+    def _merged(self, runs: list[str]) -> DataFrame:
+        # Read as plain files: Spark 4.1 takes a union of bucketed scans for partitioned by the buckets, and then reads the scans
+        # without them, so that a group by the hash would leave a line's rows apart.
+        rows = self.spark.read.schema(self.spark.table(runs[0]).schema).parquet(*[self.paths[run] for run in runs])
+        return rows.groupBy(KEY).agg(F.max("keeper").alias("keeper"), F.sum("docs").alias("docs"))
 
     def _write(self, run: DataFrame, level: int) -> None:
         name = f"line_run_{uuid.uuid4().hex}"
+        self.paths[name] = work_folder(self.spark, "line-runs")
         (
             run.repartition(self.buckets, *KEY)
             .write.bucketBy(self.buckets, *KEY)
             .sortBy(*KEY)
-            .option("path", work_folder(self.spark, "line-runs"))
+            .option("path", self.paths[name])
             .saveAsTable(name)
         )
         if level == len(self.levels):
@@ -72,7 +72,7 @@ class LineRuns:
         self.levels[level].append(name)
         if len(self.levels[level]) == self.fanout:
             runs, self.levels[level] = self.levels[level], []
-            self._write(self._merged([self.spark.table(r) for r in runs]), level + 1)
+            self._write(self._merged(runs), level + 1)
 
 
 def drop_lines(
