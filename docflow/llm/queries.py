@@ -2,11 +2,16 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docflow.llm import line_dedup, mixing, sql
+from docflow.llm import line_dedup, mixing, ngram_join, sql
 from docflow.llm.common import table
 from docflow.llm.registry import query
 
 
+@query("op1_ngram_jaccard_join", sql.JACCARD)
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op6_mix_sources", sql.MIX)
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count().alias("size"))

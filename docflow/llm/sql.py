@@ -2,6 +2,21 @@
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+JACCARD = rf"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '{WORD}'), []) AS w FROM documents),
+sets AS (
+  SELECT r, doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
+shingles AS (SELECT r, len(s) AS n, unnest(s) AS sh FROM sets),
+links AS (
+  SELECT x.r AS a, y.r AS b FROM shingles x JOIN shingles y USING (sh)
+  GROUP BY x.r, y.r, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reach AS (SELECT r AS a, r AS b FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT s.doc_id, len(any_value(s.s))::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM sets s JOIN reach ON s.r = reach.a JOIN sets o ON o.r = reach.b GROUP BY s.r, s.doc_id"""
+
 MIX = rf"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS BIGINT) AS size,
