@@ -42,16 +42,18 @@ def fold(doc_id: str, parts: int) -> Column:
 
 
 class WordTable(dict):
-    """What `make` gives for a word, remembered for at most `limit` words at a time."""
+    """What `make` gives for a word, remembered for at most `limit` words of up to 64 letters or bytes at a time."""
 
     def __init__(self, make, limit: int = 300_000):
         super().__init__()
         self.make, self.limit = make, limit
 
     def __missing__(self, word):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = self.make(word)
+        value = self.make(word)
+        if len(word) <= 64:
+            if len(self) >= self.limit:
+                self.clear()
+            self[word] = value
         return value
 
 

@@ -1,9 +1,10 @@
 """The registered queries: each applies one operator, with production parameters, to its whole table."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docflow.llm import line_dedup, mixing, ngram_join, sql
-from docflow.llm.common import table
+from docflow.llm import langid, line_dedup, mixing, ngram_join, packing, sql
+from docflow.llm.common import fold, table
 from docflow.llm.registry import query
 
 
@@ -12,6 +13,23 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def learned_languages(spark: SparkSession, sf_dir: str) -> dict[str, list[int]]:
+    """Profiles of the documents outside the held-out fold."""
+    return langid.profiles(table(spark, sf_dir, "documents").filter(fold("doc_id", 3) != 1))
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "text")
+    return langid.identify(docs, learned_languages(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query("op6_mix_sources", sql.MIX)
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count().alias("size"))
