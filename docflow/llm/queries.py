@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docflow.llm import langid, line_dedup, mixing, ngram_join, packing, sql
+from docflow.llm import fingerprints, langid, line_dedup, mixing, ngram_join, packing, sql, token_files
 from docflow.llm.common import fold, table
 from docflow.llm.registry import query
 
@@ -41,3 +41,15 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.drop_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op9_token_files")
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = token_files.round_trip(spark, docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op10_fingerprints")
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_following(table(spark, sf_dir, "documents").select("doc_id", "text"))
