@@ -73,6 +73,7 @@ def mix(docs: DataFrame, weights: DataFrame, max_epochs: int = 3, seed: int = 17
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     draw = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
     docs = kept(docs.select("doc_id", "source", "size", *keep).withColumn("draw", draw), "mix")
+    ties = [F.xxhash64(*own)] if (own := [c for c, kind in docs.dtypes if c in keep and "map<" not in kind]) else []
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
     total = docs.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     same = sizes["source"].eqNullSafe(weights["source"])
@@ -111,7 +112,7 @@ def mix(docs: DataFrame, weights: DataFrame, max_epochs: int = 3, seed: int = 17
         .when(second < F.col("_second"), 1),
     )
     # Only the 2**-20 of a source's rows that share the last slice are put in order.
-    order = Window.partitionBy("source").orderBy("draw", "doc_id", "size", *keep)
+    order = Window.partitionBy("source").orderBy("draw", "doc_id", "size", *ties)
     before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     edge = placed.filter("_side IS NULL").withColumn("_before", before)
     edge = edge.withColumn("_side", (2 * F.col("_before") + F.col("size") < 2 * F.col("_left")).cast("int")).drop("_before")

@@ -114,7 +114,7 @@ def folded(tokens: np.ndarray) -> bytes:
 
 
 def sets_of(texts: DataFrame, bands: Bands, width: int, sample_below: int) -> DataFrame:
-    """One row per text: id, node (hash of its shingle set, null if empty), n, and segments for texts drawn into the sample."""
+    """One row per text: id, same, node (hash of its shingle set, null if empty), n, and segments for texts drawn into the sample."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,14 +129,15 @@ def sets_of(texts: DataFrame, bands: Bands, width: int, sample_below: int) -> Da
                 sample.append(sketch_segments(tokens, bands) if drawn else None)
             arrays = [
                 batch.column("id"),
+                batch.column("same"),
                 pa.array(nodes, pa.int64()),
                 pa.array(sizes, pa.int64()),
                 pa.array(folds, pa.binary()),
                 pa.array(sample, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "node", "n", "folded", "sample"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "same", "node", "n", "folded", "sample"])
 
-    return texts.mapInArrow(run, "id long, node long, n long, folded binary, sample array<long>")
+    return texts.mapInArrow(run, "id long, same long, node long, n long, folded binary, sample array<long>")
 
 
 def segments_of(texts: DataFrame, bands: Bands, width: int, common: np.ndarray) -> DataFrame:
@@ -296,14 +297,26 @@ def rare_shingle_pairs(crowd: DataFrame, sets: DataFrame, percent: int) -> DataF
 def similarity_classes(docs: DataFrame, percent: int = round(100 * LIKENESS), width: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs (doc_id long, text).
 
+    component_id is the smallest doc_id reachable by links, the row's own included. In a component of null ids only it is null.
+    For links and empty texts see `text_classes`.
+    """
+    rows = text_classes(docs, percent, width)
+    least = rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
+    rows = rows.join(least.withColumnRenamed("class", "_class"), F.col("class") == F.col("_class"), "left")
+    component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+    return rows.select("doc_id", "n_shingles", component.alias("component_id"))
+
+
+def text_classes(docs: DataFrame, percent: int = round(100 * LIKENESS), width: int = SHINGLE_WORDS) -> DataFrame:
+    """doc_id, same (hash of the text), n_shingles and class (a number per component) for each row of docs (doc_id long, text).
+
     Two texts link when 100 * |A and B| >= percent * |A or B| for their sets of distinct `width`-word shingles, A-Z lower-cased;
-    a shorter text is one shingle. component_id is the smallest doc_id reachable by links. Null texts and texts without
-    words have an empty set, n_shingles 0, and link with nothing, not even each other. Equal texts link, so repeated rows share a
-    component. A null doc_id is kept; in a component of null ids only, component_id is null. No documents give no rows.
-    Sets are named by 64-bit hashes of 64-bit shingle hashes.
+    a shorter text is one shingle. Null texts and texts without words have an empty set, n_shingles 0 and no class: they link
+    with nothing, not even each other. Equal texts link, so repeated rows share a class. A null doc_id is kept. No documents give
+    no rows. Sets are named by 64-bit hashes of 64-bit shingle hashes.
     """
     bands = Bands(percent)
-    texts = docs.select(F.col("doc_id").alias("id"), text_or_empty().alias("text"))
+    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text_or_empty()).alias("same"), text_or_empty().alias("text"))
     number = docs.count()
     below = min(1 << 32, (SAMPLE_TEXTS << 32) // max(number, 1))
     of_doc = kept(sets_of(texts, bands, width, below), "sets")
@@ -359,15 +372,8 @@ def similarity_classes(docs: DataFrame, percent: int = round(100 * LIKENESS), wi
     if not new.isEmpty():
         label = components(links.union(new))
 
-    of_node = labelled(nodes.select("node", "doc"), label)
-    least = of_node.groupBy("label").agg(F.min("doc").alias("component_id"))
-    of_node = of_node.join(least, "label").select(F.col("node").alias("_node"), "component_id")
-    rows = of_doc.join(of_node, F.col("node") == F.col("_node"), "left")
-    return rows.select(
-        F.col("id").alias("doc_id"),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    rows = labelled(of_doc.select("id", "same", "node", "n"), label, name="class")
+    return rows.select(F.col("id").alias("doc_id"), "same", F.col("n").alias("n_shingles"), "class")
 
 
 def _token_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
