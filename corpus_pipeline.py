@@ -1,8 +1,25 @@
-"""A training corpus from documents."""
+"""A training corpus from documents: language, line dedup, near copies, mix, packed sequences."""
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+
+from docflow.llm import stages
+from docflow.llm.common import kept, table
+
+STAGES = [
+    ("language_id", lambda spark, docs, sf_dir: stages.in_a_language(docs)),
+    ("line_dedup", lambda spark, docs, sf_dir: stages.without_common_lines(docs)),
+    ("ngram_jaccard_join", lambda spark, docs, sf_dir: stages.one_of_each_class(docs)),
+    ("mix_sources", lambda spark, docs, sf_dir: stages.mixed(docs)),
+    ("best_fit_packing", lambda spark, docs, sf_dir: stages.packed(docs)),
+]
+
+# Tokenizers and n-gram profiles are nothing that SQL can say; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to documents; each stage's result is written and read again before the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = kept(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
