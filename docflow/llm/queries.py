@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docflow.llm import fingerprints, langid, line_dedup, mixing, ngram_join, packing, sql, token_files
+from docflow.llm import ann, fingerprints, langid, line_dedup, mixing, ngram_join, packing, quality, sql, token_files
 from docflow.llm.common import fold, table
 from docflow.llm.registry import query
 
@@ -53,3 +53,16 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_fingerprints")
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_following(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(fold("doc_id", 5) != 0)
+    scored = quality.score(docs, quality.learn(docs, labels))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op7_nearest_neighbours")
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
