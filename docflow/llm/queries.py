@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docflow.llm import ann, fingerprints, langid, line_dedup, mixing, ngram_join, packing, quality, sql, token_files
+from docflow.llm import ann, fingerprints, langid, line_dedup, mixing, ngram_join, packing, quality, sql, token_files, url_filter
 from docflow.llm.common import fold, table
 from docflow.llm.registry import query
 
@@ -66,3 +66,18 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_nearest_neighbours")
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
+
+
+RULES = [
+    url_filter.Rule("com", "/", "allow"),
+    url_filter.Rule("example.com", "/en/", "block"),
+    url_filter.Rule("www.example.com", "/en/", "allow"),
+    url_filter.Rule("net", "/es/", "block"),
+    url_filter.Rule("net", "/fr/", "block"),
+]
+
+
+@query("op4_url_filters", sql.URLS)
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")

@@ -63,3 +63,60 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (drop) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT drop), '')) AS kept_sha256
 FROM marked GROUP BY r, doc_id"""
+
+
+def _url_levels() -> str:
+    """The grams of each length with their probabilities in both models, each from those one shorter."""
+    parts = []
+    for n in range(1, 5):
+        source = "" if n == 1 else f" JOIN level{n - 1} s ON s.gram = substr(c.gram, 2)"
+        sa, sr = ("(1.0::DOUBLE / 256)",) * 2 if n == 1 else ("s.pa", "s.pr")
+        parts.append(
+            f"level{n} AS (SELECT c.gram, {sa} AS sa, {sr} AS sr, (c.a + 2.0::DOUBLE * {sa}) / (t.a + 2.0::DOUBLE) AS pa,"
+            f" (c.r + 2.0::DOUBLE * {sr}) / (t.r + 2.0::DOUBLE) AS pr"
+            f" FROM counts c JOIN totals t USING (context){source} WHERE length(c.gram) = {n} AND c.a + c.r >= 2)"
+        )
+    return ",\n".join(parts)
+
+
+URLS = rf"""
+WITH cut AS (
+  SELECT row_number() OVER () AS n, page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+named AS (
+  SELECT n, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+rules AS (
+  SELECT * FROM (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')) r (rule_host, rule_path, rule_verdict)),
+fits AS (
+  SELECT n, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+    arg_max(rule_verdict, length(rule_host || rule_path)) AS by_rule
+  FROM named JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY n),
+ruled AS (SELECT named.*, host || path AS line, rule, by_rule FROM named LEFT JOIN fits USING (n)),
+lines AS (
+  SELECT line, count(*) FILTER (by_rule = 'allow') AS accepted, count(*) FILTER (by_rule = 'block') AS rejected FROM ruled GROUP BY line),
+places AS (
+  SELECT line, accepted, rejected, '^' || line || '$' AS s, unnest(range(2, length(line) + 3)) AS i FROM lines),
+grams AS (
+  SELECT line, accepted, rejected, substr(s, i - o, o + 1) AS gram FROM places CROSS JOIN (VALUES (0), (1), (2), (3)) t (o) WHERE i - o >= 1),
+counts AS (
+  SELECT gram, substr(gram, 1, length(gram) - 1) AS context, sum(accepted) AS a, sum(rejected) AS r FROM grams
+  WHERE accepted + rejected > 0 GROUP BY gram),
+totals AS (SELECT context, sum(a) AS a, sum(r) AS r FROM counts GROUP BY context),
+{_url_levels()},
+deltas AS (
+  SELECT gram, (ln(pa) - ln(pr)) - (ln(sa) - ln(sr)) AS delta
+  FROM (FROM level1 UNION ALL FROM level2 UNION ALL FROM level3 UNION ALL FROM level4)),
+scores AS (
+  SELECT line, accepted, rejected, round(coalesce(sum(delta), 0) / (length(line) + 1), 9) AS score FROM grams LEFT JOIN deltas USING (gram)
+  GROUP BY line, accepted, rejected),
+bins AS (SELECT floor(score * 64) AS bin, sum(accepted) AS a, sum(rejected) AS r FROM scores WHERE accepted + rejected > 0 GROUP BY bin),
+sums AS (SELECT sum(a) AS a, sum(r) AS r FROM bins),
+rights AS (
+  SELECT bin, round(sum(b.a) OVER up / s.a + 1 - sum(b.r) OVER up / s.r, 9) AS good FROM bins b, sums s WINDOW up AS (ORDER BY bin DESC)),
+least AS (
+  SELECT CASE WHEN s.r = 0 THEN '-inf'::DOUBLE WHEN s.a = 0 THEN 'inf'::DOUBLE
+    ELSE (SELECT bin / 64 FROM rights ORDER BY good DESC, abs(bin), bin LIMIT 1) END AS least FROM sums s)
+SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN score >= least THEN 'allow' ELSE 'block' END) AS verdict
+FROM ruled JOIN scores USING (line), least"""
