@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from docflow.checks import inputs as I, sql as S
 from docflow.checks.registry import check, filled
 from docflow.operators.extraction import extract_text, html_pages, utf8_pages
-from docflow.operators.records import file_records
+from docflow.operators.records import file_records, from_json_messages, to_json_messages
 from docflow.plans.chunk import chunk_report, run_chunk
 from docflow.plans.full import run_full
 from docflow.plans.listing import run_listing
@@ -16,7 +16,7 @@ from docflow.sources import store as st, topics as tp
 from docflow.sources.files import read_bytes, read_paths
 from docflow.sources.listing import PAGE_BITS
 from docflow.streaming import stages
-from docflow.streaming.changes import changed_stream
+from docflow.streaming.changes import keep_changed, read_changed
 
 EV = f"WITH {I.EVENTS}"
 LI = f"WITH {I.LISTED}"
@@ -51,7 +51,7 @@ def streamed_messages(spark, sf, copy):
 def a5(spark, sf):
     topic, copy, checkpoint = (work_folder(spark, n) for n in ("topic", "copy", "checkpoint"))
     tp.write_topic(I.file_messages(spark, sf), topic)
-    tp.run_available(tp.topic_stream_writer(tp.read_topic_stream(spark, topic, FILE_RECORD), copy, checkpoint))
+    tp.run_available(tp.copy_stage(spark, topic, FILE_RECORD, copy, checkpoint))
     rows = tp.read_topic(spark, copy, FILE_RECORD)
     return rows.select("key", "offset", "value.name", "value.modifiedTime")
 
@@ -60,8 +60,7 @@ def copied(spark, sf):
     copy, checkpoint = work_folder(spark, "copy"), work_folder(spark, "checkpoint")
 
     def drain(topic):
-        source = tp.read_topic_stream(spark, topic, FILE_RECORD)
-        return tp.run_available(tp.topic_stream_writer(source, copy, checkpoint))
+        return tp.run_available(tp.copy_stage(spark, topic, FILE_RECORD, copy, checkpoint))
 
     return copy, list(streamed_messages(spark, sf, drain))
 
@@ -81,19 +80,38 @@ def l5(spark, sf):
     return rows.agg(F.sum("input_rows").alias("input_rows"), F.countDistinct("run").alias("runs"))
 
 
-@check("l1_changed_stream", f"""{EV}, {S.tried("SELECT *, true AS ok FROM ev")} SELECT "offset", id, modifiedTime FROM tried""")
+def changed_copy(spark, topic, kept, checkpoint, won, max_batches=None):
+    """Drain a topic into the rows that changed, whole batches at a time."""
+
+    def handle(messages, number):
+        rows = messages.select("offset", "value.id", "value.modifiedTime", F.expr(won).alias("won"))
+        keep_changed(rows, "id", "offset", "modifiedTime", "won", kept, number)
+
+    return tp.run_available(tp.follow(spark, topic, FILE_RECORD, handle, checkpoint, max_batches))
+
+
+TRIED = S.tried("SELECT *, coalesce(try_cast(size AS BIGINT) < 60, true) AS ok FROM ev")
+
+
+@check("l1_changed_stream", f"""{EV}, {TRIED} SELECT "offset", id, modifiedTime, ok AS won FROM tried""")
 def l1(spark, sf):
     kept, checkpoint = work_folder(spark, "kept"), work_folder(spark, "checkpoint")
+    list(streamed_messages(spark, sf, lambda topic: changed_copy(spark, topic, kept, checkpoint, "coalesce(value.size < 60, true)")))
+    return read_changed(spark, kept)
 
-    def drain(topic):
-        rows = tp.read_topic_stream(spark, topic, FILE_RECORD)
-        rows = rows.select("offset", "value.id", "value.modifiedTime", F.lit(True).alias("won"))
-        changed = changed_stream(rows, "id", "offset", "modifiedTime", "won").drop("won")
-        writer = changed.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", kept)
-        return tp.run_available(writer)
 
-    list(streamed_messages(spark, sf, drain))
-    return spark.read.parquet(kept).select("offset", "id", "modifiedTime")
+@check("l1_changed_stream_many_files", f"""{EV}, {S.tried("SELECT 'all' AS id, \"offset\", modifiedTime, true AS ok FROM ev")} SELECT "offset", modifiedTime FROM tried""")
+def l1_files(spark, sf):
+    """One key in many files of a batch, a batch at a time: the stream keeps what the rule keeps."""
+    topic, kept, checkpoint = (work_folder(spark, n) for n in ("topic", "kept", "checkpoint"))
+    rows = I.events(spark, sf).withColumn("id", F.lit("all")).withColumn("size", F.lit(None).cast("string"))
+    messages = file_records(rows, ["offset"]).select("key", "offset", "value")
+    middle = messages.agg(F.floor(F.max("offset") / 2)).scalar()
+    for part in (F.col("offset") <= middle, F.col("offset") > middle):
+        # Dealt out by hash, so that each file holds offsets from all over.
+        tp.write_topic(messages.filter(part).repartition(8, F.xxhash64("offset")), topic)
+    changed_copy(spark, topic, kept, checkpoint, "true", 1)
+    return read_changed(spark, kept).select("offset", "modifiedTime")
 
 
 @check(
@@ -108,6 +126,37 @@ def l2(spark, sf):
     return marked.filter("changed").select("offset", "id", "success")
 
 
+@check(
+    "l3_malformed_value",
+    f"""{EV} SELECT "offset", k % 50 = 49 AS rejected, CASE WHEN k % 50 = 49 THEN 'value is malformed' END AS reason,
+      CASE WHEN k % 50 <> 49 THEN name END AS name FROM ev""",
+)
+def l3_malformed(spark, sf):
+    """Messages with broken JSON become rejects; the others are read."""
+    topic = work_folder(spark, "topic")
+    # The size of such events is no number, which the record's rules would reject before: it is taken out.
+    rows = file_records(I.events(spark, sf).withColumn("size", F.lit(None).cast("string")), ["offset", "k"])
+    text = to_json_messages(rows.select("key", "offset", "k", "value"))
+    broken = F.when(F.col("k") % 50 == 49, F.concat(F.lit("{"), "value")).otherwise(F.col("value"))
+    tp.write_topic(from_json_messages(text.withColumn("value", broken), FILE_RECORD), topic)
+    good = tp.read_topic(spark, topic, FILE_RECORD).select(
+        "offset", F.lit(False).alias("rejected"), F.lit(None).cast("string").alias("reason"), "value.name"
+    )
+    bad = tp.read_rejects(spark, topic, FILE_RECORD)
+    return good.union(bad.select("offset", F.lit(True), "reason", F.lit(None).cast("string")))
+
+
+@check("b3_retry_with_reader", f"""{EV} SELECT "offset", count(*) AS times FROM ev GROUP BY ALL""")
+def b3_reader(spark, sf):
+    """Each batch is written twice, and a stream reads along: no row comes twice."""
+    topic, copy, checkpoint = (work_folder(spark, n) for n in ("topic", "copy", "checkpoint"))
+    for i, part in enumerate(in_parts(spark, sf)):
+        for _ in range(2):
+            tp.write_topic(part, topic, i)
+            tp.run_available(tp.copy_stage(spark, topic, FILE_RECORD, copy, checkpoint))
+    return tp.read_topic(spark, copy, FILE_RECORD).groupBy("offset").agg(F.count("*").alias("times"))
+
+
 @check(
     "l3_error_isolation",
     f"""{LI} SELECT "offset", size = 'abc' IS TRUE AS rejected, CASE WHEN size = 'abc' THEN 'size is not a number' END AS reason FROM li""",
@@ -151,6 +200,37 @@ def l4(spark, sf):
     return chunk_rows(spark, chunks)
 
 
+@check(
+    "l4_late_files",
+    f"""{CHAIN} SELECT DISTINCT id, id || '_chunk_' || chunkIndex AS key, startPosition, endPosition, md5(chunkText) AS chunk
+    FROM parsed JOIN chunks USING (id)""",
+)
+def l4_late(spark, sf):
+    """All bytes land after all messages, while the streams go on: every file with bytes is parsed and chunked after all."""
+    parsed, chunks, texts, topic = (work_folder(spark, n) for n in ("parsed", "chunks", "texts", "topic"))
+    marks = {stage: work_folder(spark, f"checkpoint-{stage}") for stage in ("extract", "parse", "chunk")}
+    parts = in_parts(spark, sf)
+
+    def drain():
+        tp.run_available(stages.parse_stage(spark, topic, texts, parsed, marks["parse"]))
+        tp.run_available(stages.chunk_stage(spark, parsed, texts, chunks, marks["chunk"]))
+
+    for part in parts:
+        tp.write_topic(part, topic)
+    drain()
+    landed = I.land_files(spark, sf)
+    tp.run_available(
+        stages.extract_stage(
+            spark, landed, texts, marks["extract"], utf8_pages, lambda path: F.regexp_extract(path, r"/id=(\d+)/", 1), 1 << 20
+        )
+    )
+    tp.write_topic(parts[0].limit(0), topic)  # any further batch, here an empty one
+    drain()
+    return chunk_rows(spark, chunks).select(
+        F.regexp_extract("key", r"^(\d+)_", 1).alias("id"), "key", "startPosition", "endPosition", "chunk"
+    ).distinct()
+
+
 def chunk_rows(spark, topic):
     return tp.read_topic(spark, topic, CHUNK_RECORD).select(
         "offset", "key", F.col("value.fileName").alias("name"), "value.startPosition", "value.endPosition",
@@ -263,7 +343,7 @@ def parsed(spark, sf, batches=1):
     store, topic = work_folder(spark, "store"), work_folder(spark, "parsed")
     feed = in_parts(spark, sf) if batches > 1 else [I.file_messages(spark, sf)]
     for i, messages in enumerate(feed):
-        run_parse(spark, messages, I.file_bytes(spark, sf), store, topic, batch_id=i)
+        run_parse(spark, messages, I.file_bytes(spark, sf), store, topic, number=i)
     return store, topic
 
 
@@ -368,3 +448,31 @@ def n4_stream(spark, sf):
 
     list(streamed_messages(spark, sf, drain))
     return chunk_rows(spark, chunks)
+
+
+@check("n4_new_checkpoint", FULL)
+def n4_checkpoint(spark, sf):
+    """Each part of the topic is read by a stream of its own, with a new checkpoint: none replaces what another wrote."""
+    store, topic, chunks = (work_folder(spark, n) for n in ("store", "parsed", "chunks"))
+    for part in in_parts(spark, sf):
+        files = work_folder(spark, "files-topic")
+        tp.write_topic(part, files)
+        content = lambda session: I.file_bytes(session, sf)
+        tp.run_available(stages.full_stage(spark, files, content, store, topic, chunks, work_folder(spark, "checkpoint")))
+    return chunk_rows(spark, chunks)
+
+
+@check(
+    "n1_listing_resumed",
+    f"""{LI} SELECT page_no * {PAGE_CAPACITY} + pos AS "offset", coalesce(id, '') AS id, coalesce(name, '') AS name,
+      coalesce(try_cast(size AS BIGINT), -1) AS size, size IS NOT DISTINCT FROM 'abc' AS rejected FROM li""",
+)
+def n1_resumed(spark, sf):
+    """Runs that go on from the token of the one before add to the topic; together they are one run."""
+    pages, topic = I.land_pages(spark, sf), work_folder(spark, "topic")
+    total = I.listed(spark, sf).count()
+    token, first = None, True
+    while first or token:
+        token = run_listing(spark, pages, topic, max_files=total // 3 + 1, token=token)["next_page_token"]
+        first = False
+    return listing_result(spark, topic)

@@ -1,6 +1,6 @@
 """Building, checking, keying and counting records."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from docflow.functions.files import iso_utc, message_key, size_is_bad, size_to_long, storage_path
 from docflow.functions.text import text_length
@@ -138,8 +138,15 @@ def to_json_messages(records: DataFrame) -> DataFrame:
 
 
 def from_json_messages(messages: DataFrame, record) -> DataFrame:
-    """Topic rows with the value read back by its declared schema."""
-    return messages.withColumn("value", F.from_json(F.col("value").cast("string"), record, {"mode": "FAILFAST"}))
+    """Topic rows with the value read back by its declared schema; a malformed value is null and has a reason."""
+    raw = F.col("value").cast("string")
+    fields = T.StructType([*record.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json(raw, fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    read = messages.withColumn("_parsed", parsed)
+    bad = raw.isNotNull() & (F.col("_parsed").isNull() | F.col("_parsed._corrupt").isNotNull())
+    value = F.when(~bad & raw.isNotNull(), F.struct(*[F.col("_parsed")[n].alias(n) for n in record.names]))
+    reason = F.when(bad, F.lit("value is malformed"))
+    return read.withColumns({"value": value, "reason": reason}).drop("_parsed")
 
 
 def to_avro_messages(records: DataFrame, avro_schema: str) -> DataFrame:

@@ -38,21 +38,33 @@ def run_chunk(
     window: int = WINDOW_SIZE,
     overlap: int = OVERLAP,
     max_files: int | None = None,
-    batch_id: int = 0,
+    number: int | None = None,
     as_of: int | None = None,
     now: Column | None = None,
-) -> None:
-    """Chunk a batch of parsed files with the texts the store holds. Running a batch again replaces what it wrote."""
+    run: str = "",
+) -> int | None:
+    """Chunk a batch of parsed files with the texts the store holds.
+
+    Returns the offset of the last file taken, to go on from if `max_files` was met; null if there is none. A call with the `number` of a
+    batch of the run that was written writes nothing.
+    """
     check_window(window, overlap)
     files = chunkable(parsed)
+    if max_files is not None:
+        # The limit is on narrow rows: which files have content is known before any text is chunked.
+        there = with_content(read_store(spark, store, as_of, files.select(F.col("storagePath").alias("path")).distinct()))
+        named = files.join(there.select(F.col("path").alias("storagePath")), "storagePath", "left_semi")
+        end = first_rows(named.select("offset"), "offset", max_files).agg(F.max("offset")).first()[0]
+        files = files.filter(F.col("offset") <= F.lit(end))
     wanted = files.select(F.col("storagePath").alias("path")).distinct()
     # Each text is chunked once, before the join, however many messages name it.
     held = with_content(read_store(spark, store, as_of, wanted))
     chunks = F.when(has_text(F.col("content")), chunk_list(F.col("content"), window, overlap))
     lists = held.select(F.col("path").alias("storagePath"), chunks.alias("chunks"))
-    found = first_rows(files.join(lists, "storagePath"), "offset", max_files).filter("chunks IS NOT NULL")
+    found = files.join(lists, "storagePath").filter("chunks IS NOT NULL")
     rows = explode_chunks(found, F.col("chunks"), "id", ["offset", "id", "name"])
-    write_topic(_keyed(rows, now), topic, batch_id)
+    write_topic(_keyed(rows, now), topic, number, run)
+    return files.agg(F.max("offset")).first()[0] if max_files is None else end
 
 
 def chunk_report(spark: SparkSession, topic: str, by_file: bool = False) -> DataFrame:

@@ -20,10 +20,11 @@ def run_full(
     window: int = WINDOW_SIZE,
     overlap: int = OVERLAP,
     max_files: int | None = None,
-    batch_id: int = 0,
+    number: int | None = None,
     now: Column | None = None,
+    run: str = "",
 ) -> None:
-    """Parse a batch of file messages and chunk what came of it."""
-    run_parse(spark, messages, content, store, parsed_topic, extractor, max_files, batch_id, now)
+    """Parse a batch of file messages and chunk what came of it; `number` and `run` name it in both topics."""
+    batch_id = run_parse(spark, messages, content, store, parsed_topic, extractor, max_files, number, now, run)
     parsed = read_topic(spark, parsed_topic, PARSED_RECORD, F.col("batch_id") == batch_id)
-    run_chunk(spark, parsed, store, chunks_topic, window, overlap, max_files, batch_id, batch_id, now)
+    run_chunk(spark, parsed, store, chunks_topic, window, overlap, max_files, number, batch_id, now, run)

@@ -5,15 +5,15 @@ import time
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docflow.operators.ordering import number_batches, pages_within, until_empty_page
-from docflow.operators.records import delivery_counts, file_records, run_totals
+from docflow.operators.records import delivery_counts, file_records
 from docflow.schemas import FILE_RECORD
-from docflow.sources.listing import from_token, list_files, page_of, page_sizes, read_pages
+from docflow.sources.listing import from_token, list_files, page_of, page_sizes, read_pages, until_last_page
 from docflow.sources.topics import read_rows, write_topic
 
 
 def pages_of_run(sizes: DataFrame, max_files: int | None = None, token: str | None = None) -> DataFrame:
-    """Pages one run takes: from `token` on, up to the first empty page, whole pages until `max_files` is met."""
-    taken = until_empty_page(from_token(sizes, token), rows=F.col("files"))
+    """Pages one run takes: from `token` on, up to the first page that is empty or has no token, whole pages until `max_files` is met."""
+    taken = until_empty_page(until_last_page(from_token(sizes, token)), rows=F.col("files"))
     return pages_within(taken, "page_no", F.col("files"), max_files)
 
 
@@ -40,13 +40,14 @@ def run_listing(
     batch_size: int | None = None,
     max_files: int | None = None,
     token: str | None = None,
-    batch_id: int = 0,
+    number: int | None = None,
     **options,
 ) -> dict:
-    """Write one run of a landed listing to a topic and report on it.
+    """Write one run of a landed listing to a topic, as one more batch of it, and report on it.
 
     The report holds processed, sent, failed, duration and the token to go on from. The listing is read twice: for
-    the sizes of its pages, from which follows what the run takes, and for the files.
+    the sizes of its pages, from which follows what the run takes, and for the files. A run with the `number` of one
+    that was written writes nothing and reports on that one.
     """
     started = time.monotonic()
     pages = read_pages(spark, source)
@@ -59,8 +60,11 @@ def run_listing(
     finally:
         sizes.unpersist()
     taken = F.lit(False) if run["first"] is None else F.col("page_no").between(run["first"], run["last"])
-    write_topic(listing_messages(list_files(pages.filter(taken)), **options), topic, batch_id)
-    report = run_totals(sent_counts(spark, topic, batch_size, batch_id)).first().asDict()
+    written = write_topic(listing_messages(list_files(pages.filter(taken)), **options), topic, number)
+    sent, failed = written["accepted"], written["rejected"]
+    report = {"processed": sent + failed, "sent": sent, "failed": failed, "batch_id": written["batch_id"]}
+    if batch_size is not None:
+        report["batches"] = sent_counts(spark, topic, batch_size, written["batch_id"]).count()
     report["next_page_token"] = token if run["first"] is None else run["next_page_token"]
     report["duration"] = time.monotonic() - started
     return report

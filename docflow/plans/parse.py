@@ -11,7 +11,7 @@ from docflow.operators.ordering import first_rows
 from docflow.operators.records import parsed_record
 from docflow.schemas import PARSED_RECORD
 from docflow.sources.store import content_rows, save
-from docflow.sources.topics import read_topic, write_topic
+from docflow.sources.topics import batch_of, commits, write_topic
 
 STATE = "id string, modifiedTime string"
 
@@ -22,16 +22,20 @@ def pdf_messages(messages: DataFrame) -> DataFrame:
     return files.filter(is_pdf(F.col("mimeType")))
 
 
-def last_parsed(spark: SparkSession, topic: str, before_batch: int) -> DataFrame:
-    """Per id the modified time of the last file the earlier batches parsed. The topic itself is the state."""
-    try:
-        earlier = read_topic(spark, topic, PARSED_RECORD, F.col("batch_id") < before_batch)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+def last_parsed(spark: SparkSession, topic: str, before: int) -> DataFrame:
+    """Per id the modified time of the last file the batches before parsed: the state that the newest of them left."""
+    newest = commits(spark, topic).filter(F.col("batch_id") < before).agg(F.max("batch_id")).first()[0]
+    if newest is None:
         return spark.createDataFrame([], STATE)
-    rows = earlier.select("value.id", "offset", "value.modifiedTime")
-    return latest_per_key(rows, "id", "offset").select("id", "modifiedTime")
+    return spark.read.schema(STATE).parquet(f"{topic}/state/batch_id={newest}")
+
+
+def save_state(last: DataFrame, attempts: DataFrame, topic: str, batch_id: int) -> None:
+    """Fold a batch's successes into the state and leave it for the next batch. The log decides which state counts."""
+    won = latest_per_key(attempts.filter("status = 'success'").select("id", "offset", "modifiedTime"), "id", "offset")
+    new = won.select("id", "modifiedTime")
+    state = last.join(new, "id", "left_anti").select("id", "modifiedTime").unionByName(new)
+    state.write.mode("overwrite").parquet(f"{topic}/state/batch_id={batch_id}")
 
 
 def extract_needed(files: DataFrame, content: DataFrame, extractor: Extractor, last: DataFrame) -> DataFrame:
@@ -89,13 +93,18 @@ def run_parse(
     topic: str,
     extractor: Extractor = utf8_pages,
     max_files: int | None = None,
-    batch_id: int = 0,
+    number: int | None = None,
     now: Column | None = None,
-) -> None:
-    """Parse a batch of file messages: texts to the store, parsed files and rejects to the topic.
+    run: str = "",
+) -> int:
+    """Parse a batch of file messages: texts to the store, parsed files and rejects to the topic. Returns the batch id.
 
-    Running a batch again replaces what it wrote. The store comes first, so no parsed file is without its text.
+    A call with the `number` of a batch of the run that was written does nothing; without a number it is one more batch. The store
+    comes first, so no parsed file is without its text.
     """
+    batch_id, done = batch_of(spark, topic, run, number)
+    if done:
+        return batch_id
     files = pdf_messages(messages)
     last = last_parsed(spark, topic, batch_id)
     # Kept on executor disks to extract once for two writes; what is lost is extracted again.
@@ -105,7 +114,8 @@ def run_parse(
         newest = latest_per_key(attempts.filter("status = 'success'"), "id", "offset")
         texts = newest.select("id", "offset", "name", "mimeType").join(extracted.select("id", "text"), "id")
         save(content_rows(texts), store, batch_id)
-        write_topic(parsed_messages(attempts, now), topic, batch_id)
+        save_state(last, attempts, topic, batch_id)
+        return write_topic(parsed_messages(attempts, now), topic, number, run)["batch_id"]
     finally:
         attempts.unpersist()
         extracted.unpersist()

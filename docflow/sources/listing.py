@@ -19,11 +19,22 @@ def read_page_stream(spark: SparkSession, path: str, max_files: int = 1000) -> D
 
 
 def from_token(pages: DataFrame, token: str | None) -> DataFrame:
-    """Pages from the one `token` stands for: the page after the one that handed it out. None starts at the first."""
+    """Pages from the one `token` stands for: the page after the one that handed it out. None starts at the first.
+
+    A token that no page handed out is an error.
+    """
     if token is None:
         return pages
-    before = pages.filter(F.col("nextPageToken") == token).agg(F.max("page_no").alias("page_no"))
-    return pages.filter(F.col("page_no") > before.scalar())
+    before = pages.filter(F.col("nextPageToken") == token).agg(F.max("page_no")).first()[0]
+    if before is None:
+        raise ValueError(f"no page hands out the token {token!r}")
+    return pages.filter(F.col("page_no") > before)
+
+
+def until_last_page(pages: DataFrame) -> DataFrame:
+    """Pages up to the first one without a token for the next: the end of the listing."""
+    ends = pages.filter(F.nullif(F.col("nextPageToken"), F.lit("")).isNull()).agg(F.min("page_no").alias("end"))
+    return pages.filter(F.col("page_no") <= F.coalesce(ends.scalar(), F.lit(2**63 - 1)))
 
 
 def page_sizes(pages: DataFrame) -> DataFrame:
@@ -39,9 +50,10 @@ def next_token(pages: DataFrame) -> DataFrame:
 def list_files(pages: DataFrame) -> DataFrame:
     """One row per listed file, with page_no, pos and `offset`, which orders all files of the listing."""
     files = pages.select("page_no", F.posexplode("files").alias("pos", "file"))
-    return files.select(
-        (F.shiftleft("page_no", PAGE_BITS) + F.col("pos")).alias("offset"), "page_no", "pos", "file.*"
-    )
+    # A page too long for its offsets must not run into those of the next.
+    too_long = F.raise_error(F.concat(F.lit(f"more than {1 << PAGE_BITS} files on page "), F.col("page_no")))
+    place = F.when(F.col("pos") < 1 << PAGE_BITS, F.col("pos")).otherwise(too_long.cast("int"))
+    return files.select((F.shiftleft("page_no", PAGE_BITS) + place).alias("offset"), "page_no", "pos", "file.*")
 
 
 def page_of(offset: Column) -> Column:

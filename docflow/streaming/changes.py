@@ -1,41 +1,51 @@
-"""Changed-since-last as a stateful stream: one kept time per key in the state store."""
+"""Changed-since-last over a stream: the batch rule on each micro-batch, with the last kept times as a table."""
 
-from collections.abc import Iterator
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from docflow.operators.changes import latest_per_key, mark_changed
+from docflow.session import configure
 
-STATE = "last string"
 
+def keep_changed(rows: DataFrame, key: str, order: str, modified: str, success: str, path: str, number: int) -> None:
+    """Write the rows of micro-batch `number` that changed since the last successful one of their key, and the state after it.
 
-def changed_stream(df: DataFrame, key: str, order: str, modified: str, success: str) -> DataFrame:
-    """Rows of a stream that changed since the last successful one of their key, with the columns of `df`.
-
-    The rule is that of `mark_changed`. Rows of a key are put into order within a batch, so files must arrive in
-    order. Send narrow rows: they pass through Python. A batch is bounded by the source's trigger limit, thus so
-    is what one key brings into a task.
+    The rule is that of `mark_changed`, so a key with very many rows is cut into segments. The state is one row per key, read from what
+    the micro-batch before left: the work follows the batch and the number of keys, not the history. A micro-batch that comes
+    again replaces what it wrote. Micro-batches must come in order.
     """
-    nullable_longs = [f.name for f in df.schema if isinstance(f.dataType, T.LongType) and f.name != order]
-
-    def changed(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames), ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
-        last = state.get[0] if state.exists else None
-        keep = []
-        for time, won in zip(rows[modified], rows[success]):
-            time = time or None
-            tried = time is None or last is None or time > last
-            keep.append(tried)
-            if tried and won:
-                last = time
-        state.update((last,))
-        yield rows[pd.Series(keep, dtype=bool)]
-
-    # pandas would turn longs with nulls into doubles
-    narrow = df.select(
-        *[F.col(c).cast("string").alias(c) if c in nullable_longs else F.col(c) for c in df.columns]
-    )
-    kept = narrow.groupBy(key).applyInPandasWithState(
-        changed, narrow.schema, STATE, "append", GroupStateTimeout.NoTimeout
-    )
-    return kept.select(*[F.col(c).cast("long").alias(c) if c in nullable_longs else F.col(c) for c in df.columns])
+    last = read_state(rows.sparkSession, path, number - 1, rows.select(key, modified))
+    marked = mark_changed(rows, key, order, modified, F.col(success), last).filter("changed").drop("changed")
+    marked.write.mode("overwrite").parquet(f"{path}/rows/number={number}")
+    kept = rows.sparkSession.read.parquet(f"{path}/rows/number={number}").filter(F.col(success))
+    new = latest_per_key(kept.select(key, order, modified), key, order).drop(order)
+    state = last.join(new, key, "left_anti").unionByName(new)
+    state.write.mode("overwrite").parquet(f"{path}/state/number={number}")
+
+
+def read_state(spark: SparkSession, path: str, number: int, like: DataFrame) -> DataFrame:
+    """The state that a micro-batch left; before the first it is empty."""
+    try:
+        return spark.read.schema(like.schema).parquet(f"{path}/state/number={number}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND" or number >= 0:
+            raise
+        return spark.createDataFrame([], like.schema)
+
+
+def read_changed(spark: SparkSession, path: str) -> DataFrame:
+    """All rows kept so far."""
+    return spark.read.parquet(f"{path}/rows").drop("number")
+
+
+def changed_writer(
+    df: DataFrame, key: str, order: str, modified: str, success: str, path: str, checkpoint: str
+) -> DataStreamWriter:
+    """Rows of any stream that changed since the last successful one of their key, to `path`; see `keep_changed`."""
+
+    def run(rows: DataFrame, number: int) -> None:
+        configure(rows.sparkSession)
+        keep_changed(rows, key, order, modified, success, path, number)
+
+    return df.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)

@@ -1,7 +1,10 @@
 """The stages as streaming queries. Each has its own checkpoint and can be stopped and started alone."""
 
+import hashlib
 from collections.abc import Callable
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -12,13 +15,11 @@ from docflow.operators.lookups import content_lookup
 from docflow.plans.chunk import chunk_messages, chunkable
 from docflow.plans.full import run_full
 from docflow.plans.listing import listing_messages
-from docflow.plans.parse import parsed_messages, pdf_messages
+from docflow.plans.parse import last_parsed, parse_attempts, parsed_messages, pdf_messages, save_state
 from docflow.schemas import FILE_RECORD, OVERLAP, PARSED_RECORD, WINDOW_SIZE
-from docflow.session import configure
 from docflow.sources.files import file_id, read_bytes_stream
 from docflow.sources.listing import list_files, read_page_stream
-from docflow.sources.topics import read_topic_stream, topic_stream_writer
-from docflow.streaming.changes import changed_stream
+from docflow.sources.topics import batch_of, follow, topic_stream_writer, write_topic
 
 TEXTS = "path string, id string, content string, text_length long, landed timestamp, status string"
 
@@ -55,68 +56,111 @@ def texts_writer(extracted: DataFrame, texts: str, checkpoint: str) -> DataStrea
 
 
 def read_texts(spark: SparkSession, texts: str) -> DataFrame:
-    return spark.read.schema(TEXTS).parquet(texts)
+    """The texts there are now; none before the first is written."""
+    try:
+        return spark.read.schema(TEXTS).parquet(texts)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], TEXTS)
+
+
+def waiting(spark: SparkSession, topic: str, run: str, number: int, like: DataFrame) -> DataFrame:
+    """Messages that the micro-batch before left to be tried again."""
+    try:
+        return spark.read.schema(like.schema).parquet(_waiting(topic, run, number - 1))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], like.schema)
+
+
+def _waiting(topic: str, run: str, number: int) -> str:
+    return f"{topic}/waiting/run={hashlib.sha256(run.encode()).hexdigest()[:16]}/number={number}"
 
 
 def parse_stage(
-    spark: SparkSession, files_topic: str, texts: str, parsed_topic: str, checkpoint: str, max_files: int = 1000,
-    now: Column | None = None,
+    spark: SparkSession, files_topic: str, texts: str, parsed_topic: str, checkpoint: str,
+    max_batches: int | None = None, now: Column | None = None,
 ) -> DataStreamWriter:
     """Files topic to parsed topic, with the last parsed time per file as state.
 
-    Only how an extraction ended is looked up here, not the text. The lookup sees the texts there were when the
-    query started.
+    How an extraction ended is looked up within the micro-batch; the texts take no part. A message of a file without bytes is `failed`,
+    as in the batch job, and waits: it is tried again in the next micro-batches, and parsed once the bytes are there.
     """
-    files = pdf_messages(read_topic_stream(spark, files_topic, FILE_RECORD, max_files))
-    outcome = latest_per_key(read_texts(spark, texts).select("id", "status", "text_length", "landed"), "id", "landed")
-    judged = files.join(outcome.drop("landed"), "id", "left")
-    judged = judged.withColumn("status", F.coalesce("status", F.lit("failed")))
-    judged = judged.withColumn("won", F.col("status") == "success")
-    attempts = changed_stream(judged, "id", "offset", "modifiedTime", "won")
-    return topic_stream_writer(parsed_messages(attempts, now), parsed_topic, checkpoint)
+
+    def run(messages: DataFrame, number: int) -> None:
+        session = messages.sparkSession
+        batch_id, done = batch_of(session, parsed_topic, checkpoint, number)
+        if done:
+            return
+        new = pdf_messages(messages)
+        old = waiting(session, parsed_topic, checkpoint, number, new)
+        files = new.withColumn("again", F.lit(False)).unionByName(old.withColumn("again", F.lit(True)))
+        outcome = latest_per_key(read_texts(session, texts).select("id", "status", "text_length", "landed"), "id", "landed")
+        outcome = outcome.join(files.select("id").distinct(), "id", "left_semi")
+        last = last_parsed(session, parsed_topic, batch_id)
+        attempts = parse_attempts(files, outcome, last).filter("NOT again OR status <> 'failed'")
+        # Kept on executor disks for several writes; what is lost is computed again.
+        attempts = attempts.persist(StorageLevel.DISK_ONLY)
+        try:
+            absent = files.join(outcome, "id", "left_anti").drop("again")
+            absent.write.mode("overwrite").parquet(_waiting(parsed_topic, checkpoint, number))
+            save_state(last, attempts, parsed_topic, batch_id)
+            write_topic(parsed_messages(attempts, now), parsed_topic, number, checkpoint)
+        finally:
+            attempts.unpersist()
+
+    return follow(spark, files_topic, FILE_RECORD, run, checkpoint, max_batches)
 
 
 def chunk_stage(
     spark: SparkSession, parsed_topic: str, texts: str, chunks_topic: str, checkpoint: str, window: int = WINDOW_SIZE,
-    overlap: int = OVERLAP, max_files: int = 1000, now: Column | None = None,
+    overlap: int = OVERLAP, max_batches: int | None = None, now: Column | None = None,
 ) -> DataStreamWriter:
-    """Parsed topic to chunks topic."""
-    parsed = chunkable(read_topic_stream(spark, parsed_topic, PARSED_RECORD, max_files))
-    held = read_texts(spark, texts).filter("status = 'success'").select("path", "content", "landed")
-    newest = latest_per_key(held, "path", "landed")
-    return topic_stream_writer(
-        chunk_messages(content_lookup(parsed, newest), window, overlap, now), chunks_topic, checkpoint
-    )
+    """Parsed topic to chunks topic. Texts are looked up within the micro-batch; a file without one waits for it."""
+
+    def run(messages: DataFrame, number: int) -> None:
+        session = messages.sparkSession
+        new = chunkable(messages)
+        files = new.unionByName(waiting(session, chunks_topic, checkpoint, number, new))
+        held = read_texts(session, texts).filter("status = 'success'")
+        wanted = files.select(F.col("storagePath").alias("path")).distinct()
+        held = latest_per_key(held.join(wanted, "path", "left_semi").select("path", "content", "landed"), "path", "landed")
+        absent = files.join(held.select(F.col("path").alias("storagePath")), "storagePath", "left_anti")
+        absent.write.mode("overwrite").parquet(_waiting(chunks_topic, checkpoint, number))
+        write_topic(chunk_messages(content_lookup(files, held), window, overlap, now), chunks_topic, number, checkpoint)
+
+    return follow(spark, parsed_topic, PARSED_RECORD, run, checkpoint, max_batches)
 
 
 def full_stage(
     spark: SparkSession, files_topic: str, content: Callable[[SparkSession], DataFrame], store: str, parsed_topic: str,
     chunks_topic: str, checkpoint: str, extractor: Extractor = utf8_pages, window: int = WINDOW_SIZE,
-    overlap: int = OVERLAP, max_files: int = 1000, now: Column | None = None,
+    overlap: int = OVERLAP, max_batches: int | None = None, now: Column | None = None,
 ) -> DataStreamWriter:
     """Files topic to store, parsed topic and chunks topic: the batch job on each micro-batch.
 
-    `content` gives the file bytes there are at the time of a micro-batch. A micro-batch that is run again after a
-    failure replaces what it wrote. Files with very many messages are cut into segments here, as in the batch job.
+    `content` gives the file bytes there are at the time of a micro-batch. A stream with a new checkpoint is a new run: its batches
+    and store versions come after those there are. Files with very many messages are cut into segments here, as in the batch job.
     """
 
-    def run(messages: DataFrame, batch_id: int) -> None:
-        session = configure(messages.sparkSession)
+    def run(messages: DataFrame, number: int) -> None:
+        session = messages.sparkSession
         run_full(
             session, messages, content(session), store, parsed_topic, chunks_topic, extractor, window, overlap,
-            batch_id=batch_id, now=now,
+            number=number, now=now, run=checkpoint,
         )
 
-    messages = read_topic_stream(spark, files_topic, FILE_RECORD, max_files)
-    return messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return follow(spark, files_topic, FILE_RECORD, run, checkpoint, max_batches)
 
 
 def progress(query: StreamingQuery) -> list[dict]:
-    """Batch number, rows in and rows per second of the batches a query has run lately."""
+    """Batch number, rows (of a topic: messages) in and rows per second of the batches a query has run lately."""
     return [
         {
             "batch_id": p.batchId,
-            "input_rows": p.numInputRows,
+            "input_rows": p.observedMetrics["topic"].rows if "topic" in p.observedMetrics else p.numInputRows,
             "rows_per_second": p.processedRowsPerSecond,
             "duration_ms": p.batchDuration,
         }

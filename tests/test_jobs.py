@@ -17,7 +17,7 @@ from docflow.session import work_folder
 from docflow.sources import listing as ls, store as st, topics as tp
 from docflow.sources.files import read_bytes, read_paths
 from docflow.streaming import stages
-from docflow.streaming.changes import changed_stream
+from docflow.streaming.changes import changed_writer, read_changed
 from tests.test_changes import random_rows, rule_tried
 
 PDF = "application/pdf"
@@ -41,7 +41,7 @@ def files(*ids, **fields):
 
 def report(spark, source, folder, **options):
     got = run_listing(spark, source, str(folder), **options)
-    assert got.pop("duration") > 0
+    assert got.pop("duration") > 0 and got.pop("batch_id") >= 0
     return got
 
 
@@ -183,7 +183,7 @@ def test_parse_job(spark, tmp_path):
     later = messages(spark, [(10, "good", "3", PDF), (11, "good", "4", PDF), (12, "bad", "1", PDF)])
     mended = spark.createDataFrame([("good", b"new"), ("bad", b"mended")], "id string, content binary")
     for _ in range(2):  # once more is no change
-        run_parse(spark, later, mended, store, topic, batch_id=1)
+        run_parse(spark, later, mended, store, topic, number=1)
         assert parsed(spark, topic) == expected + [(11, "success", None), (12, "success", None)]
         assert {r.path: r.content for r in st.read_store(spark, store).collect()} == {
             "parsed/good.txt": "new", "parsed/bad.txt": "mended",
@@ -213,8 +213,9 @@ def test_full_run_and_limits(spark, tmp_path):
         (0, "good_chunk_0", "n0", "one two three."), (0, "good_chunk_1", "n0", "e. four five six"), (0, "good_chunk_2", "n0", "ix"),
     ]
     assert [g[1:2] + g[3:] for g in got if g[0] == 0] == [g[1:2] + g[3:] for g in got if g[0] == 2]
-    run_chunk(spark, tp.read_topic(spark, topic, PARSED_RECORD), store, out, 16, 2, max_files=1)
-    assert {g[0] for g in chunks(spark, out)} == {0}
+    first = str(tmp_path / "first")
+    assert run_chunk(spark, tp.read_topic(spark, topic, PARSED_RECORD), store, first, 16, 2, max_files=1) == 0
+    assert {g[0] for g in chunks(spark, first)} == {0}
 
 
 def test_streams_equal_batch_with_restarts(spark, tmp_path):
@@ -228,7 +229,7 @@ def test_streams_equal_batch_with_restarts(spark, tmp_path):
     ids = ["a", "a", "b", "blank", "gone"]
     pages = {
         p: ([{"id": rng.choice(ids), "name": f"n{p}", "mimeType": rng.choice([PDF, "text/plain"]),
-              "modifiedTime": rng.choice([None, "1", "2", "3"])} for _ in range(12)], None)
+              "modifiedTime": rng.choice([None, "1", "2", "3"])} for _ in range(12)], f"t{p + 1}")
         for p in range(3)
     }
     topics = {n: str(tmp_path / n) for n in ("files-topic", "parsed", "chunks", "texts")}
@@ -261,9 +262,9 @@ def test_changed_stream_equals_the_rule(spark, tmp_path):
     for part in range(3):
         some = [(*r, None if r[1] % 2 else 1 << 60) for r in rows[part * 100 : part * 100 + 100]]
         spark.createDataFrame(some, schema).write.mode("append").parquet(source)
-        stream = changed_stream(spark.readStream.schema(schema).parquet(source), "id", "offset", "m", "ok")
-        tp.run_available(stream.writeStream.format("parquet").option("path", kept).option("checkpointLocation", mark))
-    got = spark.read.parquet(kept).collect()
+        stream = spark.readStream.schema(schema).parquet(source)
+        tp.run_available(changed_writer(stream, "id", "offset", "m", "ok", kept, mark))
+    got = read_changed(spark, kept).collect()
     assert sorted(r.offset for r in got) == sorted(rule_tried(rows))
     assert {(r.offset % 2, r.size) for r in got} == {(1, None), (0, 1 << 60)}
 
@@ -279,3 +280,30 @@ def test_work_folder(spark):
 def test_unknown_policy(spark):
     with pytest.raises(ValueError):
         file_records(spark.createDataFrame([("a",)], "id string"), null_policy="other")
+
+
+def test_listing_ends_at_a_page_without_token(spark, tmp_path):
+    source = land(tmp_path / "in", {0: (files("a", "b"), "t1"), 1: (files("c", "d"), None), 2: (files("e"), None)})
+    got = report(spark, source, tmp_path / "t")
+    assert got["processed"] == 4 and got["next_page_token"] is None
+    with pytest.raises(ValueError):
+        run_listing(spark, source, str(tmp_path / "u"), token="unknown")
+
+
+def test_runs_add_to_a_topic(spark, tmp_path):
+    source = land(tmp_path / "in", {0: (files("a", "b"), "t1"), 1: (files("c", "d"), "t2"), 2: (files("e"), None)})
+    topic = str(tmp_path / "t")
+    assert report(spark, source, topic, max_files=2)["next_page_token"] == "t1"
+    assert report(spark, source, topic, token="t1")["processed"] == 3
+    assert {r.key for r in tp.read_topic(spark, topic, FILE_RECORD).collect()} == set("abcde")
+    rows = tp.read_topic(spark, topic, FILE_RECORD)
+    again = str(tmp_path / "again")
+    assert [tp.write_topic(rows, again, 0)["accepted"] for _ in range(2)] == [5, 5]
+    assert tp.read_topic(spark, again, FILE_RECORD).count() == 5
+
+
+def test_a_page_has_a_greatest_length(spark):
+    page = spark.range(1).select(F.lit(0).cast("long").alias("page_no"), F.expr(
+        f"transform(sequence(1, {(1 << ls.PAGE_BITS) + 1}), i -> named_struct('id', 'x'))").alias("files"))
+    with pytest.raises(Exception, match="more than"):
+        ls.list_files(page).agg(F.max("offset")).collect()

@@ -129,3 +129,11 @@ def test_split_and_parsed_check(spark):
     value = good.first().value
     assert value.textLength == 3 and value.storagePath == "parsed/1.txt" and value.errorMessage is None
     assert rows.schema["value"].dataType.names == PARSED_RECORD.names
+
+
+def test_malformed_values_have_a_reason(spark):
+    values = ['{"id":"a","name":"b"}', '{{"id":"a"}', "x", None, '{"id":"a","size":"q"}', "[]"]
+    rows = rc.from_json_messages(spark.createDataFrame([(i, v) for i, v in enumerate(values)], "offset long, value string"), FILE_RECORD)
+    got = {r.offset: (r.value and r.value.id, r.reason) for r in rows.collect()}
+    bad = (None, "value is malformed")
+    assert got == {0: ("a", None), 1: bad, 2: bad, 3: (None, None), 4: bad, 5: bad}
