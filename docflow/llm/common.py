@@ -16,6 +16,17 @@ LIKENESS = 0.75
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+# What a Python worker holds at once: two of them share an executor's memory with its heap.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """Bound the Arrow batches that Python workers get."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Write a table to a fresh folder under spark.checkpoint.dir and read it from there: cuts the lineage, is computed once
     and survives lost executors."""
@@ -42,23 +53,81 @@ def fold(doc_id: str, parts: int) -> Column:
 
 
 class WordTable(dict):
-    """What `make` gives for a word, remembered for at most `limit` words of up to 64 letters or bytes at a time."""
+    """What `make` gives for a word. Remembers the last `limit` to 2 * `limit` words of up to 64 letters or bytes."""
 
     def __init__(self, make, limit: int = 300_000):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.older = make, limit, {}
 
     def __missing__(self, word):
-        value = self.make(word)
+        value = self.older.get(word)
+        if value is None:
+            value = self.make(word)
         if len(word) <= 64:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[word] = value
         return value
 
 
-_word_hashes = WordTable(lambda word: xxhash.xxh3_64_intdigest(word).to_bytes(8, "little"))
-_FACTORS = np.array([int(xxhash.xxh3_64_intdigest(f"place {i}")) | 1 for i in range(64)], dtype=np.uint64)
+def _random_words(name: str, n: int) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(f"{name} {i}") for i in range(n)], dtype=np.uint64)
+
+
+_FACTORS = _random_words("place", 64) | np.uint64(1)
+_SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+# A value per byte: A-Z have those of a-z, white space has none.
+_BYTES = _random_words("byte", 256)
+_BYTES[65:91] = _BYTES[97:123]
+_BYTES[_SPACES] = 0
+_BASE = xxhash.xxh3_64_intdigest("base") | 1
+_STRETCH = 1 << 18
+
+
+class _Powers:
+    """Powers of an odd 64-bit base and their inverses, as many as were asked for."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, dtype=np.uint64)
+
+    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.up) < n:
+            k = len(self.up)
+            step, back = pow(_BASE, k, 1 << 64), pow(_BASE, -k, 1 << 64)
+            self.up = np.concatenate([self.up, self.up * np.uint64(step)])
+            self.down = np.concatenate([self.down, self.down * np.uint64(back)])
+        return self.up[:n], self.down[:n]
+
+
+_powers = _Powers()
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word of a text, in order, A-Z lower-cased; by polynomials over its bytes, without a word table."""
+    if len(text) > 2 * _STRETCH:
+        # Cut long texts where a word ends.
+        done, at = [], 0
+        while at < len(text):
+            end = at + _STRETCH
+            while end < len(text) and not _SPACES[text[end]]:
+                end += 1
+            done.append(_stretch_hashes(text[at:end]))
+            at = end
+        return np.concatenate(done)
+    return _stretch_hashes(text)
+
+
+def _stretch_hashes(text: bytes) -> np.ndarray:
+    points = np.frombuffer(text, dtype=np.uint8)
+    up, down = _powers.get(len(points))
+    space = np.ones(len(points) + 2, dtype=bool)
+    space[1:-1] = _SPACES[points]
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    start, end = edges[::2], edges[1::2]
+    sums = np.zeros(len(points) + 1, dtype=np.uint64)
+    np.cumsum(_BYTES[points] * up, out=sums[1:])
+    return (sums[end] - sums[start]) * down[start]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -78,26 +147,27 @@ def shingle_hashes(text: bytes | None, width: int = SHINGLE_WORDS) -> np.ndarray
 
     A text with fewer words than `width` has its whole word sequence as one shingle; null or no word gives none.
     """
-    # bytes.lower and bytes.split know ASCII only: exactly A-Z and exactly the white space above.
-    words = text.lower().split() if text else []
-    if not words:
+    hashes = word_hashes(text) if text else ()
+    if not len(hashes):
         return np.empty(0, dtype=np.uint64)
-    hashes = np.frombuffer(b"".join(map(_word_hashes.__getitem__, words)), dtype=np.uint64)
-    if len(words) < width:
-        total = np.add.reduce(hashes * _FACTORS[: len(words)], keepdims=True) + np.uint64(len(words))
+    if len(hashes) < width:
+        total = np.add.reduce(hashes * _FACTORS[: len(hashes)], keepdims=True) + np.uint64(len(hashes))
         return mixed(total)
-    n = len(words) - width + 1
+    n = len(hashes) - width + 1
     total = hashes[:n] * _FACTORS[0]
     for i in range(1, width):
         total = total + hashes[i : n + i] * _FACTORS[i]
-    return np.unique(mixed(total))
+    total = mixed(total)
+    total.sort()
+    return total[np.concatenate([[True], total[1:] != total[:-1]])]
 
 
 def set_hash(tokens: np.ndarray) -> int:
     """A signed 64-bit hash of a set of 64-bit hashes."""
     again = mixed(tokens ^ np.uint64(0x9E3779B97F4A7C15))
-    both = np.array([np.bitwise_xor.reduce(again), np.add.reduce(again), len(tokens)], dtype=np.uint64)
-    return int(mixed(np.add.reduce(mixed(both * _FACTORS[:3]), keepdims=True)).view(np.int64)[0])
+    folded = int(np.bitwise_xor.reduce(again)) * int(_FACTORS[0]) + int(np.add.reduce(again)) * int(_FACTORS[1]) + len(tokens)
+    folded = (folded ^ (folded >> 64)) & 0xFFFFFFFFFFFFFFFF
+    return folded - (1 << 64) if folded >> 63 else folded
 
 
 # --- connected components -----------------------------------------------------------------------

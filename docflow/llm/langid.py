@@ -36,7 +36,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     """lang, gram, count over all texts (lang, text): words are counted first, in each task, and taken apart after that."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_word = WordTable(grams, 100_000)
+        of_word = WordTable(grams, 50_000)
         total: dict[str, Counter] = {}
         for batch in batches:
             words: dict[str, Counter] = {}
@@ -94,7 +94,7 @@ class Ranker:
         self.number: dict[int, int] = {}
         self.gram = np.zeros(1024, dtype=np.int64)
         self.rank = np.full((1024, len(self.languages)), -1, dtype=np.int32)
-        self.of_word = WordTable(self._numbers, 200_000)
+        self.of_word = WordTable(self._numbers, 100_000)
 
     def _numbers(self, word: str) -> bytes:
         found = []

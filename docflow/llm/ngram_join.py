@@ -4,14 +4,15 @@ The sketch of a set: each shingle hash flips one bit of one of k segments, so th
 the symmetric difference of the sets. Two sets of sizes a and b that are alike enough differ in at most
 D = floor((a + b) * (1 - t) / (1 + t)) shingles: at least k - D of their k segments are equal (pigeonhole).
 
-* A segment has 2**64 places and is kept as the XOR of the places set in it; equal segments have equal XORs. A folded
-  sketch of 1024 bits goes along to the pairs: its Hamming distance, too, is at most the symmetric difference.
+* A segment has 2**64 places and is kept as the XOR of the places set in it; equal segments have equal XORs. Pairs are looked at
+  with the sketch folded to a few bits per shingle: its Hamming distance, too, is at most the symmetric difference.
 * k depends on the size band, an octave of set sizes. A set enters its own band and, if a partner could be there, the next.
 * Segments are ranked by one rule for all sets: those with more shingles first, very common ones last. Two alike sets
-  share a segment among the first D + 1 of each, so only these are shuffled.
+  share at least l segments among the first D + l of each, so only these are shuffled; l is 1 for small sets and grows with the band.
 * Sets that share a segment are compared with the least one there; whoever links is in one component and needs no second look.
-  Segments whose sets end up in several components are taken up again until every pair of sets in different components
-  that shares a segment has been compared, in full, on the shingle sets.
+  Segments whose sets end up in several components are taken up again: a set that has fewer than l of them is done, and of
+  the others' segments the l - 1 with most sets need no look. Every pair of sets in different components that still
+  shares a segment is compared, in the end on the shingle sets.
 * Where a segment holds very many components (a passage that many texts share), its sets are joined anew on single shingles,
   the rarest first by their exact counts.
 """
@@ -34,7 +35,7 @@ from docflow.llm.common import (
     texts_as_bytes,
 )
 
-FOLDED_BITS = 1024
+LEAST_BITS = 1024
 LEAST_SEGMENTS = 64
 # A bounded sample of texts, taken by hash, finds segments that a large share of all texts have.
 SAMPLE_TEXTS = 20_000
@@ -43,6 +44,8 @@ SALTS = 64
 # Segments with more components than this are joined on single shingles.
 CROWDED = 48
 STAR_ROUNDS = 4
+# A table of at most so many narrow rows may be broadcast; a longer one is shuffled.
+BROADCAST_ROWS = 400_000
 
 _U = np.uint64
 
@@ -62,18 +65,23 @@ class Bands:
         own = size.bit_length() - 1
         partner = size * 100 // self.percent
         return [
-            (band, self.segments(band), self.most(size, min(partner, (2 << band) - 1)) + 1)
+            (band, self.segments(band), self.most(size, min(partner, (2 << band) - 1)) + least_shared(band))
             for band in (own, own + 1)
             if partner >= 1 << band
         ]
 
     def segments(self, band: int) -> int:
         largest = (2 << band) - 1
-        return max(LEAST_SEGMENTS, -(-12 * (self.most(largest, largest) + 1) // 10))
+        return max(LEAST_SEGMENTS, -(-5 * (self.most(largest, largest) + least_shared(band)) // 4))
+
+
+def least_shared(band: int) -> int:
+    """How many of the segments they send two alike sets of a band share at least."""
+    return max(1, (1 << band) // 12)
 
 
 def sketch_segments(tokens: np.ndarray, bands: Bands, common: np.ndarray | None = None) -> np.ndarray:
-    """The ranked segments of a set that are to be shared: signed 64-bit values, even; odd ones name a common segment.
+    """The first segments of a set by rank: signed 64-bit values that hold the band in bits 1 to 5; odd ones name a common segment.
 
     tokens: sorted distinct hashes. common: sorted values of segments that go last.
     """
@@ -81,8 +89,8 @@ def sketch_segments(tokens: np.ndarray, bands: Bands, common: np.ndarray | None
     found = []
     for band, k, share in bands.of(len(tokens)):
         part = ((tokens >> _U(32)) * _U(k)) >> _U(32)  # rising, as the tokens are sorted
-        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-        counts = np.diff(np.r_[starts, len(part)]).astype(np.uint64)
+        starts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1])
+        counts = np.diff(starts, append=len(part)).astype(np.uint64)
         values = np.bitwise_xor.reduceat(places, starts)
         names = mixed(part[starts] + _U(band << 32)) + counts * _U(0x8EBC6AF09C88C6E3)
         segments = mixed(values ^ names)
@@ -91,23 +99,37 @@ def sketch_segments(tokens: np.ndarray, bands: Bands, common: np.ndarray | None
             empty = np.setdiff1d(np.arange(k, dtype=np.uint64), part[starts])[: share - len(segments)]
             segments = np.r_[segments, mixed(mixed(empty + _U(band << 32)))]
             counts = np.r_[counts, np.zeros(len(empty), dtype=np.uint64)]
-        segments &= ~_U(1)
-        late = np.isin(segments, common) if common is not None and len(common) else np.zeros(len(segments), dtype=bool)
-        rank = (late.astype(np.uint64) << _U(63)) | ((_U(7) - np.minimum(counts, _U(7))) << _U(60)) | (segments >> _U(4))
+        segments = (segments & ~_U(63)) | _U(band << 1)
+        rank = ((_U(7) - np.minimum(counts, _U(7))) << _U(60)) | (segments >> _U(4))
+        late = None
+        if common is not None and len(common):
+            late = common[np.minimum(np.searchsorted(common, segments), len(common) - 1)] == segments
+            rank |= late.astype(np.uint64) << _U(63)
         first = np.argpartition(rank, share - 1)[:share] if share < len(rank) else slice(None)
-        segments, late = segments[first], late[first]
-        if late.any():
+        segments = segments[first]
+        if late is not None and (late := late[first]).any():
             which = np.searchsorted(common, segments[late]).astype(np.uint64)
             salt = mixed(np.add.reduce(tokens, keepdims=True))[0] % _U(SALTS)
-            segments[late] = ((which * _U(SALTS) + salt) << _U(1)) | _U(1)
+            segments[late] = ((which * _U(SALTS) + salt) << _U(6)) | _U(band << 1) | _U(1)
         found.append(segments)
     return np.concatenate(found).view(np.int64)
 
 
 def folded(tokens: np.ndarray) -> bytes:
-    """The parity sketch folded to FOLDED_BITS bits."""
-    parity = np.bincount((tokens & _U(FOLDED_BITS - 1)).astype(np.int64), minlength=FOLDED_BITS) & 1
-    return np.packbits(parity.astype(np.uint8)).tobytes()
+    """The parity sketch folded to a power of two of bits, at least LEAST_BITS and twice the number of tokens."""
+    bits = max(LEAST_BITS, 2 << (len(tokens) - 1).bit_length())
+    parity = np.bincount((tokens & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded_distance(x: bytes, y: bytes) -> int:
+    """Hamming distance of two folded sketches; the longer one is folded on to the length of the other."""
+    a, b = (np.frombuffer(v, dtype=np.uint64) for v in (x, y))
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) < len(b):
+        b = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 # --- stages -------------------------------------------------------------------------------------
@@ -203,14 +225,20 @@ def shared(segments: DataFrame) -> DataFrame:
 
 
 def joined_salts(found: DataFrame) -> DataFrame:
-    """The rows of `shared` with the salted groups of a common segment under one name and joined by their centers."""
+    """segment, node, center, band: the rows of `shared`, with the salted groups of a common segment joined by their centers."""
     odd = F.col("segment").bitwiseAND(1) == 1
-    # -2 - number: no other segment is between -2 - 20,000 * 100 and -2 but by chance, which adds a comparison at most.
-    name = F.when(odd, -2 - F.floor(F.shiftright("segment", 1) / SALTS)).otherwise(F.col("segment")).alias("segment")
-    heads = found.filter(odd & (F.col("node") == F.col("center"))).select(name, "node")
+    band = F.shiftright("segment", 1).bitwiseAND(31).cast("int").alias("band")
+    # Without the salt; the low bits stay, so that no other segment has the name.
+    name = F.when(odd, F.floor(F.shiftright("segment", 6) / SALTS) * 64 + F.col("segment").bitwiseAND(63)).otherwise(F.col("segment"))
+    heads = found.filter(odd & (F.col("node") == F.col("center"))).select(name.alias("segment"), "node", band)
     least = heads.groupBy("segment").agg(F.min("node").alias("center"))
-    heads = heads.join(least, "segment").filter("node <> center").select("segment", "node", "center")
-    return found.filter("node <> center").select(name, "node", "center").union(heads)
+    heads = heads.join(least, "segment").filter("node <> center").select("segment", "node", "center", "band")
+    return found.filter("node <> center").select(name.alias("segment"), "node", "center", band).union(heads)
+
+
+def small(rows: DataFrame) -> DataFrame:
+    """Marked for broadcast if it is counted to be short; else as it is, to be shuffled like the other side of the join."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
 class Verifier:
@@ -226,25 +254,26 @@ class Verifier:
             own = [F.col("node").alias(side), F.col("n").alias(f"n{side}"), F.col("folded").alias(f"f{side}")]
             pairs = pairs.join(sketch.select(*own), side)
         smaller, larger = F.least("na", "nb"), F.greatest("na", "nb")
-        most = F.floor((F.col("na") + F.col("nb")) * (100 - self.percent) / (100 + self.percent))
-        pairs = pairs.filter((100 * smaller >= self.percent * larger) & (_hamming("fa", "fb") <= most))
-        pairs = pairs.select("a", "b", "na", "nb")
+        pairs = pairs.filter(100 * smaller >= self.percent * larger)
+        near = pairs.mapInArrow(_near_by_sketch(Bands(self.percent)), "a long, b long, na long, nb long")
+        pairs = kept(near, "near-pairs")
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        sets = self.sets.join(small(nodes), "node")
         for side in ("a", "b"):
-            pairs = pairs.join(self.sets.select(F.col("node").alias(side), F.col("tokens").alias(f"t{side}")), side)
+            pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("tokens").alias(f"t{side}")), side)
         common = F.size(F.array_intersect("ta", "tb")).cast("long")
         alike = 100 * common >= self.percent * (F.col("na") + F.col("nb") - common)
         return kept(pairs.filter(alike).select("a", "b"), "links")
 
 
-def _hamming(a: str, b: str) -> Column:
-    """Hamming distance of two binary columns of FOLDED_BITS bits."""
+def _near_by_sketch(bands: Bands):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = ("na", "nb", "fa", "fb")
+            near = [folded_distance(x, y) <= bands.most(a, b) for a, b, x, y in zip(*(batch.column(n).to_pylist() for n in names))]
+            yield batch.select(["a", "b", "na", "nb"]).filter(pa.array(near, pa.bool_()))
 
-    distance = F.lit(0)
-    for start in range(0, FOLDED_BITS // 8, 7):  # seven bytes at a time fit a positive long
-        length = min(7, FOLDED_BITS // 8 - start)
-        x, y = (F.conv(F.hex(F.substring(c, start + 1, length)), 16, 10).cast("long") for c in (a, b))
-        distance = distance + F.bit_count(x.bitwiseXOR(y))
-    return distance
+    return run
 
 
 def labelled(rows: DataFrame, label: DataFrame, node: str = "node", name: str = "label") -> DataFrame:
@@ -253,14 +282,46 @@ def labelled(rows: DataFrame, label: DataFrame, node: str = "node", name: str =
     return rows.join(label, F.col(node) == F.col("_n"), "left").withColumn(name, F.coalesce("_c", node)).drop("_n", "_c")
 
 
+def need(band: str = "band") -> Column:
+    """least_shared of a band column."""
+    return F.expr(f"greatest(1L, shiftleft(1L, {band}) div 12L)")
+
+
 def open_members(members: DataFrame) -> DataFrame:
-    """Rows (key, node, label) of the keys that have several labels, with the number of labels there."""
-    several = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
-    rows = members.join(several.select("key"), "key")
-    heads = rows.groupBy("key", "label").agg(F.min("node").alias("head"))
-    counts = heads.groupBy("key").agg(F.count("*").alias("labels"), F.min(F.struct("label", "head")).alias("first"))
-    return rows.join(counts, "key").select("key", "node", "label", "labels", F.col("first.label").alias("first_label"),
-                                           F.col("first.head").alias("first_head"))
+    """Rows of `members` (key, node, label, band, weight) of keys with several labels, where an alike set may still be met.
+
+    Two alike sets of different labels share open keys of a weight of `need` at least. So a set with less of them goes, and of
+    each set's keys those with most sets may go, up to a weight of one less. Adds labels (how many a key has), first_label and first_head.
+    """
+    rows = members
+    for _ in range(2):
+        heads = rows.groupBy("key", "label").agg(F.min("node").alias("head"), F.count("*").alias("n"))
+        keys = heads.groupBy("key").agg(F.count("*").alias("labels"), F.sum("n").alias("sets")).filter("labels > 1").drop("labels")
+        rows = kept(rows.join(keys, "key"), "open")
+        enough = rows.groupBy("node", "band").agg(F.sum("weight").alias("all")).filter(F.col("all") >= need())
+        rows = rows.join(enough, ["node", "band"])
+        before = Window.partitionBy("node", "band").orderBy("sets", "key").rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn("before", F.coalesce(F.sum("weight").over(before), F.lit(0)))
+        trimmed = rows.filter(F.col("before") <= F.col("all") - need()).drop("before", "sets", "all")
+        rows = rows.drop("before", "sets", "all")
+    heads = trimmed.groupBy("key", "label").agg(F.min("node").alias("head"))
+    keys = heads.groupBy("key").agg(F.count("*").alias("labels"), F.min(F.struct("label", "head")).alias("first"))
+    keys = keys.filter("labels > 1").select("key", "labels", "first.*").withColumnsRenamed({"label": "first_label", "head": "first_head"})
+    return trimmed.join(keys, "key")
+
+
+def one_of_equal_keys(found: DataFrame) -> DataFrame:
+    """key, node, band, weight: the members of each segment, once for all `weight` segments that the very same sets share."""
+    rows = found.select(F.col("segment").alias("key"), "node", "center", "band")
+    own = F.xxhash64("node")
+    # A set that came from several tasks is in a segment several times.
+    rows = rows.distinct()
+    who = rows.groupBy("key", "center", "band").agg(
+        F.count("*").alias("n"), F.bit_xor(own).alias("x"), F.bit_xor(F.xxhash64(own)).alias("y")
+    )
+    one = who.groupBy("center", "band", "n", "x", "y").agg(F.min("key").alias("key"), F.count("*").alias("weight"))
+    rows = kept(rows.join(one.select("key", "center", "weight"), ["key", "center"]), "equal-keys")
+    return rows.select("key", "node", "band", "weight").union(rows.select("key", "center", "band", "weight").distinct())
 
 
 def cross_pairs(rows: DataFrame) -> DataFrame:
@@ -288,7 +349,7 @@ def rare_shingle_pairs(crowd: DataFrame, sets: DataFrame, percent: int) -> DataF
     order = Window.partitionBy("node").orderBy("sets", "key")
     rows = common.withColumn("place", F.row_number().over(order)).join(own, "node")
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("in_common"))
-    return cross_pairs(open_members(kept(rows.filter(F.col("place") <= first).select("key", "node", "label"), "crowd")))
+    return cross_pairs(kept(rows.filter(F.col("place") <= first).select("key", "node", "label"), "crowd"))
 
 
 # --- the operator -------------------------------------------------------------------------------
@@ -335,35 +396,32 @@ def text_classes(docs: DataFrame, percent: int = round(100 * LIKENESS), width: i
     check = Verifier(sketches.select("node", "n", "folded"), sets, percent)
 
     # First each set with the center it shares most segments with.
-    edges = found.groupBy("node", "center").count()
+    edges = found.groupBy("node", "center", "band").count().filter(F.col("count") >= need())
     best = edges.groupBy("node").agg(F.max_by("center", F.struct("count", -F.col("center"))).alias("center"))
     done = kept(best.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct(), "pairs")
     links = check.links(done)
     label = components(links)
-    members = found.select(F.col("segment").alias("key"), "node")
-    members = kept(members.union(found.select("segment", "center").distinct()), "members")
-
-    # Then heads of components with the first head, until that links nothing more.
-    rounds = 0
-    while True:
-        rows = kept(open_members(labelled(members, label)), "open")
-        star = rows.groupBy("key", "label", "first_label", "first_head").agg(F.min("node").alias("head")).filter(
-            "label <> first_label"
-        )
+    members = kept(one_of_equal_keys(found), "members")
+
+    # Then heads of components with the first head, as long as that closes a good part of the segments.
+    rows = kept(open_members(labelled(members, label)), "open")
+    n_rows = rows.count()
+    for _ in range(STAR_ROUNDS if n_rows else 0):
+        star = rows.groupBy("key", "label", "first_label", "first_head").agg(F.min("node").alias("head"))
+        star = star.filter("label <> first_label")
         pairs = star.select(F.least("head", "first_head").alias("a"), F.greatest("head", "first_head").alias("b")).distinct()
         pairs = kept(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        if rounds == STAR_ROUNDS or pairs.isEmpty():
-            break
         new = check.links(pairs)
-        done, rounds = done.union(pairs), rounds + 1
-        if new.isEmpty():
+        done, before = done.union(pairs), n_rows
+        if not new.isEmpty():
+            links = links.union(new)
+            label = components(links)
+            rows = kept(open_members(labelled(members, label)), "open")
+            n_rows = rows.count()
+        if n_rows > 0.8 * before:
             break
-        links = links.union(new)
-        label = components(links)
-        members = rows.select("key", "node")
 
     # What is still open is compared in full.
-    rows = kept(open_members(labelled(rows.select("key", "node"), label)), "open")
     crowd = rows.filter(F.col("labels") > CROWDED).select("node", "label").distinct()
     pairs = cross_pairs(rows.filter(F.col("labels") <= CROWDED).select("key", "node", "label"))
     if not crowd.isEmpty():
@@ -378,7 +436,7 @@ def text_classes(docs: DataFrame, percent: int = round(100 * LIKENESS), width: i
 
 def _token_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """node, tokens of the wanted nodes, from the text of the document that stands for each."""
-    wanted = wanted.select("node", F.col("doc").alias("_doc"))
+    wanted = small(wanted.select("node", F.col("doc").alias("_doc")))
     rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc"))).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

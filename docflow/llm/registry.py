@@ -4,6 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docflow.llm.common import bounded
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -12,7 +14,7 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[name] = function
+        QUERIES[name] = lambda spark, sf_dir: function(bounded(spark), sf_dir)
         if sql is not None:
             SQL[name] = sql
         return function
