@@ -18,6 +18,16 @@ _UNEVEN = [b"  ", b" \n", b"\n ", b"\n\n", b"\x00", b"\t", b"\x0b", b"\x0c", b"\
 _UNEVEN += [b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
 
 
+def _byte_signs() -> dict[int, str]:
+    """The sign that byte-level BPE writes for each byte: printable Latin-1 as it is, the others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    signs = {b: chr(b) for b in plain}
+    return signs | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in plain)}
+
+
+_SIGNS = _byte_signs()
+
+
 class Encoder:
     """bytes of a text to its ids as little-endian unsigned 32-bit integers; special tokens in a text are ordinary text."""
 
@@ -28,11 +38,21 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.space_parts = space_parts
-        self.chunks = WordTable(self._encode, 400_000)
+        self.model, self.space_parts = self.tokenizer.model, space_parts
+        self.chunks = WordTable(self._encode, 500_000)
 
     def _encode(self, chunk: bytes) -> bytes:
-        ids = self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
+        text = chunk.decode()
+        space = "" if self.space_parts else " " * text.startswith(" ")
+        signs = text[len(space) :]
+        word = signs.rstrip(".,;:!?")
+        letters = word.lower() if self.space_parts else word
+        if letters.isalpha() and max(letters) < "\u0180":
+            # One run of Latin letters is one part for the tokenizer and needs its model only; signs after it are a part of their own.
+            found = self.model.tokenize((space + letters).encode().decode("latin-1").translate(_SIGNS))
+            ids = b"".join(token.id.to_bytes(4, "little") for token in found)
+            return ids + self.chunks[signs[len(word) :].encode()] if len(word) < len(signs) else ids
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return b"".join(i.to_bytes(4, "little") for i in ids)
 
     def ids(self, text: bytes | None) -> bytes:
