@@ -3,20 +3,26 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from docflow.llm import stages
-from docflow.llm.common import kept, table
+from docflow.llm.common import bounded, kept, table
+
+def _stage(work):
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded(spark)
+        return work(docs)
+
+    return stage
 
 STAGES = [
-    ("language_id", lambda spark, docs, sf_dir: stages.in_a_language(docs)),
-    ("line_dedup", lambda spark, docs, sf_dir: stages.without_common_lines(docs)),
-    ("ngram_jaccard_join", lambda spark, docs, sf_dir: stages.one_of_each_class(docs)),
-    ("mix_sources", lambda spark, docs, sf_dir: stages.mixed(docs)),
-    ("best_fit_packing", lambda spark, docs, sf_dir: stages.packed(docs)),
+    ("language_id", _stage(stages.in_a_language)),
+    ("line_dedup", _stage(stages.without_common_lines)),
+    ("ngram_jaccard_join", _stage(stages.one_of_each_class)),
+    ("mix_sources", _stage(stages.mixed)),
+    ("best_fit_packing", _stage(stages.packed)),
 ]
 
 # Tokenizers and n-gram profiles are nothing that SQL can say; the stages are tested against brute force.
 ORACLE_SQL = None
 
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents; each stage's result is written and read again before the next."""
     docs = table(spark, sf_dir, "documents")
