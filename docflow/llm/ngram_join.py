@@ -311,17 +311,17 @@ def open_members(members: DataFrame) -> DataFrame:
 
 
 def one_of_equal_keys(found: DataFrame) -> DataFrame:
-    """key, node, band, weight: the members of each segment, once for all `weight` segments that the very same sets share."""
-    rows = found.select(F.col("segment").alias("key"), "node", "center", "band")
+    """key, node, band, weight: the members of each segment, once for all `weight` segments that the very same sets share.
+
+    The sets of a segment are all its nodes and centers: a common segment has several centers, and only as a whole it is another's equal.
+    """
+    rows = found.select(F.col("segment").alias("key"), "node", "band")
+    # A set that came from several tasks is in a segment several times, and a center once for each of its nodes.
+    rows = kept(rows.union(found.select("segment", "center", "band")).distinct(), "segment-sets")
     own = F.xxhash64("node")
-    # A set that came from several tasks is in a segment several times.
-    rows = rows.distinct()
-    who = rows.groupBy("key", "center", "band").agg(
-        F.count("*").alias("n"), F.bit_xor(own).alias("x"), F.bit_xor(F.xxhash64(own)).alias("y")
-    )
-    one = who.groupBy("center", "band", "n", "x", "y").agg(F.min("key").alias("key"), F.count("*").alias("weight"))
-    rows = kept(rows.join(one.select("key", "center", "weight"), ["key", "center"]), "equal-keys")
-    return rows.select("key", "node", "band", "weight").union(rows.select("key", "center", "band", "weight").distinct())
+    who = rows.groupBy("key", "band").agg(F.count("*").alias("n"), F.bit_xor(own).alias("x"), F.bit_xor(F.xxhash64(own)).alias("y"))
+    one = who.groupBy("band", "n", "x", "y").agg(F.min("key").alias("key"), F.count("*").alias("weight"))
+    return rows.join(one.select("key", "weight"), "key").select("key", "node", "band", "weight")
 
 
 def cross_pairs(rows: DataFrame) -> DataFrame:

@@ -64,6 +64,30 @@ def test_classes_of_families(spark):
     assert [found[i] for i in range(len(texts))] == brute.classes(texts)
 
 
+def test_equal_keys_of_salted_segments(spark):
+    """Sets of other salts, unlike both centers, still share what they shared before the merge of equal segments."""
+    band, salts = 5, {0: [1], 1: [10, 11], 2: [20, 21]}
+    common = {0: (0, 2), 1: (0, 1), 2: (0, 1, 2)}  # the salts that have sets in each common segment
+    rows, sets = [], {}
+    for which, own in common.items():
+        for salt in own:
+            segment = ((which * ngram_join.SALTS + salt) << 6) | band << 1 | 1
+            rows += [(segment, node, salts[salt][0]) for node in salts[salt]]
+            sets.setdefault(("common", which), set()).update(salts[salt])
+    for which, own in enumerate([(30, 31, 32), (30, 31, 32), (30, 31), (11, 21)]):
+        rows += [(((100 + which) << 6) | band << 1, node, own[0]) for node in own[1:]]
+        sets["plain", which] = set(own)
+    found = ngram_join.joined_salts(spark.createDataFrame(rows, "segment long, node long, center long"))
+    held = {}
+    for r in ngram_join.one_of_equal_keys(found).collect():
+        held.setdefault(r.node, {})[r.key] = r.weight
+    for a in held:
+        for b in held:
+            together = sum(weight for key, weight in held[a].items() if key in held[b])
+            assert together == sum({a, b} <= own for own in sets.values()), (a, b)
+    assert len({key for own in held.values() for key in own}) == 6
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 200), (300, 300)]
     found = {r.node: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
