@@ -352,6 +352,15 @@ def rare_shingle_pairs(crowd: DataFrame, sets: DataFrame, percent: int) -> DataF
     return cross_pairs(kept(rows.filter(F.col("place") <= first).select("key", "node", "label"), "crowd"))
 
 
+def open_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a < b: the pairs of nodes with different labels to compare for the rows of `open_members`."""
+    crowd = rows.filter(F.col("labels") > CROWDED).select("node", "label").distinct()
+    pairs = cross_pairs(rows.filter(F.col("labels") <= CROWDED).select("key", "node", "label"))
+    if not crowd.isEmpty():
+        pairs = pairs.union(rare_shingle_pairs(crowd, sets, percent)).distinct()
+    return pairs
+
+
 # --- the operator -------------------------------------------------------------------------------
 
 
@@ -361,11 +370,42 @@ def similarity_classes(docs: DataFrame, percent: int = round(100 * LIKENESS), wi
     component_id is the smallest doc_id reachable by links, the row's own included. In a component of null ids only it is null.
     For links and empty texts see `text_classes`.
     """
-    rows = text_classes(docs, percent, width)
+    return _least_ids(text_classes(docs, percent, width)).select("doc_id", "n_shingles", "component_id")
+
+
+def _least_ids(rows: DataFrame) -> DataFrame:
+    """Add component_id, the smallest doc_id of the class; without a class the row's own."""
     least = rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
     rows = rows.join(least.withColumnRenamed("class", "_class"), F.col("class") == F.col("_class"), "left")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("least"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id"))
+    return rows.withColumn("component_id", component)
+
+
+def similarity_links(docs: DataFrame, percent: int = round(100 * LIKENESS), width: int = SHINGLE_WORDS) -> DataFrame:
+    """As `similarity_classes`, with n_links: how many other rows each row links with, rows of the same set included."""
+    members, links = set_links(docs, percent, width)
+    sizes = members.filter("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("size"))
+    both = links.select(F.col("a").alias("_to"), F.col("b").alias("node")).union(links.select("b", "a"))
+    linked = both.join(sizes, "node").groupBy("_to").agg(F.sum("size").alias("others"))
+    own = sizes.join(linked, F.col("node") == F.col("_to"), "left")
+    own = own.select(F.col("node").alias("_own"), (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    rows = _least_ids(labelled(members, components(links), name="class"))
+    rows = rows.join(own, F.col("node") == F.col("_own"), "left")
+    return rows.select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def set_links(docs: DataFrame, percent: int = round(100 * LIKENESS), width: int = SHINGLE_WORDS) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n_shingles, node (the set) of each row, and a < b of all links between different sets.
+
+    Rows of one set link with each other without a pair of their own; null nodes link with nothing. All pairs of sets that
+    share enough segments are compared, within components, too: the work grows with the links there are.
+    """
+    of_doc, found, sets, check = _prepared(docs, percent, width)
+    members = kept(one_of_equal_keys(found), "members")
+    # Each set is a label of its own, so no pair is left out for being of one component.
+    rows = kept(open_members(members.withColumn("label", F.col("node"))), "open")
+    links = check.links(kept(open_pairs(rows, sets, percent), "pairs"))
+    return of_doc.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "node"), links
 
 
 def text_classes(docs: DataFrame, percent: int = round(100 * LIKENESS), width: int = SHINGLE_WORDS) -> DataFrame:
@@ -376,24 +416,7 @@ def text_classes(docs: DataFrame, percent: int = round(100 * LIKENESS), width: i
     with nothing, not even each other. Equal texts link, so repeated rows share a class. A null doc_id is kept. No documents give
     no rows. Sets are named by 64-bit hashes of 64-bit shingle hashes.
     """
-    bands = Bands(percent)
-    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text_or_empty()).alias("same"), text_or_empty().alias("text"))
-    number = docs.count()
-    below = min(1 << 32, (SAMPLE_TEXTS << 32) // max(number, 1))
-    of_doc = kept(sets_of(texts, bands, width, below), "sets")
-
-    often = of_doc.filter("sample IS NOT NULL").dropDuplicates(["node"]).select(F.explode("sample").alias("segment")).groupBy("segment").count()
-    often = often.filter(F.col("count") >= COMMON_IN_SAMPLE).select("segment")
-    common = np.sort(np.array([r[0] for r in often.collect()], dtype=np.int64).view(np.uint64))
-    found = joined_salts(shared(segments_of(texts.select("text"), bands, width, common)))
-
-    nodes = of_doc.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("id").alias("doc"), F.first("n").alias("n"), F.first("folded").alias("folded")
-    )
-    involved = found.select("node").union(found.select("center")).distinct()
-    sketches = kept(nodes.join(involved, "node"), "sketches")
-    sets = kept(_token_sets(docs, sketches, width), "token-sets")
-    check = Verifier(sketches.select("node", "n", "folded"), sets, percent)
+    of_doc, found, sets, check = _prepared(docs, percent, width)
 
     # First each set with the center it shares most segments with.
     edges = found.groupBy("node", "center", "band").count().filter(F.col("count") >= need())
@@ -422,10 +445,7 @@ def text_classes(docs: DataFrame, percent: int = round(100 * LIKENESS), width: i
             break
 
     # What is still open is compared in full.
-    crowd = rows.filter(F.col("labels") > CROWDED).select("node", "label").distinct()
-    pairs = cross_pairs(rows.filter(F.col("labels") <= CROWDED).select("key", "node", "label"))
-    if not crowd.isEmpty():
-        pairs = pairs.union(rare_shingle_pairs(crowd, sets, percent)).distinct()
+    pairs = open_pairs(rows, sets, percent)
     new = check.links(pairs.join(done, ["a", "b"], "left_anti"))
     if not new.isEmpty():
         label = components(links.union(new))
@@ -434,6 +454,29 @@ def text_classes(docs: DataFrame, percent: int = round(100 * LIKENESS), width: i
     return rows.select(F.col("id").alias("doc_id"), "same", F.col("n").alias("n_shingles"), "class")
 
 
+def _prepared(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame, DataFrame, Verifier]:
+    """Rows with their sets, segments with their sets and centers, token sets of those, and what compares them."""
+    bands = Bands(percent)
+    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text_or_empty()).alias("same"), text_or_empty().alias("text"))
+    number = docs.count()
+    below = min(1 << 32, (SAMPLE_TEXTS << 32) // max(number, 1))
+    of_doc = kept(sets_of(texts, bands, width, below), "sets")
+
+    often = of_doc.filter("sample IS NOT NULL").dropDuplicates(["node"]).select(F.explode("sample").alias("segment")).groupBy("segment").count()
+    often = often.filter(F.col("count") >= COMMON_IN_SAMPLE).select("segment")
+    common = np.sort(np.array([r[0] for r in often.collect()], dtype=np.int64).view(np.uint64))
+    found = joined_salts(shared(segments_of(texts.select("text"), bands, width, common)))
+
+    nodes = of_doc.filter("node IS NOT NULL").groupBy("node").agg(
+        F.min("id").alias("doc"), F.first("n").alias("n"), F.first("folded").alias("folded")
+    )
+    involved = found.select("node").union(found.select("center")).distinct()
+    sketches = kept(nodes.join(involved, "node"), "sketches")
+    sets = kept(_token_sets(docs, sketches, width), "token-sets")
+    check = Verifier(sketches.select("node", "n", "folded"), sets, percent)
+    return of_doc, found, sets, check
+
+
 def _token_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """node, tokens of the wanted nodes, from the text of the document that stands for each."""
     wanted = small(wanted.select("node", F.col("doc").alias("_doc")))

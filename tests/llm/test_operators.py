@@ -64,6 +64,25 @@ def test_classes_of_families(spark):
     assert [found[i] for i in range(len(texts))] == brute.classes(texts)
 
 
+def test_all_links_are_counted(spark):
+    """Near copies, a passage that all texts share, equal texts, texts of few words: every link, within components, too."""
+    base, passage = random_text(300, 5000).split(), random_text(60, 5000)
+    texts = []
+    for i in range(60):
+        copy = list(base)
+        for j in DRAW.integers(0, 300, 4):
+            copy[j] = f"n{i}"
+        texts.append(" ".join(copy))
+    texts += [passage + " " + random_text(40, 10**6) for _ in range(70)]
+    texts += ["a b c", "A b C", texts[0], texts[0].upper(), "a b", "", None, "   "]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: (r.component_id, r.n_links) for r in ngram_join.similarity_links(docs).collect()}
+    sets = [brute.shingles(t) for t in texts]
+    alike = lambda a, b: len(a) > 0 and 100 * len(a & b) >= 75 * len(a | b)
+    links = [sum(alike(a, b) for b in sets) - (len(a) > 0) for a in sets]
+    assert max(links) > 20 and [found[i] for i in range(len(texts))] == list(zip(brute.classes(texts), links))
+
+
 def test_equal_keys_of_salted_segments(spark):
     """Sets of other salts, unlike both centers, still share what they shared before the merge of equal segments."""
     band, salts = 5, {0: [1], 1: [10, 11], 2: [20, 21]}
