@@ -22,7 +22,7 @@ SAMPLE = 20_000
 # Width of the error bound in standard deviations of a random rotation: a neighbour is missed with a chance of 0.6 %.
 EPSILON = 2.5
 BLOCK_VECTORS, BLOCK_QUERIES = 20_000, 50_000
-_RESULT = "query_id long, vec_id long, score double"
+_RESULT = "asked long, query_id long, vec_id long, score double"
 
 
 def usable(vector: str) -> Column:
@@ -89,7 +89,8 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, id_: str = "vec_id"
     Queries are the rows whose id is divisible by `every`, candidates all rows but those of the query's own id; nearest is the
     largest inner product of the original vectors in double precision, ties to the smaller id. Vectors that are null, zero or
     hold null or non-finite components take no part, nor do those of another dimension than the most frequent one, nor rows
-    without id. Repeated rows are candidates each. Fewer candidates than k give all of them; no vectors give no rows.
+    without id. Repeated rows are candidates each and queries each: a query id of several rows has the ranks 1 to k for each of
+    its rows. Fewer candidates than k give all of them; no vectors give no rows.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_).alias("vec_id"), F.col(vector).alias("vector")).filter(F.col("vec_id").isNotNull() & usable("vector"))
@@ -111,7 +112,9 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, id_: str = "vec_id"
 
     kind = rows.schema["vector"].dataType.simpleString()
     indexed = kept(rows.mapInArrow(index, f"vec_id long, code binary, length double, agree double, vector {kind}"), "ann-index")
+    # Each query has a number of its own, as its id may come again.
     asked = indexed.filter(F.col("vec_id") % every == 0).select("vec_id", "vector")
+    asked = kept(asked.withColumn("asked", F.monotonically_increasing_id()), "ann-asked")
     v_blocks, q_blocks = -(-number // BLOCK_VECTORS), max(1, -(-asked.count() // BLOCK_QUERIES))
     # Dealt by place, not by id: repeated ids make no block larger. Each block of vectors meets each block of queries.
     place = F.monotonically_increasing_id()
@@ -127,18 +130,20 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, id_: str = "vec_id"
             packed = np.frombuffer(b"".join(mine.column("code").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
             codes = Codes(packed, mine.column("length").to_numpy(), mine.column("agree").to_numpy(), center, turn)
             queries, names = _matrix(theirs.column("vector"), dim), theirs.column("vec_id").to_numpy()
+            numbers = theirs.column("asked").to_numpy()
             for at in range(0, len(names), 64):
                 near, upper = codes.estimate(queries[at : at + 64])
                 for i, query in enumerate(queries[at : at + 64]):
-                    found.append((names[at + i], *_nearest(x, ids, near[i], upper[i], query, names[at + i], k)))
+                    found.append((numbers[at + i], names[at + i], *_nearest(x, ids, near[i], upper[i], query, names[at + i], k)))
         columns = [
-            np.concatenate([np.full(len(ids), name) for name, ids, _ in found] or [np.empty(0)]).astype(np.int64),
-            np.concatenate([ids for _, ids, _ in found] or [np.empty(0)]).astype(np.int64),
-            np.concatenate([score for _, _, score in found] or [np.empty(0)]),
+            np.concatenate([np.full(len(ids), number) for number, _, ids, _ in found] or [np.empty(0)]).astype(np.int64),
+            np.concatenate([np.full(len(ids), name) for _, name, ids, _ in found] or [np.empty(0)]).astype(np.int64),
+            np.concatenate([ids for _, _, ids, _ in found] or [np.empty(0)]).astype(np.int64),
+            np.concatenate([score for _, _, _, score in found] or [np.empty(0)]),
         ]
-        return pa.Table.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
+        return pa.Table.from_arrays([pa.array(c) for c in columns], names=["asked", "query_id", "vec_id", "score"])
 
     near = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb")).applyInArrow(meet, _RESULT)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
     near = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return near.select("query_id", "rank", "vec_id", "score")

@@ -258,6 +258,23 @@ def test_codes_bound_inner_products():
     assert np.mean(upper >= true) > 0.98 and abs(np.mean(near - true)) < 0.05
 
 
+def test_queries_of_one_id_are_ranked_each(spark):
+    """Two equal rows of an id, and two rows of an id that differ: each has all its neighbours."""
+    rows = [(i, DRAW.standard_normal(16).tolist()) for i in range(1, 100)]
+    rows += [(20, rows[19][1]), (40, DRAW.standard_normal(16).tolist())]
+    found = {}
+    for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, round(r.score, 9)))
+    assert set(found) == {20, 40, 60, 80}
+    for i, got in found.items():
+        expected = []
+        for query in (v for j, v in rows if j == i):
+            near = sorted((-float(np.dot(v, query)), j) for j, v in rows if j != i)[:20]
+            expected += [(rank, j, round(-score, 9)) for rank, (score, j) in enumerate(near, 1)]
+        same = len(set(got) & set(expected))
+        assert len(got) == len(expected) and sorted(r for r, _, _ in got) == sorted(r for r, _, _ in expected) and same >= 0.95 * len(set(expected))
+
+
 def test_rules_choose_the_longest(spark):
     rules = [url_filter.Rule("com", "/", "allow"), url_filter.Rule("b.com", "/x", "block"), url_filter.Rule("a.b.com", "/x/y", "allow")]
     urls = ["http://a.b.com/x/y/z", "http://a.b.com/x/z", "http://ab.com/x", "http://b.org/x", None]
