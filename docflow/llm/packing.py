@@ -20,7 +20,7 @@ PIECES = T.StructType(
     ]
 )
 PACKED = T.StructType(
-    [*PIECES, *(T.StructField(name, T.LongType()) for name in ("part", "sequence_id", "offset"))]
+    [*PIECES, *(T.StructField(name, T.LongType()) for name in ("part", "sequence_id", "offset", "bins", "bound", "given"))]
 )
 # Partitions that exchange documents meet so many at a time.
 MEET = 4
@@ -100,14 +100,16 @@ def _packer(turn: int, last: bool, length: int, exchange: int) -> Callable[[pa.T
         bins, offsets = best_fit(lengths, length)
         used = int(bins.max()) + 1
         sequence = (turn << 56) + (group.column("part")[0].as_py() << 24) + bins
+        bound, away = least_bins(lengths, length), 0
         if not last:
-            gap = used - least_bins(lengths, length)
+            gap = used - bound
             room = length - np.bincount(bins, weights=lengths, minlength=used)
             given = np.argsort(-room, kind="stable")[: max(1, gap * exchange)]
             open_bin = np.zeros(used, dtype=bool)
             open_bin[given[room[given] > 0]] = True
-            sequence = np.where(open_bin[bins], -1, sequence)
-        columns = [*(group.column(f.name) for f in PIECES), group.column("part"), pa.array(sequence), pa.array(offsets)]
+            sequence, away = np.where(open_bin[bins], -1, sequence), int(open_bin.sum())
+        counts = [pa.array(np.full(len(lengths), n, dtype=np.int64)) for n in (used, bound, away)]
+        columns = [*(group.column(f.name) for f in PIECES), group.column("part"), pa.array(sequence), pa.array(offsets), *counts]
         return pa.Table.from_arrays(columns, names=PACKED.names)
 
     return run
@@ -125,17 +127,30 @@ def pack(
     Null text is a document of the end id alone; a null doc_id is kept; repeated rows are packed each on its own; no documents
     give no rows.
     """
+    return pack_with_bounds(docs, tokenizer, length, end_id, pieces_per_partition, exchange)[0]
+
+
+def pack_with_bounds(
+    docs: DataFrame, tokenizer: str, length: int = 4096, end_id: int = 1, pieces_per_partition: int = 50_000, exchange: int = 8
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of `pack`, and turn, part, bins, bound, given of each partition that was packed, the last one too.
+
+    bound is what any packing of the partition's pieces takes at least: bins equal to it are certified. given of the bins were
+    given away to the next turn. The bounds hold for their partitions, not for all pieces together.
+    """
     rows = kept(pieces(docs, tokenizer, length, end_id), "pieces")
     parts = max(1, -(-rows.count() // pieces_per_partition))
     # The rows of a written table keep their place, also when they are read again.
     rows = rows.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(parts)))
-    done, turn = None, 0
+    done, bounds, turn = None, None, 0
     while True:
         last = parts == 1
         packed = kept(rows.groupBy("part").applyInArrow(_packer(turn, last, length, exchange), PACKED), "packed")
-        final = packed.filter("sequence_id >= 0").drop("part")
+        own = packed.select(F.lit(turn).alias("turn"), "part", "bins", "bound", "given").distinct()
+        bounds = own if bounds is None else bounds.unionByName(own)
+        final = packed.filter("sequence_id >= 0").drop("part", "bins", "bound", "given")
         done = final if done is None else done.unionByName(final)
         if last:
-            return done
+            return done, bounds
         parts, turn = -(-parts // MEET), turn + 1
         rows = packed.filter("sequence_id < 0").select(*PIECES.names, F.floor(F.col("part") / MEET).alias("part"))

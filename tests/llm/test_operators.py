@@ -172,6 +172,20 @@ def test_partitions_exchange(spark):
     assert many.sequence_id.nunique() <= one.sequence_id.nunique() * 1.04 + 1
 
 
+def test_every_partition_has_a_bound(spark):
+    """At op2's own defaults: one partition, and more than one."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    for n, turns in ((50, [1]), (60_000, [2, 1])):
+        docs = spark.range(n).select(F.col("id").alias("doc_id"), F.expr("repeat('w ', int(id % 97))").alias("text"))
+        rows, bounds = packing.pack_with_bounds(docs, path)
+        found = bounds.toPandas()
+        assert found.groupby("turn").size().tolist() == turns and (found.bound >= 1).all() and (found.bound <= found.bins).all()
+        assert (found.bins - found.given).sum() == rows.select("sequence_id").distinct().count() and rows.count() == n
+        assert found.given[found.turn == found.turn.max()].sum() == 0
+
+
 @pytest.mark.parametrize("name, parts", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
 def test_chunks_give_the_ids_of_the_text(name, parts):
     import public_tokenizers
