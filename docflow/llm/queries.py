@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docflow.llm import ann, fingerprints, langid, line_dedup, mixing, ngram_join, packing, quality, sql, token_files, url_filter
+from docflow.llm import ann, fingerprints, langid, line_dedup, mixing, ngram_join, packing, quality, spelling, sql, token_files, url_filter
 from docflow.llm.common import fold, table
 from docflow.llm.registry import query
 
@@ -81,3 +81,8 @@ RULES = [
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op13_spelling_variants", sql.SPELLING)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))

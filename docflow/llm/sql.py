@@ -120,3 +120,38 @@ least AS (
     ELSE (SELECT bin / 64 FROM rights ORDER BY good DESC, abs(bin), bin LIMIT 1) END AS least FROM sums s)
 SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN score >= least THEN 'allow' ELSE 'block' END) AS verdict
 FROM ruled JOIN scores USING (line), least"""
+
+
+# crc32 of a text of code points below U+0800, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split({text}, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 | (unicode(c) >> 6)::BIGINT, 128 | (unicode(c) & 63)::BIGINT] END))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id,
+           translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents
+), hashed AS (
+    SELECT run, {_CRC.format(text="id || ':' || run")} AS h FROM runs WHERE length(run) >= 7
+), words AS MATERIALIZED (
+    SELECT word, count(*) AS n
+    FROM (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+    WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2
+), gaps AS (
+    SELECT word, n, left(word, i) AS head, substr(word, i + 2) AS tail FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS MATERIALIZED (
+    SELECT x.word, y.word AS other, y.n AS other_n FROM gaps x JOIN gaps y ON x.head = y.head AND x.tail = y.tail AND x.word <> y.word
+    UNION SELECT x.word, y.word, y.n FROM gaps x JOIN words y ON y.word = x.head || x.tail
+    UNION SELECT y.word, x.word, x.n FROM gaps x JOIN words y ON y.word = x.head || x.tail
+), best AS (
+    SELECT word, count(*) AS n_near, max(other_n) AS best_n, arg_min(other, (-other_n, other)) AS best FROM near GROUP BY word
+), forms AS MATERIALIZED (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * w.n THEN best END AS form, CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n
+    FROM words w LEFT JOIN best b ON w.word = b.word
+), steps AS (
+    SELECT word, word AS at, form AS next FROM forms
+    UNION ALL SELECT s.word, f.word, f.form FROM steps s JOIN forms f ON s.next = f.word
+)
+SELECT f.word, f.form, s.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN steps s ON f.word = s.word WHERE s.next IS NULL
+"""
