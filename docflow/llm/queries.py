@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docflow.llm import ann, fingerprints, langid, line_dedup, mixing, ngram_join, packing, quality, simhash, spelling, sql, token_files, url_filter
+from docflow.llm import ann, fingerprints, langid, line_dedup, mixing, ngram_join, packing, prefix_trie, quality, simhash, spelling, sql, token_files, url_filter
 from docflow.llm.common import fold, table
 from docflow.llm.registry import query
 
@@ -91,3 +91,8 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_simhash_near_dedup")
 def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op11_conversation_prefix_trie", sql.TRIE)
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))

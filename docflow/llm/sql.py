@@ -155,3 +155,35 @@ WITH RECURSIVE runs AS (
 )
 SELECT f.word, f.form, s.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN steps s ON f.word = s.word WHERE s.next IS NULL
 """
+
+TRIE = f"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+    SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS base, {_CRC.format(text="conv_id::VARCHAR")} % 9 AS h FROM turns
+), parts AS (
+    SELECT c.conv_id, 0 AS part, t.pos, t.role, t.text FROM conv c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.h
+    UNION ALL SELECT c.conv_id, 1, t.pos, t.role, t.text FROM conv c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h
+), paths AS (
+    SELECT c.conv_id, coalesce(list({{'role': role, 'text': text}} ORDER BY part, pos) FILTER (part IS NOT NULL), []) AS path
+    FROM conv c LEFT JOIN parts p ON c.conv_id = p.conv_id GROUP BY c.conv_id
+), steps AS (
+    SELECT conv_id, d, path[1:d] AS node, d = len(path) AS ends FROM (SELECT conv_id, path, unnest(range(len(path) + 1)) AS d FROM paths)
+), nodes AS MATERIALIZED (
+    SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+           (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE octet_length(encode(node[d].text)) END AS saved
+    FROM steps GROUP BY node, d
+), children AS (
+    SELECT node[1:d - 1] AS node, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+), counted AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON n.node = c.node AND n.d = c.d
+), sums AS (
+    SELECT node[1:a] AS node, a AS d, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+    FROM (SELECT *, unnest(range(d + 1)) AS a FROM counted) GROUP BY ALL
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM counted n JOIN sums s ON n.node = s.node AND n.d = s.d LEFT JOIN nodes p ON n.d = p.d + 1 AND n.node[1:n.d - 1] = p.node
+"""

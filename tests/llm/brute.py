@@ -3,6 +3,8 @@
 import re
 import zlib
 
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -44,3 +46,9 @@ def crc(ids):
 
 def held_out(doc_id, parts, part):
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % parts == part
+
+
+def simhash(text):
+    w = words(text)
+    hashes = [xxhash.xxh64_intdigest(" ".join(w[i : i + 3]).encode(), 42) for i in range(max(1, len(w) - 2))] if w else []
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))

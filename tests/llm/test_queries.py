@@ -16,7 +16,7 @@ from docflow.llm.registry import QUERIES, SQL
 from tests.compare import difference
 from tests.llm import brute
 
-TABLES = ("documents", "labels", "pages", "embeddings")
+TABLES = ("documents", "labels", "pages", "embeddings", "conversations")
 FOLDERS = ("edge", "small")
 
 
@@ -46,7 +46,7 @@ def tokens(name, text):
 
 def test_names():
     numbers = [re.fullmatch(r"op(\d+)_\w+", n) for n in QUERIES]
-    assert sorted(int(m[1]) for m in numbers) == list(range(1, 11))
+    assert sorted(int(m[1]) for m in numbers) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(SQL) <= set(QUERIES)
 
 
@@ -173,3 +173,19 @@ def test_fingerprints(spark, folder):
     for r in found:
         by_text[r["n_chars"], r["doc_id"]].add(r["fingerprint"])
     assert by_text[0, 1] == by_text[0, 2] if folder.count("edge") else True
+
+
+def test_simhash(spark, folder):
+    found = run(spark, folder, "op12_simhash_near_dedup")
+    docs = [(r["doc_id"], brute.simhash(r["text"])) for r in rows(folder, "documents")]
+    prints = sorted({p for _, p in docs})
+    near = {p: {q for q in prints if (p ^ q).bit_count() <= 2} for p in prints}
+    least = {}
+    for p in prints:
+        reach, todo = {p}, [p]
+        while todo:
+            new = near[todo.pop()] - reach
+            reach |= new
+            todo += new
+        least[p] = min((i for i, q in docs if q in reach and i is not None), default=None)
+    assert Counter((r["doc_id"], r["fingerprint"], r["component_id"]) for r in found) == Counter((i, f"{p:016x}", least[p]) for i, p in docs)
