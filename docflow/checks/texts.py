@@ -6,6 +6,7 @@ from docflow.checks import inputs as I, sql as S
 from docflow.checks.registry import check, filled
 from docflow.functions import files as ff, text as ft
 from docflow.operators.chunking import chunk_documents, chunk_statistics
+from docflow.operators.large_texts import chunk_large_texts, chunk_pieces
 from docflow.operators.records import chunk_record
 from docflow.schemas import WINDOW_SIZE
 
@@ -133,6 +134,34 @@ def k1_small(spark, sf):
     )
 
 
+def as_chunks(rows):
+    """Chunks of large texts with the types of the others."""
+    longs = ("chunkIndex", "startPosition", "endPosition", "totalChunks")
+    return rows.withColumns({c: F.col(c).cast("int") for c in longs}).select("chunkId", *CHUNK_COLUMNS)
+
+
+BOUNDARY_ROWS = f"{BOUNDARY} SELECT id || '_chunk_' || chunkIndex AS chunkId, {', '.join(CHUNK_COLUMNS)} FROM chunks"
+
+
+@check("k1_large_texts_ranges_of_500", BOUNDARY_ROWS)
+def k1_ranges_500(spark, sf):
+    """Ranges shorter than the window: the chain can leap over some."""
+    return as_chunks(chunk_large_texts(I.documents(spark, sf), "id", "text", block=500))
+
+
+@check("k1_large_texts_ranges_of_5000", BOUNDARY_ROWS)
+def k1_ranges_5000(spark, sf):
+    return as_chunks(chunk_large_texts(I.documents(spark, sf), "id", "text", block=5000))
+
+
+@check("k1_text_of_all_documents")
+def k1_one_text(spark, sf):
+    """All documents as the pieces of one text. SQL walks that text chunk by chunk, which is too slow: it is tested against the plain rule."""
+    pieces = I.documents(spark, sf).select(F.lit("all").alias("id"), F.col("offset").alias("seq"), "text")
+    rows = as_chunks(chunk_pieces(pieces, "id", block=20_000))
+    return rows.select("chunkId", "chunkIndex", "startPosition", "endPosition", F.md5("chunkText").alias("chunk"), "totalChunks")
+
+
 @check(
     "k1b_break_at_boundary",
     f"""{DOC}, w AS (SELECT id, length(text) // 4 AS s, text FROM doc), p AS (

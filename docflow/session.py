@@ -5,7 +5,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # ISO strings are compared as text, clock columns must print UTC.
@@ -58,3 +58,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="docflow-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/docflow/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to a fresh work folder and read from there: computed once, and there if executors are lost."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from docflow.functions.text import break_at_boundary, clean_extracted, clean_for_chunking, has_text
+from docflow.operators import large_texts
 from docflow.operators.chunking import check_window, chunk_documents, chunk_statistics
+from docflow.operators.prefix import earlier
 
 SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
 
@@ -167,3 +169,70 @@ def test_statistics(spark):
     assert tuple(chunk_statistics(none).first()) == (0, 0, 0.0, 0, 0)
     some = spark.createDataFrame([("a" * 5,), ("a" * 13,), ("a" * 23,)], "chunkText string")
     assert tuple(chunk_statistics(some).first()) == (3, 41, 41 / 3, 5, 23)
+
+
+def large_text(rng):
+    alphabet = "abc de. f!g\n\t\x00\x01 \x1f\u00a0é🙂"
+    words = "".join(rng.choice(alphabet) for _ in range(rng.choice((0, 1, 5, 40, 300, 900))))
+    return rng.choice(("", " ", "\x00 \x01", "   ")) + words + rng.choice(("", " ", "\x01  ", "x" * 120))
+
+
+@pytest.mark.parametrize("window, overlap, block, group", [(10, 0, 3, 2), (40, 7, 50, 3), (150, 30, 64, 256)])
+def test_large_texts_equal_the_rule(spark, monkeypatch, window, overlap, block, group):
+    monkeypatch.setattr(large_texts, "GROUP", group)
+    rng = random.Random(window)
+    texts = [large_text(rng) for _ in range(40)] + ["\x00\x01", " \t", "", "y" * 500]
+    whole = [(f"t{i}", t) for i, t in enumerate(texts)]
+    pieces = []
+    for key, text in whole:
+        cuts = sorted(rng.randrange(len(text) + 1) for _ in range(rng.randrange(6)))
+        parts = [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
+        pieces += [(key, 1000 * seq * seq, part) for seq, part in enumerate(parts)]
+    rng.shuffle(pieces)
+    expected = {(k, i, s, e, t) for k, text in whole for i, (s, e, t) in enumerate(rule_chunks(text, window, overlap))}
+    totals = {k: len(rule_chunks(text, window, overlap)) for k, text in whole}
+    in_pieces = large_texts.chunk_pieces(spark.createDataFrame(pieces, "id string, seq long, text string"), "id", window, overlap, block)
+    as_rows = large_texts.chunk_large_texts(spark.createDataFrame(whole, "id string, text string"), "id", "text", window, overlap, block)
+    for found in (in_pieces.collect(), as_rows.collect()):
+        assert {(r.id, r.chunkIndex, r.startPosition, r.endPosition, r.chunkText) for r in found} == expected
+        assert len(found) == len(expected) and all(r.totalChunks == totals[r.id] and r.chunkId == f"{r.id}_chunk_{r.chunkIndex}" for r in found)
+
+
+def test_text_of_all_documents(spark, sf):
+    import hashlib
+
+    import __spark_entry__ as entry
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
+    expected = rule_chunks("".join(d.text for d in docs), 1000, 200)
+    found = entry.queries()["k1_text_of_all_documents"](spark, sf).collect()
+    assert sorted((r.chunkIndex, r.startPosition, r.endPosition, r.chunk) for r in found) == [
+        (i, s, e, hashlib.md5(t.encode()).hexdigest()) for i, (s, e, t) in enumerate(expected)
+    ]
+    assert {r.totalChunks for r in found} == {len(expected)}
+
+
+def test_large_texts_without_rows(spark):
+    assert large_texts.chunk_pieces(spark.createDataFrame([], "id string, seq long, text string"), "id").collect() == []
+    odd = spark.createDataFrame([(None, 1, "a"), ("a", None, "b"), ("c", 1, None)], "id string, seq long, text string")
+    assert large_texts.chunk_pieces(odd, "id").collect() == []
+    with pytest.raises(ValueError):
+        large_texts.chunk_pieces(odd, "id", block=0)
+
+
+@pytest.mark.parametrize("levels", [0, 1, 3])
+def test_earlier_rows(spark, monkeypatch, levels):
+    from docflow.operators import prefix
+
+    monkeypatch.setattr(prefix, "RANGE_BITS", 2)
+    rng = random.Random(levels)
+    rows = [(k, o, rng.choice((None, 1, 5, -3))) for k in "ab" for o in rng.sample(range(-50, 500), 60)]
+    frame = spark.createDataFrame(rows, "k string, o long, v long")
+    found = earlier(frame, ["k"], "o", {"total": ("sum", F.col("v")), "most": ("max", F.struct("v", "o"))}, levels).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        before = [(v, o) for k, o, v in rows if k == r.k and o < r.o]
+        values = [v for v, _ in before if v is not None]
+        assert r.total == (sum(values) if values else None)
+        most = max(before, key=lambda x: (x[0] is not None, x[0] or 0, x[1]), default=None)
+        assert (tuple(r.most) if r.most else None) == most
