@@ -1,53 +1,130 @@
 """Language identification by rank-order n-gram profiles and out-of-place distance."""
 
-from collections import Counter
-from collections.abc import Iterator
+import functools
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from docflow.llm.common import WordTable
-
 UNDETERMINED = "und"
 PROFILE = 300
 # A table of so many languages is broadcast at most: a label column with more is no language column.
 MAX_LANGUAGES = 10_000
-_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _MAX_GRAMS = 400_000
+_STRETCH = 1 << 20
+_EDGE = np.uint32(ord("_"))
+
+
+@functools.cache
+def _classes() -> np.ndarray:
+    """Of each code point: 1 a letter, 2 a mark, 0 anything else."""
+    table = np.zeros(0x110000, dtype=np.uint8)
+    everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    for value, kind in ((1, r"\p{L}+"), (2, r"\p{M}+")):
+        for found in regex.finditer(kind, everything):
+            low, high = ord(found[0][0]), ord(found[0][-1])
+            table[low : high + 1] = value
+    return table
+
 
+def letter_runs(text: str) -> np.ndarray:
+    """The code points of a text, lower-cased, between two "_"; all that is in no run of letters is "_", too.
+
+    A run is a letter with the letters and marks after it.
+    """
+    points = np.frombuffer(f"_{text.lower()}_".encode("utf-32-le"), dtype=np.uint32)
+    kind = _classes()[points]
+    inside = kind == 1
+    if (kind == 2).any():
+        at = np.arange(len(points))
+        inside = np.maximum.accumulate(np.where(inside, at, -1)) > np.maximum.accumulate(np.where(kind == 0, at, -1))
+    return np.where(inside, points, _EDGE)
 
-def grams(word: str) -> list[int]:
-    """The 1- to 3-grams of the letter runs in a word, lower-cased, with "_" at both ends of a run.
+
+def grams(text: str) -> np.ndarray:
+    """The 1- to 3-grams of the letter runs of a text, with "_" at both ends of a run, sorted, each as often as it occurs.
 
     A gram is the number that its code points make at 21 bits each, so numbers order as the grams do by code point.
     """
-    found = []
-    for run in _LETTERS.findall(word.lower()):
-        points = [ord("_"), *map(ord, run), ord("_")]
-        found += [p << 42 for p in points[1:-1]]
-        found += [a << 42 | b << 21 for a, b in zip(points, points[1:])]
-        found += [a << 42 | b << 21 | c for a, b, c in zip(points, points[1:], points[2:])]
-    return found
+    points = letter_runs(text)
+    inside = np.flatnonzero(points != _EDGE)
+    if not len(inside):
+        return np.empty(0, dtype=np.int64)
+    # Code points that occur get small numbers in the same order, so that most grams fit 32 bits.
+    known = np.unique(points)
+    digits = len(known) + 1
+    small = np.searchsorted(known, points) + 1
+    if digits**3 < 1 << 31:
+        small = small.astype(np.int32)
+    before, own, after = small[inside - 1], small[inside], small[inside + 1]
+    first = before == small[0]
+    pairs = np.concatenate([own * digits + after, before[first] * digits + own[first]])
+    found = np.concatenate([own * digits * digits, pairs * digits, (before * digits + own) * digits + after])
+    found.sort()
+    points_of = np.concatenate([[0], known.astype(np.int64)])
+    found = found.astype(np.int64)
+    high, rest = np.divmod(found, digits * digits)
+    middle, low = np.divmod(rest, digits)
+    return points_of[high] << 42 | points_of[middle] << 21 | points_of[low]
+
+
+def _counted(sorted_grams: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of a sorted array and how often each occurs, or the sums of their weights."""
+    starts = np.flatnonzero(np.concatenate([[True], sorted_grams[1:] != sorted_grams[:-1]])) if len(sorted_grams) else np.empty(0, dtype=np.int64)
+    if weights is None:
+        return sorted_grams[starts], np.diff(np.append(starts, len(sorted_grams)))
+    return sorted_grams[starts], np.add.reduceat(weights, starts) if len(starts) else weights
+
+
+def _together(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if len(parts) == 1:
+        return parts[0]
+    found, counts = (np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0, dtype=np.int64),) * 2
+    order = np.argsort(found, kind="stable")
+    return _counted(found[order], counts[order])
+
+
+def counted_grams(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of texts, sorted, and their counts. Long texts are worked on in stretches that end between runs."""
+    parts, held, size = [], [], 0
+    for text in texts:
+        for stretch in _stretches(text):
+            held.append(stretch)
+            size += len(stretch)
+            if size >= _STRETCH:
+                parts.append(_counted(grams("\n".join(held))))
+                held, size = [], 0
+                if sum(len(p[0]) for p in parts) > _MAX_GRAMS:
+                    parts = [_together(parts)]
+    if held:
+        parts.append(_counted(grams("\n".join(held))))
+    return _together(parts)
+
+
+def _stretches(text: str) -> Iterator[str]:
+    at = 0
+    while at < len(text):
+        end = at + _STRETCH
+        while end < len(text) and not text[end].isspace():
+            end += 1
+        yield text[at:end]
+        at = end
 
 
 def gram_counts(texts: DataFrame) -> DataFrame:
-    """lang, gram, count over all texts (lang, text): words are counted first, in each task, and taken apart after that."""
+    """lang, gram, count over all texts (lang, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_word = WordTable(grams, 50_000)
-        total: dict[str, Counter] = {}
+        total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            words: dict[str, Counter] = {}
+            of: dict[str, list[str]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                words.setdefault(lang, Counter()).update(text.split())
-            for lang, counted in words.items():
-                sums = total.setdefault(lang, Counter())
-                for word, count in counted.items():
-                    for gram in of_word[word]:
-                        sums[gram] += count
-            if sum(map(len, total.values())) > _MAX_GRAMS:
+                of.setdefault(lang, []).append(text)
+            for lang, some in of.items():
+                total[lang] = _together([*([total[lang]] if lang in total else []), counted_grams(some)])
+            if sum(len(found) for found, _ in total.values()) > _MAX_GRAMS:
                 yield from _rows(total)
                 total = {}
         yield from _rows(total)
@@ -56,9 +133,9 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     return found.groupBy("lang", "gram").agg(F.sum("count").alias("count"))
 
 
-def _rows(total: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-    for lang, sums in total.items():
-        columns = [pa.array([lang] * len(sums), pa.string()), pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.int64())]
+def _rows(total: dict[str, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    for lang, (found, counts) in total.items():
+        columns = [pa.array([lang] * len(found), pa.string()), pa.array(found, pa.int64()), pa.array(counts, pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "count"])
 
 
@@ -80,50 +157,31 @@ def profiles(texts: DataFrame, size: int = PROFILE) -> dict[str, list[int]]:
 
 
 class Ranker:
-    """Ranks a text's grams and compares the ranks with the profiles. Grams get task-local numbers as they come."""
+    """Ranks a text's grams and compares the ranks with the profiles'."""
 
     def __init__(self, learned: dict[str, list[int]], size: int):
         self.languages, self.size = list(learned), size
-        self.learned = {}
-        for column, found in enumerate(learned.values()):
-            for rank, gram in enumerate(found):
-                self.learned.setdefault(gram, []).append((column, rank))
-        self._start()
-
-    def _start(self) -> None:
-        self.number: dict[int, int] = {}
-        self.gram = np.zeros(1024, dtype=np.int64)
-        self.rank = np.full((1024, len(self.languages)), -1, dtype=np.int32)
-        self.of_word = WordTable(self._numbers, 100_000)
-
-    def _numbers(self, word: str) -> bytes:
-        found = []
-        for gram in grams(word):
-            number = self.number.setdefault(gram, len(self.number))
-            if number == len(self.gram):
-                self.gram = np.concatenate([self.gram, np.zeros_like(self.gram)])
-                self.rank = np.concatenate([self.rank, np.full_like(self.rank, -1)])
-            self.gram[number] = gram
-            for column, rank in self.learned.get(gram, ()):
-                self.rank[number, column] = rank
-            found.append(number)
-        return np.array(found, dtype=np.int32).tobytes()
+        entries = sorted((gram, column, rank) for column, found in enumerate(learned.values()) for rank, gram in enumerate(found))
+        self.gram, self.column, self.rank = np.array(entries, dtype=np.int64).reshape(-1, 3).T
+
+    def top(self, text: str) -> np.ndarray:
+        """The most frequent grams, ties by code point."""
+        found, counts = counted_grams([text])
+        return found[np.argsort(-counts, kind="stable")[: self.size]]
 
     def closest(self, text: str | None) -> tuple[str, float]:
         """The language with the least out-of-place distance (ties: the first by name), and 1 - distance / largest distance.
 
         A gram that a profile lacks is out of place by the profile size.
         """
-        if len(self.number) > _MAX_GRAMS:
-            self._start()
-        numbers = np.frombuffer(b"".join(map(self.of_word.__getitem__, text.split())) if text else b"", dtype=np.int32)
-        if not len(numbers) or not self.languages:
+        top = self.top(text or "")
+        if not len(top) or not self.languages:
             return UNDETERMINED, 0.0
-        counts = np.bincount(numbers)
-        met = np.flatnonzero(counts)
-        top = met[np.lexsort((self.gram[met], -counts[met]))[: self.size]]
-        ranks = self.rank[top]
-        away = np.where(ranks < 0, self.size, np.abs(ranks - np.arange(len(top))[:, None])).sum(axis=0)
+        low, high = np.searchsorted(self.gram, top, "left"), np.searchsorted(self.gram, top, "right")
+        place = np.repeat(np.arange(len(top)), high - low)
+        entry = np.arange(len(place)) + np.repeat(low - np.concatenate([[0], np.cumsum(high - low)[:-1]]), high - low)
+        away = np.full(len(self.languages), self.size * len(top), dtype=np.int64)
+        np.subtract.at(away, self.column[entry], self.size - np.abs(self.rank[entry] - place))
         best = int(np.argmin(away))
         return self.languages[best], float(1 - away[best] / (self.size * len(top)))
 

@@ -7,8 +7,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from docflow.llm import prefix_trie, simhash, spelling, tiling
+from docflow.llm import langid, prefix_trie, simhash, spelling, tiling
 from docflow.llm.common import components
+from tests.llm import brute
 
 
 def test_find_close():
@@ -153,3 +154,14 @@ def test_pairs_in_tiles():
     for most in (1, 3, 100):
         found = [(int(x), int(y)) for i, j in tiling.pairs(table, np.array([0, 4]), most) for x, y in zip(i, j)]
         assert sorted(found) == [(0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3), (4, 6), (4, 7), (5, 6), (5, 7)]
+
+
+def test_grams_of_odd_texts(monkeypatch):
+    texts = ["", "_", "a", "A_b", "e\u0301te\u0301 \u0301x", "ΟΔΟΣ ΣΑΣ", "İstanbul ß ﬁ", "中文 字", "1a2b", "\u0301", "x\u0301\u0301 \u0301\u0301", "🙂a🙂"]
+    decode = lambda g: "".join(chr(c) for c in (g >> 42, g >> 21 & 0x1FFFFF, g & 0x1FFFFF) if c)
+    for stretch in (1 << 20, 3):
+        monkeypatch.setattr(langid, "_STRETCH", stretch)
+        for text in [*texts, " ".join(texts) * 3]:
+            found, counts = langid.counted_grams([text])
+            assert {decode(int(g)): int(n) for g, n in zip(found, counts)} == dict(brute.grams(text))
+            assert (np.diff(found) > 0).all()

@@ -102,6 +102,18 @@ def test_language(spark, folder, small):
         assert sum(held) >= 0.97 * len(held)
 
 
+def test_language_by_plain_profiles(spark, folder):
+    docs = rows(folder, "documents")
+    counts = defaultdict(Counter)
+    for d in docs:
+        if not brute.held_out(d["doc_id"], 3, 1) and d["lang"] is not None and d["text"] is not None:
+            counts[d["lang"]] += brute.grams(d["text"])
+    profiles = {lang: brute.most(found) for lang, found in counts.items() if found}
+    found = run(spark, folder, "op3_language_id")
+    expected = Counter((d["doc_id"], *brute.closest(d["text"], profiles)) for d in docs)
+    assert Counter((r["doc_id"], r["lang_pred"], r["score"]) for r in found) == expected
+
+
 def test_quality(spark, folder, small):
     found = run(spark, folder, "op5_quality")
     docs = rows(folder, "documents")
