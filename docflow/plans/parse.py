@@ -1,19 +1,18 @@
 """Files topic to content store and parsed topic."""
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from docflow.functions.files import is_pdf
 from docflow.operators.changes import latest_per_key, mark_changed
 from docflow.operators.extraction import Extractor, extract_text, utf8_pages
 from docflow.operators.ordering import first_rows
 from docflow.operators.records import parsed_record
-from docflow.schemas import PARSED_RECORD
+from docflow.sources.runs import Runs
 from docflow.sources.store import content_rows, save
 from docflow.sources.topics import batch_of, commits, write_topic
 
-STATE = "id string, modifiedTime string"
+STATE = T.StructType().add("id", T.StringType()).add("modifiedTime", T.StringType())
 
 
 def pdf_messages(messages: DataFrame) -> DataFrame:
@@ -22,20 +21,22 @@ def pdf_messages(messages: DataFrame) -> DataFrame:
     return files.filter(is_pdf(F.col("mimeType")))
 
 
-def last_parsed(spark: SparkSession, topic: str, before: int) -> DataFrame:
-    """Per id the modified time of the last file the batches before parsed: the state that the newest of them left."""
+def parse_state(spark: SparkSession, topic: str) -> Runs:
+    """Per id the modified time of the last file that was parsed, as each batch of the topic left it."""
+    return Runs(spark, f"{topic}/state", STATE, "id")
+
+
+def last_parsed(spark: SparkSession, topic: str, before: int, files: DataFrame) -> DataFrame:
+    """Of the ids of `files`, the modified time of the last file the batches before parsed. The log decides which batches count."""
     newest = commits(spark, topic).filter(F.col("batch_id") < before).agg(F.max("batch_id")).first()[0]
-    if newest is None:
-        return spark.createDataFrame([], STATE)
-    return spark.read.schema(STATE).parquet(f"{topic}/state/batch_id={newest}")
+    state = parse_state(spark, topic)
+    return state.read(-1 if newest is None else newest, files).select("id", "modifiedTime")
 
 
-def save_state(last: DataFrame, attempts: DataFrame, topic: str, batch_id: int) -> None:
-    """Fold a batch's successes into the state and leave it for the next batch. The log decides which state counts."""
-    won = latest_per_key(attempts.filter("status = 'success'").select("id", "offset", "modifiedTime"), "id", "offset")
-    new = won.select("id", "modifiedTime")
-    state = last.join(new, "id", "left_anti").select("id", "modifiedTime").unionByName(new)
-    state.write.mode("overwrite").parquet(f"{topic}/state/batch_id={batch_id}")
+def save_state(attempts: DataFrame, topic: str, batch_id: int) -> None:
+    """Add a batch's successes to the state for the next batch."""
+    won = attempts.filter("status = 'success'").select("id", "offset", "modifiedTime")
+    parse_state(attempts.sparkSession, topic).append(latest_per_key(won, "id", "offset"), batch_id)
 
 
 def extract_needed(files: DataFrame, content: DataFrame, extractor: Extractor, last: DataFrame) -> DataFrame:
@@ -106,7 +107,7 @@ def run_parse(
     if done:
         return batch_id
     files = pdf_messages(messages)
-    last = last_parsed(spark, topic, batch_id)
+    last = last_parsed(spark, topic, batch_id, files)
     # Kept on executor disks to extract once for two writes; what is lost is extracted again.
     extracted = extract_needed(files, content, extractor, last).persist(StorageLevel.DISK_ONLY)
     attempts = limit_successes(parse_attempts(files, extracted, last), max_files).persist(StorageLevel.DISK_ONLY)
@@ -114,7 +115,7 @@ def run_parse(
         newest = latest_per_key(attempts.filter("status = 'success'"), "id", "offset")
         texts = newest.select("id", "offset", "name", "mimeType").join(extracted.select("id", "text"), "id")
         save(content_rows(texts), store, batch_id)
-        save_state(last, attempts, topic, batch_id)
+        save_state(attempts, topic, batch_id)
         return write_topic(parsed_messages(attempts, now), topic, number, run)["batch_id"]
     finally:
         attempts.unpersist()

@@ -99,14 +99,14 @@ def parse_stage(
         files = new.withColumn("again", F.lit(False)).unionByName(old.withColumn("again", F.lit(True)))
         outcome = latest_per_key(read_texts(session, texts).select("id", "status", "text_length", "landed"), "id", "landed")
         outcome = outcome.join(files.select("id").distinct(), "id", "left_semi")
-        last = last_parsed(session, parsed_topic, batch_id)
+        last = last_parsed(session, parsed_topic, batch_id, files)
         attempts = parse_attempts(files, outcome, last).filter("NOT again OR status <> 'failed'")
         # Kept on executor disks for several writes; what is lost is computed again.
         attempts = attempts.persist(StorageLevel.DISK_ONLY)
         try:
             absent = files.join(outcome, "id", "left_anti").drop("again")
             absent.write.mode("overwrite").parquet(_waiting(parsed_topic, checkpoint, number))
-            save_state(last, attempts, parsed_topic, batch_id)
+            save_state(attempts, parsed_topic, batch_id)
             write_topic(parsed_messages(attempts, now), parsed_topic, number, checkpoint)
         finally:
             attempts.unpersist()
