@@ -13,7 +13,7 @@ from docflow.plans.parse import parse_attempts, run_parse
 from docflow.schemas import CHUNK_RECORD, FILE_RECORD, PARSED_RECORD
 from docflow.session import work_folder
 from docflow.sources import store as st, topics as tp
-from docflow.sources.files import read_bytes, read_paths
+from docflow.sources.files import index, read_bytes, read_paths
 from docflow.sources.listing import PAGE_BITS
 from docflow.streaming import stages
 from docflow.streaming.changes import keep_changed, read_changed
@@ -359,6 +359,32 @@ def parsed_rows(spark, topic):
     )
 
 
+def file_index(spark, sf):
+    """The landed files by path."""
+    return index(spark, I.land_files(spark, sf), lambda path: F.regexp_extract(path, r"/id=(\d+)/", 1))
+
+
+@check("n2_parse_by_path", PARSED)
+def n2_paths(spark, sf):
+    """The files the messages want are opened by the tasks that extract them."""
+    topic = work_folder(spark, "parsed")
+    run_parse(spark, I.file_messages(spark, sf), file_index(spark, sf), work_folder(spark, "store"), topic)
+    return parsed_rows(spark, topic)
+
+
+@check("h1_resumed", PARSED)
+def h1_resumed(spark, sf):
+    """Runs of a few files each that go on from the offset the one before returned; together they are one run."""
+    store, topic = work_folder(spark, "store"), work_folder(spark, "parsed")
+    messages, content = I.file_messages(spark, sf), file_index(spark, sf)
+    most = messages.filter(F.expr(PDF.replace("mimeType", "value.mimeType"))).count() // 4 + 1
+    end, runs = -1, 0
+    while end is not None:
+        end = run_parse(spark, messages.filter(F.col("offset") > end), content, store, topic, max_files=most).end
+        runs += 1
+    return parsed_rows(spark, topic)
+
+
 @check("n2_parse", PARSED)
 def n2(spark, sf):
     return parsed_rows(spark, parsed(spark, sf)[1])

@@ -6,9 +6,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docflow.functions.text import clean_extracted, parse_status, text_length
+from docflow.sources.files import open_path
 
 # bytes -> texts of the pages, in page order; may raise
 Extractor = Callable[[bytes], list[str]]
+# path -> bytes; may raise
+Reader = Callable[[str], bytes]
 
 # Pages joined at a time; a file's blocks of pages are joined after that.
 PAGE_BLOCK = 1000
@@ -43,10 +46,11 @@ def html_pages(content: bytes) -> list[str]:
     return [" ".join(parts)]
 
 
-def page_texts(content: Column, extractor: Extractor) -> Column:
+def page_texts(content: Column, extractor: Extractor, reader: Reader | None = None) -> Column:
     """`array<string>` of page texts; null if there are no bytes or the extractor raises.
 
-    Only the bytes go to Python; the other columns of the row stay in the JVM.
+    Only the bytes go to Python; the other columns of the row stay in the JVM. With a reader `content` is a path, which is opened where it is
+    extracted, one file at a time; null if that fails.
     """
 
     def extract(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -54,7 +58,7 @@ def page_texts(content: Column, extractor: Extractor) -> Column:
             if value is None:
                 return None
             try:
-                return [str(page) for page in extractor(bytes(value))]
+                return [str(page) for page in extractor(bytes(value) if reader is None else reader(value))]
             except Exception:  # a file that cannot be read must not end the job
                 return None
 
@@ -71,9 +75,14 @@ def join_pages(pages: Column) -> Column:
     return F.array_join(F.transform(pages, lambda p: F.concat(F.coalesce(p, F.lit("")), F.lit("\n"))), "")
 
 
-def extract_text(df: DataFrame, extractor: Extractor, content: str = "content") -> DataFrame:
+def extract_paths(df: DataFrame, extractor: Extractor, reader: Reader = open_path, path: str = "path") -> DataFrame:
+    """`extract_text` of the files at the paths of df; the files' bytes do not leave the tasks that open them."""
+    return extract_text(df, extractor, path, reader)
+
+
+def extract_text(df: DataFrame, extractor: Extractor, content: str = "content", reader: Reader | None = None) -> DataFrame:
     """Replace `content` by text, status (`success`, `empty`, `failed`) and text_length; text is null unless success."""
-    raw = df.withColumn("_pages", page_texts(F.col(content), extractor)).drop(content)
+    raw = df.withColumn("_pages", page_texts(F.col(content), extractor, reader)).drop(content)
     cleaned = raw.withColumn("_text", F.when(F.col("_pages").isNotNull(), clean_extracted(join_pages(F.col("_pages")))))
     judged = cleaned.withColumn("status", parse_status(F.col("_text")))
     text = F.when(F.col("status") == "success", F.col("_text"))

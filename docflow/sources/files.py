@@ -1,4 +1,8 @@
-"""File bytes by id or by path."""
+"""File bytes by id or by path.
+
+`read_bytes` is a table of all files with their bytes. `index` has their paths and sizes only: a job decides on it which files it wants, and
+the tasks that want them open those and no others.
+"""
 
 from collections.abc import Callable
 
@@ -20,6 +24,23 @@ def read_bytes(spark: SparkSession, path: str, id_of: Callable[[Column], Column]
     return files.select(id_of(F.col("path")).alias("id"), "content")
 
 
+def index(spark: SparkSession, path: str, id_of: Callable[[Column], Column] = file_id) -> DataFrame:
+    """(id, path, length, landed) of the files under `path`, without opening any."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(id_of(F.col("path")).alias("id"), "path", "length", F.col("modificationTime").alias("landed"))
+
+
+def open_path(path: str) -> bytes:
+    """The bytes of a file, from inside a task. Schemes other than local files need their file system on the workers."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path[len("file:") :].lstrip("/")
+    system, place = (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
+    with system.open_input_stream(place) as stream:
+        return stream.read()
+
+
 def read_bytes_stream(
     spark: SparkSession, path: str, id_of: Callable[[Column], Column] = file_id, max_files: int = 1000
 ) -> DataFrame:

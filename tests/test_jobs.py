@@ -15,7 +15,7 @@ from docflow.plans.parse import run_parse
 from docflow.schemas import CHUNK_RECORD, FILE_RECORD, PARSED_RECORD
 from docflow.session import work_folder
 from docflow.sources import listing as ls, store as st, topics as tp
-from docflow.sources.files import read_bytes, read_paths
+from docflow.sources.files import index, open_path, read_bytes, read_paths
 from docflow.streaming import stages
 from docflow.streaming.changes import changed_writer, read_changed
 from tests.test_changes import random_rows, rule_tried
@@ -198,6 +198,40 @@ def test_parse_limit(spark, tmp_path):
     assert [r[0] for r in parsed(spark, topic)] == [0, 1, 2, 3]
 
 
+def test_files_are_opened_by_need_and_in_waves(spark, tmp_path):
+    """500 files, every third of them no text; ten are wanted, and ten more after those."""
+    landed, calls = tmp_path / "files", tmp_path / "calls"
+    landed.mkdir(), calls.mkdir()
+    for i in range(500):
+        (landed / f"f{i:03}.pdf").write_bytes(b"\xff" if i % 3 == 2 else f"text {i}".encode())
+    folder = str(calls)
+
+    def reader(path):
+        import uuid
+
+        with open(f"{folder}/{path.rsplit('/', 1)[1]}.{uuid.uuid4().hex}", "w"):
+            return open_path(path)
+
+    feed = messages(spark, [(2 * o, f"f{o:03}", "1", PDF) for o in range(500)])
+    content, topic = index(spark, str(landed)), str(tmp_path / "t")
+    assert content.columns == ["id", "path", "length", "landed"]
+    got = run_parse(spark, feed, content, str(tmp_path / "s"), topic, max_files=10, reader=reader)
+    assert got.end == 26 and sum(r[1] == "success" for r in parsed(spark, topic)) == 10
+    opened = [p.name[:4] for p in calls.iterdir()]
+    assert len(opened) == len(set(opened)) <= 20
+    left = feed.filter(F.col("offset") > got.end)
+    after = run_parse(spark, left, content, str(tmp_path / "s"), topic, max_files=10, reader=reader)
+    rows = parsed(spark, topic)
+    assert after.end == 56 and [r[0] for r in rows] == list(range(0, 57, 2)) and sum(r[1] == "success" for r in rows) == 20
+    none = feed.filter("offset > 5000")
+    assert run_parse(spark, none, content, str(tmp_path / "s"), topic, max_files=3, reader=reader).end is None
+    # A file that is gone when it is opened fails alone.
+    some = content.filter("id < 'f005'").unionByName(content.filter("id = 'f005'").withColumn("path", F.lit("/absent/f005.pdf")))
+    all_of = str(tmp_path / "u")
+    run_parse(spark, feed.filter("offset < 12"), some, str(tmp_path / "v"), all_of)
+    assert [r[1] for r in parsed(spark, all_of)] == ["success", "success", "failed", "success", "success", "failed"]
+
+
 def chunks(spark, topic):
     rows = tp.read_topic(spark, topic, CHUNK_RECORD).collect()
     return sorted((r.offset, r.key, r.value.fileName, r.value.chunkText, r.value.totalChunks) for r in rows)
