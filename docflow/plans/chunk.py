@@ -8,7 +8,7 @@ from docflow.operators.lookups import with_content, with_path, with_status
 from docflow.operators.ordering import first_rows
 from docflow.operators.records import chunk_record
 from docflow.schemas import CHUNK_RECORD, OVERLAP, WINDOW_SIZE
-from docflow.sources.store import read_store
+from docflow.sources.store import held, read_store
 from docflow.sources.topics import read_topic, write_topic
 
 
@@ -51,16 +51,15 @@ def run_chunk(
     check_window(window, overlap)
     files = chunkable(parsed)
     if max_files is not None:
-        # The limit is on narrow rows: which files have content is known before any text is chunked.
-        there = with_content(read_store(spark, store, as_of, files.select(F.col("storagePath").alias("path")).distinct()))
+        # The limit is on narrow rows: the index of the store knows which files have content.
+        there = held(spark, store, as_of, files.select(F.col("storagePath").alias("path"))).filter("length > 0")
         named = files.join(there.select(F.col("path").alias("storagePath")), "storagePath", "left_semi")
         end = first_rows(named.select("offset"), "offset", max_files).agg(F.max("offset")).first()[0]
         files = files.filter(F.col("offset") <= F.lit(end))
-    wanted = files.select(F.col("storagePath").alias("path")).distinct()
     # Each text is chunked once, before the join, however many messages name it.
-    held = with_content(read_store(spark, store, as_of, wanted))
+    texts = with_content(read_store(spark, store, as_of, files.select(F.col("storagePath").alias("path"))))
     chunks = F.when(has_text(F.col("content")), chunk_list(F.col("content"), window, overlap))
-    lists = held.select(F.col("path").alias("storagePath"), chunks.alias("chunks"))
+    lists = texts.select(F.col("path").alias("storagePath"), chunks.alias("chunks"))
     found = files.join(lists, "storagePath").filter("chunks IS NOT NULL")
     rows = explode_chunks(found, F.col("chunks"), "id", ["offset", "id", "name"])
     write_topic(_keyed(rows, now), topic, number, run)

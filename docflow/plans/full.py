@@ -25,6 +25,6 @@ def run_full(
     run: str = "",
 ) -> None:
     """Parse a batch of file messages and chunk what came of it; `number` and `run` name it in both topics."""
-    batch_id = run_parse(spark, messages, content, store, parsed_topic, extractor, max_files, number, now, run).batch_id
-    parsed = read_topic(spark, parsed_topic, PARSED_RECORD, F.col("batch_id") == batch_id)
-    run_chunk(spark, parsed, store, chunks_topic, window, overlap, max_files, number, batch_id, now, run)
+    done = run_parse(spark, messages, content, store, parsed_topic, extractor, max_files, number, now, run)
+    parsed = read_topic(spark, parsed_topic, PARSED_RECORD, F.col("batch_id") == done.batch_id)
+    run_chunk(spark, parsed, store, chunks_topic, window, overlap, max_files, number, done.version, now, run)

@@ -107,6 +107,8 @@ class ParseRun(NamedTuple):
 
     batch_id: int
     end: int | None
+    # of the store, after the run; null if the batch had been written before
+    version: int | None = None
 
 
 def in_waves(files: DataFrame, content: DataFrame, extractor: Extractor, last: DataFrame, max_files: int, reader: Reader) -> tuple[DataFrame, DataFrame, int | None]:
@@ -174,10 +176,10 @@ def run_parse(
     try:
         newest = latest_per_key(attempts.filter("status = 'success'"), "id", "offset")
         texts = newest.select("id", "offset", "name", "mimeType").join(extracted.select("id", "text"), "id")
-        save(content_rows(texts), store, batch_id)
+        version = save(content_rows(texts), store, unique=True)
         save_state(attempts, topic, batch_id)
         write_topic(parsed_messages(attempts, now), topic, number, run)
-        return ParseRun(batch_id, files.agg(F.max("offset")).first()[0] if max_files is None else end)
+        return ParseRun(batch_id, files.agg(F.max("offset")).first()[0] if max_files is None else end, version)
     finally:
         attempts.unpersist()
         extracted.unpersist()

@@ -111,8 +111,6 @@ STORE_ROW = T.StructType(
         T.StructField("content", T.StringType()),
         T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
         T.StructField("seq", T.LongType()),
-        T.StructField("deleted", T.BooleanType()),
-        T.StructField("version", T.LongType()),
     ]
 )
 

@@ -78,7 +78,8 @@ class Runs:
             wanted = wanted.select(self.key).filter(F.col(self.key).isNotNull()).distinct()
             # One number for each bucket at most.
             buckets = [r[0] for r in wanted.select(self.bucket().alias("b")).distinct().collect()]
-        rows = self._rows(self.manifest(batch), buckets)
+        # With history the newest manifest has the rows of all batches before, however long ago.
+        rows = self._rows(self.manifest(None if self.history else batch), buckets)
         if wanted is not None:
             rows = rows.join(wanted, self.key, "left_semi")
         return rows if batch is None else rows.filter(F.col("batch") <= batch)

@@ -13,13 +13,13 @@ stream, which reads markers, gets all files of a batch in one micro-batch. A top
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from docflow.operators.records import from_json_messages, to_json_messages
 from docflow.schemas import message_schema
 from docflow.session import configure
+from docflow.sources import folders
 
 PARTITIONS = 16
 MARKER = "run string, number long, batch_id long, folder string, accepted long, rejected long"
@@ -49,12 +49,9 @@ def _laid_out(rows: DataFrame, partitions: int) -> DataFrame:
 
 def commits(spark: SparkSession, path: str) -> DataFrame:
     """The log of a topic: a row per write."""
-    try:
-        return spark.read.schema(MARKER).json(f"{path}/commits")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not folders.exists(spark, f"{path}/commits"):
         return spark.createDataFrame([], MARKER)
+    return spark.read.schema(MARKER).json(f"{path}/commits")
 
 
 def batch_of(spark: SparkSession, path: str, run: str, number: int | None) -> tuple[int, bool]:
@@ -95,12 +92,12 @@ def write_topic(
     return {"batch_id": batch_id, **counts}
 
 
-def _read_folders(spark: SparkSession, path: str, folders: list[str], record: T.StructType) -> DataFrame:
+def _read_folders(spark: SparkSession, path: str, of: list[str], record: T.StructType) -> DataFrame:
     schema = _stored_schema(record).add("batch_id", T.LongType()).add("write", T.StringType())
     # A batch without rows has a folder without files.
-    if not folders:
+    if not of:
         return spark.createDataFrame([], schema).drop("write")
-    return spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*folders).drop("write")
+    return spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*of).drop("write")
 
 
 def read_rows(spark: SparkSession, path: str, record: T.StructType, batches: Column | None = None) -> DataFrame:
@@ -137,8 +134,7 @@ def follow(
 
     def run(batch: DataFrame, number: int) -> None:
         session = configure(batch.sparkSession)
-        folders = [r.folder for r in batch.select("folder").distinct().collect()]
-        rows = _read_folders(session, path, folders, record)
+        rows = _read_folders(session, path, [r.folder for r in batch.select("folder").distinct().collect()], record)
         handle(rows.filter("accepted").select("key", "offset", "value"), number)
 
     counted = markers.observe("topic", F.sum("accepted").alias("rows"))

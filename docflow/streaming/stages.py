@@ -4,7 +4,6 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -17,6 +16,7 @@ from docflow.plans.full import run_full
 from docflow.plans.listing import listing_messages
 from docflow.plans.parse import last_parsed, parse_attempts, parsed_messages, pdf_messages, save_state
 from docflow.schemas import FILE_RECORD, OVERLAP, PARSED_RECORD, WINDOW_SIZE
+from docflow.sources import folders
 from docflow.sources.files import file_id, read_bytes_stream
 from docflow.sources.listing import list_files, read_page_stream
 from docflow.sources.topics import batch_of, follow, topic_stream_writer, write_topic
@@ -57,22 +57,17 @@ def texts_writer(extracted: DataFrame, texts: str, checkpoint: str) -> DataStrea
 
 def read_texts(spark: SparkSession, texts: str) -> DataFrame:
     """The texts there are now; none before the first is written."""
-    try:
-        return spark.read.schema(TEXTS).parquet(texts)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not folders.exists(spark, texts):
         return spark.createDataFrame([], TEXTS)
+    return spark.read.schema(TEXTS).parquet(texts)
 
 
 def waiting(spark: SparkSession, topic: str, run: str, number: int, like: DataFrame) -> DataFrame:
     """Messages that the micro-batch before left to be tried again."""
-    try:
-        return spark.read.schema(like.schema).parquet(_waiting(topic, run, number - 1))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    left = _waiting(topic, run, number - 1)
+    if not folders.exists(spark, left):
         return spark.createDataFrame([], like.schema)
+    return spark.read.schema(like.schema).parquet(left)
 
 
 def _waiting(topic: str, run: str, number: int) -> str:

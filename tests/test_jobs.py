@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,6 +111,36 @@ def test_store(spark, tmp_path):
     assert {r.path: (r.content, r.version) for r in held} == {"test/file.txt": ("again", 2), "other": ("x", 2)}
 
 
+def test_store_lookups_open_what_they_want(spark, tmp_path):
+    store = str(tmp_path / "store")
+    schema = "path string, content string, metadata map<string,string>, seq long"
+    expected = {}
+    for version in range(10):
+        rows = [(f"p{i}", f"text {i} of {version}", None, 1) for i in range(version, 60, 3)]
+        assert st.save(spark.createDataFrame(rows, schema), store, unique=version % 2 == 0) == version
+        expected |= {r[0]: r[1] for r in rows}
+    assert st.delete(spark.createDataFrame([("p59",)], "path string"), store) == 10
+    del expected["p59"]
+    assert {r.path: r.content for r in st.read_store(spark, store).collect()} == expected
+    wanted = spark.createDataFrame([("p30",), ("p59",), ("absent",)], "path string")
+    found = st.read_store(spark, store, wanted=wanted)
+    assert {r.path: r.content for r in found.collect()} == {"p30": expected["p30"]}
+    assert len({f.split("write=")[1].split("/")[0] for f in found.inputFiles() if "/data/" in f}) == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ (=|IN)", plan)
+    lengths = {r.path: r.length for r in st.held(spark, store).collect()}
+    assert lengths == {p: len(t) for p, t in expected.items()}
+    assert {r.path for r in st.read_store(spark, store, 1).collect()} == {f"p{i}" for i in (*range(0, 60, 3), *range(1, 60, 3))}
+
+
+def test_two_topics_on_one_store(spark, tmp_path):
+    store = str(tmp_path / "s")
+    for name in ("one", "two", "one"):
+        content = spark.createDataFrame([(name, name.encode())], "id string, content binary")
+        run_parse(spark, messages(spark, [(0, name, None, PDF)]), content, store, str(tmp_path / name))
+    assert {r.path: r.content for r in st.read_store(spark, store).collect()} == {"parsed/one.txt": "one", "parsed/two.txt": "two"}
+
+
 def broken(content):
     raise RuntimeError("cannot read")
 
