@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from docflow.operators.changes import latest_per_key
 from docflow.sources import folders
 
-BUCKETS = 64
+# Of a new table, unless the session says otherwise; a table keeps the number it began with.
+BUCKETS = 16
+BUCKETS_SETTING = "spark.docflow.buckets"
 FAN = 8
 KEPT = 2
 
@@ -28,9 +30,13 @@ class Runs:
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int = BUCKETS, fan: int = FAN, history: bool = False
+        self, spark: SparkSession, path: str, schema: T.StructType, key: str, buckets: int | None = None, fan: int = FAN, history: bool = False
     ):
-        self.spark, self.path, self.key, self.buckets, self.fan, self.history = spark, path, key, buckets, fan, history
+        self.spark, self.path, self.key, self.fan, self.history = spark, path, key, fan, history
+        if folders.exists(spark, f"{path}/buckets"):
+            self.buckets = int(folders.read_text(spark, f"{path}/buckets"))
+        else:
+            self.buckets = buckets or int(spark.conf.get(BUCKETS_SETTING, str(BUCKETS)))
         self.schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema]).add("batch", T.LongType())
         self.stored = T.StructType([*self.schema, T.StructField("bucket", T.IntegerType())])
 
@@ -91,6 +97,8 @@ class Runs:
     def append(self, rows: DataFrame, batch: int, order: tuple[str, ...] = ()) -> None:
         """Add the rows of a batch; the same batch again replaces it, and all that came after it."""
         before = self.manifest(batch - 1)
+        if not folders.exists(self.spark, f"{self.path}/buckets"):
+            folders.write_text(self.spark, f"{self.path}/buckets", str(self.buckets))
         name = f"level=0/run={uuid.uuid4().hex}"
         fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema if f.name != "batch"]
         added = rows.select(*fields, F.lit(batch).cast("long").alias("batch")).withColumn("bucket", self.bucket())
