@@ -3,12 +3,15 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from docflow.llm import stages
-from docflow.llm.common import bounded, kept, table
+from docflow.llm.common import bounded, stage_scratch, table
+from docflow.session import written
 
 def _stage(work):
     def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         bounded(spark)
-        return work(docs)
+        # What the stage before wrote on its way goes: its result is written.
+        with stage_scratch(spark):
+            return work(docs)
 
     return stage
 
@@ -27,5 +30,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents; each stage's result is written and read again before the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = kept(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,11 +1,15 @@
 """Shared pieces: scratch tables, words, word shingles, connected components."""
 
+import contextlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docflow.session import work_folder
+from docflow.sources import folders
 
 # What parts words everywhere in this package: space, tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]"
@@ -27,11 +31,40 @@ def bounded(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Folders and tables that pipeline stages have made, and whether one is being built just now.
+_scratch: list[tuple[str, str | None]] = []
+_recording = False
+
+
+def scratch(spark: SparkSession, name: str, table: str | None = None) -> str:
+    """A fresh folder for what an operator writes on its way, with the table of that name on it."""
+    path = work_folder(spark, name)
+    if _recording:
+        _scratch.append((path, table))
+    return path
+
+
+@contextlib.contextmanager
+def stage_scratch(spark: SparkSession) -> Iterator[None]:
+    """What is written in this block goes when the next such block begins: by then a stage's result has been written."""
+    global _recording
+    while _scratch:
+        path, name = _scratch.pop()
+        if name is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        folders.delete(spark, path)
+    _recording = True
+    try:
+        yield
+    finally:
+        _recording = False
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Write a table to a fresh folder under spark.checkpoint.dir and read it from there: cuts the lineage, is computed once
     and survives lost executors."""
     spark = df.sparkSession
-    path = work_folder(spark, name)
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -4,8 +4,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docflow.llm.common import kept, text_or_empty
-from docflow.session import work_folder
+from docflow.llm.common import kept, scratch, text_or_empty
 
 WHITE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -59,7 +58,7 @@ class LineRuns:
 
     def _write(self, run: DataFrame, level: int) -> None:
         name = f"line_run_{uuid.uuid4().hex}"
-        self.paths[name] = work_folder(self.spark, "line-runs")
+        self.paths[name] = scratch(self.spark, "line-runs", name)
         (
             run.repartition(self.buckets, *KEY)
             .write.bucketBy(self.buckets, *KEY)
