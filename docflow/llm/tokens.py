@@ -4,6 +4,7 @@ A text is cut only where the tokenizer's own rule never puts a token across, so
 of the text; chunks that come again are not encoded again.
 """
 
+import json
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -29,7 +30,8 @@ _SIGNS = _byte_signs()
 
 
 class Encoder:
-    """bytes of a text to its ids as little-endian unsigned 32-bit integers; special tokens in a text are ordinary text."""
+    """bytes of a text to its ids as little-endian unsigned 32-bit integers, as the library's default gives them: the literal of an
+    added token in a text is that token. Such a text is encoded as a whole."""
 
     def __init__(self, definition: str, space_parts: bool):
         """definition: JSON of the tokenizer. space_parts: white space parts tokens and is dropped (else it belongs to them)."""
@@ -37,7 +39,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token["content"].encode() for token in json.loads(definition).get("added_tokens") or []]
         self.model, self.space_parts = self.tokenizer.model, space_parts
         self.chunks = WordTable(self._encode, 500_000)
 
@@ -58,6 +60,8 @@ class Encoder:
     def ids(self, text: bytes | None) -> bytes:
         if not text:
             return b""
+        if any(x in text for x in self.added):
+            return self._encode(text)
         if self.space_parts:
             chunks = text.split()
         elif any(x in text for x in _UNEVEN):

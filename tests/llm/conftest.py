@@ -36,6 +36,7 @@ def edge_documents() -> list[tuple]:
         (14, "Schreiben schreibens schreiben Schreiber schreiben " * 30 + "écrivains écrivain ÉCRIVAIN" + "aaaaaaaa" * 500, "fr", "é", 50),
         (15, "schreibens écrivains Écrivains schre\u00ffben " * 2 + "aaaaaaaa" * 500 + "a " + "aaaaaaaa" * 500 + "ab", "fr", "é", 50),
         (16, "aaaaaaaa" * 500 + "b schreibe schreibe schriben schriben schrieben " * 2, "fr", None, 50),
+        (19, "a <|endoftext|> b <|startoftext|>c", "fr", "é", 34),
         (17, "A b", None, None, 3),
         (18, "a  B", None, None, 4),
         (None, "no id but a text of some six words", "fr", "é", 34),

@@ -40,7 +40,6 @@ def run(spark, folder, name):
 
 def tokens(name, text):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
