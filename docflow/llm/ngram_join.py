@@ -13,8 +13,9 @@ D = floor((a + b) * (1 - t) / (1 + t)) shingles: at least k - D of their k segme
   Segments whose sets end up in several components are taken up again: a set that has fewer than l of them is done, and of
   the others' segments the l - 1 with most sets need no look. Every pair of sets in different components that still
   shares a segment is compared, in the end on the shingle sets.
-* Where a segment holds very many components (a passage that many texts share), its sets are joined anew on single shingles,
-  the rarest first by their exact counts.
+* Where the sets of a segment would make many pairs each (a passage that many texts share, a large family with members far from its
+  head), its sets are joined anew on single shingles, the rarest first. How many of a set's shingles take part depends on the size
+  of the partner, too: far members of a family meet on what they have beside the family's text only.
 """
 
 from collections.abc import Iterator
@@ -41,8 +42,12 @@ LEAST_SEGMENTS = 64
 SAMPLE_TEXTS = 20_000
 COMMON_IN_SAMPLE = 32
 SALTS = 64
-# Segments with more components than this are joined on single shingles.
-CROWDED = 48
+# Segments that would make more pairs for each of their sets than this are joined on single shingles.
+CROWDED = 24
+# So many shingles of crowded sets, those in most sets, go last in the order; all others are taken as rare.
+COMMON_SHINGLES = 200_000
+# Sizes of one class differ by less than 1 part in so many.
+SIZE_CLASSES = 24
 STAR_ROUNDS = 4
 # A table of at most so many narrow rows may be broadcast; a longer one is shuffled.
 BROADCAST_ROWS = 400_000
@@ -291,7 +296,8 @@ def open_members(members: DataFrame) -> DataFrame:
     """Rows of `members` (key, node, label, band, weight) of keys with several labels, where an alike set may still be met.
 
     Two alike sets of different labels share open keys of a weight of `need` at least. So a set with less of them goes, and of
-    each set's keys those with most sets may go, up to a weight of one less. Adds labels (how many a key has), first_label and first_head.
+    each set's keys those with most sets may go, up to a weight of one less. Adds crowded (whether a key makes more than CROWDED pairs a
+    set), first_label and first_head.
     """
     rows = members
     for _ in range(2):
@@ -304,9 +310,13 @@ def open_members(members: DataFrame) -> DataFrame:
         rows = rows.withColumn("before", F.coalesce(F.sum("weight").over(before), F.lit(0)))
         trimmed = rows.filter(F.col("before") <= F.col("all") - need()).drop("before", "sets", "all")
         rows = rows.drop("before", "sets", "all")
-    heads = trimmed.groupBy("key", "label").agg(F.min("node").alias("head"))
-    keys = heads.groupBy("key").agg(F.count("*").alias("labels"), F.min(F.struct("label", "head")).alias("first"))
-    keys = keys.filter("labels > 1").select("key", "labels", "first.*").withColumnsRenamed({"label": "first_label", "head": "first_head"})
+    heads = trimmed.groupBy("key", "label").agg(F.min("node").alias("head"), F.count("*").cast("double").alias("n"))
+    keys = heads.groupBy("key").agg(
+        F.count("*").alias("labels"),
+        ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2 > CROWDED * F.sum("n")).alias("crowded"),
+        F.min(F.struct("label", "head")).alias("first"),
+    )
+    keys = keys.filter("labels > 1").select("key", "crowded", "first.*").withColumnsRenamed({"label": "first_label", "head": "first_head"})
     return trimmed.join(keys, "key")
 
 
@@ -335,27 +345,98 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
     return pairs.select(F.least("n1", "n2").alias("a"), F.greatest("n1", "n2").alias("b")).distinct()
 
 
+def size_class(n: int) -> int:
+    """A number that rises with the size."""
+    octave = n.bit_length() - 1
+    return octave * SIZE_CLASSES + ((n - (1 << octave)) * SIZE_CLASSES >> octave)
+
+
+def least_size(size: Column) -> Column:
+    """The least size that may be in a size class."""
+    power = F.pow(F.lit(2.0), F.floor(size / SIZE_CLASSES))
+    return (power + F.ceil(power * (size % SIZE_CLASSES) / SIZE_CLASSES)).cast("long")
+
+
+def shingle_counts(sets: DataFrame) -> DataFrame:
+    """key, sets: in how many rows of `sets` a shingle is; counted within tasks first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("tokens")
+            # Not more than some million shingles are sorted at once, however long the sets.
+            rows = 0
+            while rows < len(lists):
+                part, held = rows, 0
+                while rows < len(lists) and (not held or held + len(lists[rows]) <= 2_000_000):
+                    held += len(lists[rows])
+                    rows += 1
+                keys, counts = np.unique(lists.slice(part, rows - part).flatten().to_numpy(zero_copy_only=False), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "sets"])
+
+    return sets.select("tokens").mapInArrow(run, "key long, sets long").groupBy("key").agg(F.sum("sets").alias("sets"))
+
+
+def rare_shingles(sets: DataFrame, percent: int, common: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """key, place, node, label, n, size (class), low (least class of a partner): the first shingles of each set, rarest first.
+
+    Alike sets share one of the first n - ceil(t n) + 1 shingles of each in any common order. Here it is that by counts, by hash among
+    equal ones; a shingle that is not in `common` (sorted) counts as none.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, labels = (batch.column(c).to_numpy() for c in ("node", "label"))
+            for node, label, tokens in zip(nodes, labels, batch.column("tokens")):
+                tokens = tokens.values.to_numpy()
+                n = len(tokens)
+                often = np.zeros(n, dtype=np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+                    often = np.where(common[at] == tokens, counts[at], 0)
+                first = tokens[np.lexsort((tokens, often))[: n - -(-n * percent // 100) + 1]]
+                alone = [node, label, n, size_class(n), size_class(max(1, -(-n * percent // 100)))]
+                same = [pa.array(np.full(len(first), value, dtype=np.int64)) for value in alone]
+                places = pa.array(np.arange(1, len(first) + 1))
+                names = ["key", "place", "node", "label", "n", "size", "low"]
+                yield pa.RecordBatch.from_arrays([pa.array(first), places, *same], names=names)
+
+    return sets.mapInArrow(run, "key long, place long, node long, label long, n long, size long, low long")
+
+
 def rare_shingle_pairs(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a < b: pairs of the nodes of `crowd` (node, label) with different labels that share one of their rarest shingles.
 
-    Alike sets share one of the first n - ceil(t n) + 1 shingles of each in any common order; here by exact count.
+    Sets of sizes m and n that are alike share o = ceil(t (m + n) / (1 + t)) shingles at least, so one of the first n - o + 1 of each. A
+    row goes to each class of sizes that its shingle is found with, as long as its place is one of those for the least size there.
     """
-    tokens = crowd.join(sets, "node").select("node", "label", F.size("tokens").alias("n"), F.explode("tokens").alias("key"))
-    tokens = kept(tokens, "crowd")
-    counts = tokens.groupBy("key").agg(F.count("*").alias("sets")).filter("sets > 1")
-    # Shingles of one set only come first and can be shared with nobody: they are counted, not carried.
-    common = tokens.join(counts, "key")
-    own = common.groupBy("node").agg(F.count("*").alias("in_common"))
-    order = Window.partitionBy("node").orderBy("sets", "key")
-    rows = common.withColumn("place", F.row_number().over(order)).join(own, "node")
-    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("in_common"))
-    return cross_pairs(kept(rows.filter(F.col("place") <= first).select("key", "node", "label"), "crowd"))
+    tokens = kept(crowd.join(sets, "node").select("node", "label", "tokens"), "crowd")
+    often = shingle_counts(tokens).filter(F.col("sets") > CROWDED).orderBy(F.desc("sets"), "key").limit(COMMON_SHINGLES).toArrow()
+    keys, counts = (often.column(c).to_numpy() for c in ("key", "sets"))
+    order = np.argsort(keys)
+    rows = kept(rare_shingles(tokens, percent, keys[order], counts[order]), "rare-shingles")
+
+    # Shingles with one label end here.
+    partners = rows.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2"), F.collect_set("size").alias("others"))
+    partners = partners.filter("l1 < l2").select("key", "others")
+    rows = rows.join(partners, "key").withColumn("other", F.explode("others")).drop("others")
+    least = F.greatest(least_size(F.col("other")), F.ceil(F.col("n") * percent / 100))
+    shared = F.ceil((F.col("n") + least) * percent / (100 + percent))
+    rows = kept(rows.filter((F.col("other") >= F.col("low")) & (F.col("place") <= F.col("n") - shared + 1)), "rare-shingles")
+
+    labels = rows.select("key", "size", "other", "label").distinct()
+    same = [F.col("x.key") == F.col("y.key"), F.col("x.size") == F.col("y.other"), F.col("x.other") == F.col("y.size")]
+    two = labels.alias("x").join(labels.alias("y"), [*same, F.col("x.label") < F.col("y.label")])
+    two = two.select("x.key", "x.size", "x.other", F.col("x.label").alias("l1"), F.col("y.label").alias("l2"))
+    left = rows.select("key", "size", "other", F.col("label").alias("l1"), F.col("node").alias("n1"))
+    right = rows.select("key", F.col("size").alias("other"), F.col("other").alias("size"), F.col("label").alias("l2"), F.col("node").alias("n2"))
+    pairs = two.join(left, ["key", "size", "other", "l1"]).join(right, ["key", "size", "other", "l2"])
+    return pairs.select(F.least("n1", "n2").alias("a"), F.greatest("n1", "n2").alias("b")).distinct()
 
 
 def open_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a < b: the pairs of nodes with different labels to compare for the rows of `open_members`."""
-    crowd = rows.filter(F.col("labels") > CROWDED).select("node", "label").distinct()
-    pairs = cross_pairs(rows.filter(F.col("labels") <= CROWDED).select("key", "node", "label"))
+    crowd = rows.filter("crowded").select("node", "label").distinct()
+    pairs = cross_pairs(rows.filter("NOT crowded").select("key", "node", "label"))
     if not crowd.isEmpty():
         pairs = pairs.union(rare_shingle_pairs(crowd, sets, percent)).distinct()
     return pairs
