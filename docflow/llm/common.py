@@ -69,6 +69,13 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Remove what `kept` wrote for these tables. No result that is still to be computed may read them."""
+    for rows in tables:
+        for path in {name.rsplit("/", 1)[0] for name in rows.inputFiles()}:
+            folders.delete(rows.sparkSession, path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -222,7 +229,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = larger.groupBy("u").agg(F.min("v").alias("m"))
         smaller = larger.join(least, "u")
         smaller = smaller.select(F.col("v").alias("u"), F.col("m").alias("v")).union(smaller.select("u", F.col("m").alias("v")))
-        pairs = kept(smaller.filter("u <> v").distinct(), "edges")
+        done, pairs = pairs, kept(smaller.filter("u <> v").distinct(), "edges")
+        release(done)
         now = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == before:
             break

@@ -30,6 +30,7 @@ from docflow.llm.common import (
     components,
     kept,
     mixed,
+    release,
     set_hash,
     shingle_hashes,
     text_or_empty,
@@ -43,7 +44,7 @@ SAMPLE_TEXTS = 20_000
 COMMON_IN_SAMPLE = 32
 SALTS = 64
 # Segments that would make more pairs for each of their sets than this are joined on single shingles.
-CROWDED = 24
+CROWDED = 8
 # So many shingles of crowded sets, those in most sets, go last in the order; all others are taken as rare.
 COMMON_SHINGLES = 200_000
 # Sizes of one class differ by less than 1 part in so many.
@@ -261,14 +262,16 @@ class Verifier:
         smaller, larger = F.least("na", "nb"), F.greatest("na", "nb")
         pairs = pairs.filter(100 * smaller >= self.percent * larger)
         near = pairs.mapInArrow(_near_by_sketch(Bands(self.percent)), "a long, b long, na long, nb long")
-        pairs = kept(near, "near-pairs")
+        pairs = near = kept(near, "near-pairs")
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         sets = self.sets.join(small(nodes), "node")
         for side in ("a", "b"):
             pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("tokens").alias(f"t{side}")), side)
         common = F.size(F.array_intersect("ta", "tb")).cast("long")
         alike = 100 * common >= self.percent * (F.col("na") + F.col("nb") - common)
-        return kept(pairs.filter(alike).select("a", "b"), "links")
+        links = kept(pairs.filter(alike).select("a", "b"), "links")
+        release(near)
+        return links
 
 
 def _near_by_sketch(bands: Bands):
@@ -293,17 +296,19 @@ def need(band: str = "band") -> Column:
 
 
 def open_members(members: DataFrame) -> DataFrame:
-    """Rows of `members` (key, node, label, band, weight) of keys with several labels, where an alike set may still be met.
+    """A table: rows of `members` (key, node, label, band, weight) of keys with several labels, where an alike set may still be met.
 
     Two alike sets of different labels share open keys of a weight of `need` at least. So a set with less of them goes, and of
     each set's keys those with most sets may go, up to a weight of one less. Adds crowded (whether a key makes more than CROWDED pairs a
     set), first_label and first_head.
     """
-    rows = members
+    rows, written = members, []
     for _ in range(2):
         heads = rows.groupBy("key", "label").agg(F.min("node").alias("head"), F.count("*").alias("n"))
         keys = heads.groupBy("key").agg(F.count("*").alias("labels"), F.sum("n").alias("sets")).filter("labels > 1").drop("labels")
         rows = kept(rows.join(keys, "key"), "open")
+        release(*written)
+        written = [rows]
         enough = rows.groupBy("node", "band").agg(F.sum("weight").alias("all")).filter(F.col("all") >= need())
         rows = rows.join(enough, ["node", "band"])
         before = Window.partitionBy("node", "band").orderBy("sets", "key").rowsBetween(Window.unboundedPreceding, -1)
@@ -317,11 +322,13 @@ def open_members(members: DataFrame) -> DataFrame:
         F.min(F.struct("label", "head")).alias("first"),
     )
     keys = keys.filter("labels > 1").select("key", "crowded", "first.*").withColumnsRenamed({"label": "first_label", "head": "first_head"})
-    return trimmed.join(keys, "key")
+    found = kept(trimmed.join(keys, "key"), "open")
+    release(*written)
+    return found
 
 
 def one_of_equal_keys(found: DataFrame) -> DataFrame:
-    """key, node, band, weight: the members of each segment, once for all `weight` segments that the very same sets share.
+    """A table of key, node, band, weight: the members of each segment, once for all `weight` segments that the very same sets share.
 
     The sets of a segment are all its nodes and centers: a common segment has several centers, and only as a whole it is another's equal.
     """
@@ -331,7 +338,9 @@ def one_of_equal_keys(found: DataFrame) -> DataFrame:
     own = F.xxhash64("node")
     who = rows.groupBy("key", "band").agg(F.count("*").alias("n"), F.bit_xor(own).alias("x"), F.bit_xor(F.xxhash64(own)).alias("y"))
     one = who.groupBy("band", "n", "x", "y").agg(F.min("key").alias("key"), F.count("*").alias("weight"))
-    return rows.join(one.select("key", "weight"), "key").select("key", "node", "band", "weight")
+    members = kept(rows.join(one.select("key", "weight"), "key").select("key", "node", "band", "weight"), "members")
+    release(rows)
+    return members
 
 
 def cross_pairs(rows: DataFrame) -> DataFrame:
@@ -413,7 +422,8 @@ def rare_shingle_pairs(crowd: DataFrame, sets: DataFrame, percent: int) -> DataF
     often = shingle_counts(tokens).filter(F.col("sets") > CROWDED).orderBy(F.desc("sets"), "key").limit(COMMON_SHINGLES).toArrow()
     keys, counts = (often.column(c).to_numpy() for c in ("key", "sets"))
     order = np.argsort(keys)
-    rows = kept(rare_shingles(tokens, percent, keys[order], counts[order]), "rare-shingles")
+    rows = first = kept(rare_shingles(tokens, percent, keys[order], counts[order]), "rare-shingles")
+    release(tokens)
 
     # Shingles with one label end here.
     partners = rows.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2"), F.collect_set("size").alias("others"))
@@ -422,6 +432,7 @@ def rare_shingle_pairs(crowd: DataFrame, sets: DataFrame, percent: int) -> DataF
     least = F.greatest(least_size(F.col("other")), F.ceil(F.col("n") * percent / 100))
     shared = F.ceil((F.col("n") + least) * percent / (100 + percent))
     rows = kept(rows.filter((F.col("other") >= F.col("low")) & (F.col("place") <= F.col("n") - shared + 1)), "rare-shingles")
+    release(first)
 
     labels = rows.select("key", "size", "other", "label").distinct()
     same = [F.col("x.key") == F.col("y.key"), F.col("x.size") == F.col("y.other"), F.col("x.other") == F.col("y.size")]
@@ -482,9 +493,9 @@ def set_links(docs: DataFrame, percent: int = round(100 * LIKENESS), width: int
     share enough segments are compared, within components, too: the work grows with the links there are.
     """
     of_doc, found, sets, check = _prepared(docs, percent, width)
-    members = kept(one_of_equal_keys(found), "members")
+    members = one_of_equal_keys(found)
     # Each set is a label of its own, so no pair is left out for being of one component.
-    rows = kept(open_members(members.withColumn("label", F.col("node"))), "open")
+    rows = open_members(members.withColumn("label", F.col("node")))
     links = check.links(kept(open_pairs(rows, sets, percent), "pairs"))
     return of_doc.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "node"), links
 
@@ -505,10 +516,10 @@ def text_classes(docs: DataFrame, percent: int = round(100 * LIKENESS), width: i
     done = kept(best.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct(), "pairs")
     links = check.links(done)
     label = components(links)
-    members = kept(one_of_equal_keys(found), "members")
+    members = one_of_equal_keys(found)
 
     # Then heads of components with the first head, as long as that closes a good part of the segments.
-    rows = kept(open_members(labelled(members, label)), "open")
+    rows = open_members(labelled(members, label))
     n_rows = rows.count()
     for _ in range(STAR_ROUNDS if n_rows else 0):
         star = rows.groupBy("key", "label", "first_label", "first_head").agg(F.min("node").alias("head"))
@@ -520,7 +531,8 @@ def text_classes(docs: DataFrame, percent: int = round(100 * LIKENESS), width: i
         if not new.isEmpty():
             links = links.union(new)
             label = components(links)
-            rows = kept(open_members(labelled(members, label)), "open")
+            closed, rows = rows, open_members(labelled(members, label))
+            release(closed)
             n_rows = rows.count()
         if n_rows > 0.8 * before:
             break

@@ -83,6 +83,41 @@ def test_all_links_are_counted(spark):
     assert max(links) > 20 and [found[i] for i in range(len(texts))] == list(zip(brute.classes(texts), links))
 
 
+def test_size_classes(spark):
+    """The least size of a class is the least number of that class."""
+    sizes = [*range(1, 3000), *(1 << k for k in range(12, 40)), *((1 << k) - 1 for k in range(12, 40))]
+    rows = spark.createDataFrame([(n, ngram_join.size_class(n)) for n in sizes], "n long, size long")
+    for n, size, least in rows.withColumn("least", ngram_join.least_size(F.col("size"))).collect():
+        assert least <= n and ngram_join.size_class(least) == size
+        assert least == 1 or ngram_join.size_class(least - 1) < size
+
+
+def test_pairs_of_two_families(spark, monkeypatch):
+    """Families with three quarters of their shingles in common: the pairs compared do not grow with the square of the members."""
+    looked_at = []
+
+    class Counting(ngram_join.Verifier):
+        def links(self, pairs):
+            looked_at.append(pairs.count())
+            return super().links(pairs)
+
+    monkeypatch.setattr(ngram_join, "Verifier", Counting)
+    common, own = random_text(79, 10**6).split(), [random_text(25, 10**6).split() for _ in range(2)]
+    found = {}
+    for members in (100, 400):
+        texts = []
+        for i in range(2 * members):
+            words = common + own[i % 2]
+            words[int(DRAW.integers(0, len(words)))] = f"m{i}"
+            texts.append(" ".join(words))
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        looked_at.clear()
+        classes = {r.doc_id: r.component_id for r in ngram_join.similarity_classes(docs).collect()}
+        found[members] = sum(looked_at)
+        assert [classes[i] for i in range(len(texts))] == brute.classes(texts)
+    assert found[400] < 6 * found[100] and found[400] < 400 * 400 / 4, found
+
+
 def test_equal_keys_of_salted_segments(spark):
     """Sets of other salts, unlike both centers, still share what they shared before the merge of equal segments."""
     band, salts = 5, {0: [1], 1: [10, 11], 2: [20, 21]}
