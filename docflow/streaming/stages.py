@@ -20,6 +20,7 @@ from docflow.sources import folders
 from docflow.sources.files import file_id, read_bytes_stream
 from docflow.sources.listing import list_files, read_page_stream
 from docflow.sources.topics import batch_of, follow, topic_stream_writer, write_topic
+from docflow.streaming.progress import report
 
 TEXTS = "path string, id string, content string, text_length long, landed timestamp, status string"
 
@@ -151,13 +152,5 @@ def full_stage(
 
 
 def progress(query: StreamingQuery) -> list[dict]:
-    """Batch number, rows (of a topic: messages) in and rows per second of the batches a query has run lately."""
-    return [
-        {
-            "batch_id": p.batchId,
-            "input_rows": p.observedMetrics["topic"].rows if "topic" in p.observedMetrics else p.numInputRows,
-            "rows_per_second": p.processedRowsPerSecond,
-            "duration_ms": p.batchDuration,
-        }
-        for p in query.recentProgress
-    ]
+    """Batch number, rows (of a topic: messages) in and rows per second of the batches a query has run lately; `ProgressLog` keeps those of all."""
+    return [report(p) for p in query.recentProgress]
