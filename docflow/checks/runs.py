@@ -17,6 +17,7 @@ from docflow.sources.files import index, read_bytes, read_paths
 from docflow.sources.listing import PAGE_BITS
 from docflow.streaming import stages
 from docflow.streaming.changes import keep_changed, read_changed
+from docflow.streaming.progress import ProgressLog, kept_progress
 
 EV = f"WITH {I.EVENTS}"
 LI = f"WITH {I.LISTED}"
@@ -80,6 +81,23 @@ def l5(spark, sf):
     return rows.agg(F.sum("input_rows").alias("input_rows"), F.countDistinct("run").alias("runs"))
 
 
+@check("l5_progress_kept", f"{EV} SELECT count(*) AS input_rows, CAST({PARTS} AS BIGINT) AS runs FROM ev")
+def l5_kept(spark, sf):
+    """As `l5_progress`, from the log that keeps every micro-batch."""
+    log = work_folder(spark, "progress")
+    listener = ProgressLog(spark, log)
+    spark.streams.addListener(listener)
+    try:
+        _, queries = copied(spark, sf)
+        late = [q.name or q.runId for q in queries if not listener.wait(q)]
+    finally:
+        spark.streams.removeListener(listener)
+    if late:
+        raise TimeoutError(f"progress not written in time: {late}")
+    rows = kept_progress(spark, log).filter(F.col("run_id").isin([str(q.runId) for q in queries]))
+    return rows.agg(F.sum("input_rows").alias("input_rows"), F.countDistinct("run_id").alias("runs"))
+
+
 def changed_copy(spark, topic, kept, checkpoint, won, max_batches=None):
     """Drain a topic into the rows that changed, whole batches at a time."""
 
