@@ -352,6 +352,17 @@ def g3_hot(spark, sf):
     return changed_rows(rows, "id", "offset", "modifiedTime", segment_rows=100)
 
 
+@check(
+    "g3_changed_since_last_sparse_offsets",
+    f"""{EV}, {S.tried("SELECT * REPLACE ('all' AS id), true AS ok FROM ev")} SELECT "offset", modifiedTime FROM tried""",
+)
+def g3_sparse(spark, sf):
+    """One key, with offsets as a listing gives them, few to a page and pages far apart: in segments of 1,000 offsets."""
+    spaced = (F.shiftleft("page_no", 20) + F.col("offset") % I.PER_PAGE).alias("at")
+    rows = I.events(spark, sf).select("offset", F.lit("all").alias("id"), "modifiedTime", spaced)
+    return changed_rows(rows, "id", "at", "modifiedTime", segment_rows=1000).select("offset", "modifiedTime")
+
+
 @check(
     "g4_latest_per_key",
     f"""{EV} SELECT id, "offset", name FROM ev QUALIFY row_number() OVER (PARTITION BY id ORDER BY "offset" DESC) = 1""",

@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from docflow.operators import changes
 from docflow.operators.changes import changed_rows, hot_keys, latest_per_key, mark_changed
 from docflow.operators.ordering import (
     first_rows,
@@ -66,6 +67,34 @@ def test_earlier_state(spark):
             assert tried(df, success=F.col("ok"), last=state, segment_rows=segment) == expected
 
 
+def test_sparse_offsets_a_null_key_and_earlier_state(spark, monkeypatch):
+    """Offsets of a listing leave a segment with few rows; the null key is hot, too, and has no earlier state."""
+    monkeypatch.setattr(changes, "SUMMARIES", 20)
+    last = {"a": "4", "b": "2"}
+    state = spark.createDataFrame(list(last.items()), "id string, m string")
+    for seed in range(1):
+        rows = [(k if k != "c" else None, (o // 3 << 40) + o % 3, m, ok) for k, o, m, ok in random_rows(seed, 300, "aaabccc")]
+        df = spark.createDataFrame(rows, ROWS)
+        for segment in (40, 1 << 41):
+            assert tried(df, success=F.col("ok"), last=state, segment_rows=segment) == sorted(rule_tried(rows, last))
+
+
+def test_reads_its_input_twice(spark):
+    rows = spark.createDataFrame(random_rows(5), ROWS)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = rows.mapInArrow(counted, ROWS)
+    for segment, at_most in ((7, 2), (1_000_000, 2)):
+        before = reads.value
+        mark_changed(df, "id", "offset", "m", segment_rows=segment).count()
+        assert reads.value - before <= at_most * 400
+
+
 def test_hot_keys(spark):
     df = spark.createDataFrame(random_rows(1), ROWS)
     assert [r.id for r in hot_keys(df, "id", 200).collect()] == ["a"]
