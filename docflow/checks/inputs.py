@@ -4,12 +4,13 @@ events: change feed and listing of files; documents: stored texts; pages: file b
 of files; labels: paths to look up, save again or delete.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docflow.functions.files import storage_path
 from docflow.operators.records import file_records
 from docflow.schemas import LISTED_FILE
 from docflow.session import work_folder
+from docflow.sources.files import write_files
 
 PER_PAGE = 100
 
@@ -132,14 +133,18 @@ def file_bytes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def land_files(spark: SparkSession, sf: str) -> str:
-    """Write each page as a file of its own, in a folder named by its id. The writer ends a file with a newline."""
+    """Write each page as a file of its own, named by its id. The writer ends a file with a newline."""
     path = work_folder(spark, "files")
     pages = spread(spark, sf, "pages", "page_id")
-    rows = pages.select((F.col("page_id") * 2).alias("id"), F.col("html").alias("value"))
-    rows.write.partitionBy("id").option("lineSep", "\n").text(path)
+    write_files(pages.select((F.col("page_id") * 2).alias("id"), F.col("html").alias("value")), path, "id", "value")
     return path
 
 
+def landed_id(path: Column) -> Column:
+    """Id of a file of `land_files`."""
+    return F.regexp_extract(path, r"/id=(\d+)\.[^/]*$", 1)
+
+
 # --- documents --------------------------------------------------------------------------------
 
 

@@ -204,11 +204,7 @@ def l4(spark, sf):
     parsed, chunks, texts = (work_folder(spark, n) for n in ("parsed", "chunks", "texts"))
     marks = {stage: work_folder(spark, f"checkpoint-{stage}") for stage in ("extract", "parse", "chunk")}
     landed = I.land_files(spark, sf)
-
-    def id_of(path):
-        return F.regexp_extract(path, r"/id=(\d+)/", 1)
-
-    tp.run_available(stages.extract_stage(spark, landed, texts, marks["extract"], utf8_pages, id_of, 1 << 20))
+    tp.run_available(stages.extract_stage(spark, landed, texts, marks["extract"], utf8_pages, I.landed_id, 1 << 20))
 
     def drain(topic):
         tp.run_available(stages.parse_stage(spark, topic, texts, parsed, marks["parse"]))
@@ -237,11 +233,7 @@ def l4_late(spark, sf):
         tp.write_topic(part, topic)
     drain()
     landed = I.land_files(spark, sf)
-    tp.run_available(
-        stages.extract_stage(
-            spark, landed, texts, marks["extract"], utf8_pages, lambda path: F.regexp_extract(path, r"/id=(\d+)/", 1), 1 << 20
-        )
-    )
+    tp.run_available(stages.extract_stage(spark, landed, texts, marks["extract"], utf8_pages, I.landed_id, 1 << 20))
     tp.write_topic(parts[0].limit(0), topic)  # any further batch, here an empty one
     drain()
     return chunk_rows(spark, chunks).select(
@@ -304,7 +296,7 @@ def m1_html(spark, sf):
 )
 def m2(spark, sf):
     """Files of the change feed by path; half of the paths lead to no file."""
-    landed = read_bytes(spark, I.land_files(spark, sf), lambda p: F.regexp_extract(p, r"/(id=\d+)/", 1))
+    landed = read_bytes(spark, I.land_files(spark, sf), lambda p: F.regexp_extract(p, r"/(id=\d+)\.[^/]*$", 1))
     wanted = I.events(spark, sf).select(F.concat(F.lit("id="), "id").alias("path")).distinct()
     rows = read_paths(wanted, landed.withColumnRenamed("id", "path"))
     id_ = F.substring("path", 4, 100)
@@ -379,7 +371,7 @@ def parsed_rows(spark, topic):
 
 def file_index(spark, sf):
     """The landed files by path."""
-    return index(spark, I.land_files(spark, sf), lambda path: F.regexp_extract(path, r"/id=(\d+)/", 1))
+    return index(spark, I.land_files(spark, sf), I.landed_id)
 
 
 @check("n2_parse_by_path", PARSED)

@@ -58,7 +58,7 @@ def a3(spark, sf):
     FROM ids LEFT JOIN held USING (id)""",
 )
 def a4(spark, sf):
-    landed = read_bytes(spark, I.land_files(spark, sf), lambda p: F.regexp_extract(p, r"/id=(\d+)/", 1))
+    landed = read_bytes(spark, I.land_files(spark, sf), I.landed_id)
     ids = I.events(spark, sf).select("id").distinct()
     rows = lk.bytes_lookup(ids, landed)
     return rows.select(

@@ -1,16 +1,21 @@
 """File bytes by id or by path.
 
 `read_bytes` is a table of all files with their bytes. `index` has their paths and sizes only: a job decides on it which files it wants, and
-the tasks that want them open those and no others.
+the tasks that want them open those and no others. `write_files` lands rows as files.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docflow.functions.files import path_stem
 
 FILE = "path string, modificationTime timestamp, length long, content binary"
+# Files of a folder: it is listed by one call.
+FOLDER = 1000
 
 
 def file_id(path: Column) -> Column:
@@ -30,17 +35,53 @@ def index(spark: SparkSession, path: str, id_of: Callable[[Column], Column] = fi
     return files.select(id_of(F.col("path")).alias("id"), "path", "length", F.col("modificationTime").alias("landed"))
 
 
-def open_path(path: str) -> bytes:
-    """The bytes of a file, from inside a task. Schemes other than local files need their file system on the workers."""
+def _place(path: str):
     from pyarrow import fs
 
     if path.startswith("file:"):
         path = "/" + path[len("file:") :].lstrip("/")
-    system, place = (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
+    return (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
+
+
+def open_path(path: str) -> bytes:
+    """The bytes of a file, from inside a task. Schemes other than local files need their file system on the workers."""
+    system, place = _place(path)
     with system.open_input_stream(place) as stream:
         return stream.read()
 
 
+def write_files(rows: DataFrame, path: str, key: str, line: str) -> None:
+    """Write the lines of each key as a file `<key>=<value>.txt`, a thousand files to a folder; a null line is an empty one.
+
+    The tasks that have the rows write the files, with no folder per file to make, move and list: of a key with rows in several
+    partitions there is a file from each. A task that runs again writes the same files again. Schemes are those of `open_path`.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, place = _place(path)
+        part, done, last, stream = TaskContext.get().partitionId(), 0, None, None
+        try:
+            for batch in batches:
+                for value, text in zip(batch.column(0), batch.column(1)):
+                    if stream is None or value != last:
+                        if stream is not None:
+                            stream.close()
+                        folder = f"{place}/part={part}-{done // FOLDER}"
+                        if done % FOLDER == 0:
+                            system.create_dir(folder)
+                        stream, last, done = system.open_output_stream(f"{folder}/{key}={quote(str(value.as_py()), safe='')}.txt"), value, done + 1
+                    stream.write((text.as_py() or b"") + b"\n")
+        finally:
+            if stream is not None:
+                stream.close()
+        yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], names=["files"])
+
+    # One key's lines next to each other: the order of the keys among themselves does not matter.
+    lines = rows.select(key, F.encode(line, "UTF-8").alias("line")).sortWithinPartitions(key)
+    _place(path)[0].create_dir(_place(path)[1], recursive=True)
+    lines.mapInArrow(write, "files long").write.format("noop").mode("overwrite").save()
+
+
 def read_bytes_stream(
     spark: SparkSession, path: str, id_of: Callable[[Column], Column] = file_id, max_files: int = 1000
 ) -> DataFrame:
