@@ -3,8 +3,8 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docflow.functions.text import has_text
-from docflow.operators.chunking import check_window, chunk_documents, chunk_list, chunk_statistics, explode_chunks
-from docflow.operators.lookups import with_content, with_path, with_status
+from docflow.operators.chunking import check_window, chunk_list, chunk_statistics, explode_chunks
+from docflow.operators.lookups import with_path, with_status
 from docflow.operators.ordering import first_rows
 from docflow.operators.records import chunk_record
 from docflow.schemas import CHUNK_RECORD, OVERLAP, WINDOW_SIZE
@@ -19,10 +19,16 @@ def chunkable(parsed: DataFrame) -> DataFrame:
 
 
 def chunk_messages(
-    texts: DataFrame, window: int = WINDOW_SIZE, overlap: int = OVERLAP, now: Column | None = None
+    files: DataFrame, texts: DataFrame, window: int = WINDOW_SIZE, overlap: int = OVERLAP, now: Column | None = None
 ) -> DataFrame:
-    """Topic rows, keyed by chunk id, of files with content. Chunks of a file share the offset of its message."""
-    return _keyed(chunk_documents(texts, "id", "content", ["offset", "id", "name"], window, overlap), now)
+    """Topic rows, keyed by chunk id, of files whose text is among `texts` (path, content). Chunks of a file share the offset of its message.
+
+    Each text is chunked once, before the join, however many messages name it.
+    """
+    # Blank texts go first: a test on the list itself would build each list twice.
+    some = texts.filter(has_text(F.col("content")))
+    lists = some.select(F.col("path").alias("storagePath"), chunk_list(F.col("content"), window, overlap).alias("chunks"))
+    return _keyed(explode_chunks(files.join(lists, "storagePath"), F.col("chunks"), "id", ["offset", "id", "name"]), now)
 
 
 def _keyed(chunks: DataFrame, now: Column | None) -> DataFrame:
@@ -56,13 +62,8 @@ def run_chunk(
         named = files.join(there.select(F.col("path").alias("storagePath")), "storagePath", "left_semi")
         end = first_rows(named.select("offset"), "offset", max_files).agg(F.max("offset")).first()[0]
         files = files.filter(F.col("offset") <= F.lit(end))
-    # Each text is chunked once, before the join, however many messages name it.
-    texts = with_content(read_store(spark, store, as_of, files.select(F.col("storagePath").alias("path"))))
-    chunks = F.when(has_text(F.col("content")), chunk_list(F.col("content"), window, overlap))
-    lists = texts.select(F.col("path").alias("storagePath"), chunks.alias("chunks"))
-    found = files.join(lists, "storagePath").filter("chunks IS NOT NULL")
-    rows = explode_chunks(found, F.col("chunks"), "id", ["offset", "id", "name"])
-    write_topic(_keyed(rows, now), topic, number, run)
+    texts = read_store(spark, store, as_of, files.select(F.col("storagePath").alias("path")))
+    write_topic(chunk_messages(files, texts, window, overlap, now), topic, number, run)
     return files.agg(F.max("offset")).first()[0] if max_files is None else end
 
 

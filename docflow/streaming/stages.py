@@ -10,7 +10,6 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from docflow.functions.files import storage_path
 from docflow.operators.changes import latest_per_key
 from docflow.operators.extraction import Extractor, extract_text, utf8_pages
-from docflow.operators.lookups import content_lookup
 from docflow.plans.chunk import chunk_messages, chunkable
 from docflow.plans.full import run_full
 from docflow.plans.listing import listing_messages
@@ -122,10 +121,10 @@ def chunk_stage(
         files = new.unionByName(waiting(session, chunks_topic, checkpoint, number, new))
         held = read_texts(session, texts).filter("status = 'success'")
         wanted = files.select(F.col("storagePath").alias("path")).distinct()
-        held = latest_per_key(held.join(wanted, "path", "left_semi").select("path", "content", "landed"), "path", "landed")
         absent = files.join(held.select(F.col("path").alias("storagePath")), "storagePath", "left_anti")
         absent.write.mode("overwrite").parquet(_waiting(chunks_topic, checkpoint, number))
-        write_topic(chunk_messages(content_lookup(files, held), window, overlap, now), chunks_topic, number, checkpoint)
+        held = latest_per_key(held.join(wanted, "path", "left_semi").select("path", "content", "landed"), "path", "landed")
+        write_topic(chunk_messages(files, held, window, overlap, now), chunks_topic, number, checkpoint)
 
     return follow(spark, parsed_topic, PARSED_RECORD, run, checkpoint, max_batches)
 
