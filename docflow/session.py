@@ -13,7 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # File bytes are wide: bound an Arrow batch by size, not only by rows.
-    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     # A micro-batch of landed files lists each of them: by default in a task of its own.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
     # State grows with the number of files: keep it off the heap and checkpoint what changed only.

@@ -1,5 +1,6 @@
 """Files written by tasks, and texts chunked once for all their messages."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from docflow.checks import inputs as I
@@ -35,3 +36,13 @@ def test_a_text_is_chunked_before_it_meets_its_messages(spark):
     alone = chunk_messages(messages.filter("offset = 2"), texts).select("key", "value.chunkText").collect()
     assert len(alone) > 1
     assert sorted(rows.select("key", "value.chunkText").collect()) == sorted(alone * 3)
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    rows = spark.range(0, 300, numPartitions=1).select(F.repeat(F.lit("x"), 100_000).alias("content"))
+    got = [r.size for r in rows.mapInArrow(sizes, "size long").collect()]
+    assert sum(got) > 30_000_000 and max(got) < 8_000_000
