@@ -8,6 +8,7 @@ back down every range is told where the chain really enters it, and all ranges e
 A text comes as one row or as many pieces in order; neither its characters nor its ranges ever meet in one task.
 """
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,8 @@ BLOCK = 100_000
 # Ranges, or groups of ranges, that are composed into one.
 GROUP = 256
 SENTENCE_ENDS = np.array([ord(c) for c in ".!?\n"], dtype=np.uint32)
-MAP = "idx long, exits array<int>, counts array<long>"
+# chunks: those of a chain that enters at the first place; map: exits and counts of all places, see `packed`.
+MAP = "idx long, chunks long, map binary"
 
 
 # --- the rule on a stretch of text --------------------------------------------------------------
@@ -138,15 +140,31 @@ def _code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
 
 
+def packed(exits: np.ndarray, counts: np.ndarray) -> bytes:
+    """A map in few bytes: chains of neighbouring places soon meet, so nearly all differences between neighbours are 0 or 1."""
+    return zlib.compress(np.diff(exits, prepend=0).astype(np.int32).tobytes() + np.diff(counts, prepend=0).astype(np.int64).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zlib.decompress(data)
+    window = len(raw) // 12
+    exits, counts = np.frombuffer(raw, np.int32, window), np.frombuffer(raw, np.int64, window, 4 * window)
+    return np.cumsum(exits), np.cumsum(counts)
+
+
+def _map_batch(keys: pa.Array, maps: list[tuple], key: str) -> pa.RecordBatch:
+    """Rows of MAP of (idx, exits, counts) with their keys."""
+    columns = [[idx for idx, _, _ in maps], [int(counts[0]) for _, _, counts in maps], [packed(exits, counts) for _, exits, counts in maps]]
+    arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()))]
+    return pa.RecordBatch.from_arrays([keys, *arrays], names=[key, "idx", "chunks", "map"])
+
+
 def _maps(found: DataFrame, key: str, block: int, window: int, overlap: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, (idx, n, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("idx", "n", "text")))):
-                exits, counts = range_map(_code_points(text), idx * block, block, n, window, overlap)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(key).slice(i, 1), pa.array([idx]), pa.array([exits.astype(np.int32)], pa.list_(pa.int32())), pa.array([counts], pa.list_(pa.int64()))],
-                    names=[key, "idx", "exits", "counts"],
-                )
+            rows = zip(*(batch.column(c).to_pylist() for c in ("idx", "n", "text")))
+            maps = [(idx, *range_map(_code_points(text), idx * block, block, n, window, overlap)) for idx, n, text in rows]
+            yield _map_batch(batch.column(key), maps, key)
 
     return found.select(key, "idx", "n", "text").mapInArrow(run, f"{_type(found, key)}, {MAP}")
 
@@ -155,13 +173,11 @@ def _type(df: DataFrame, key: str) -> str:
     return f"`{key}` {df.schema[key].dataType.simpleString()}"
 
 
-def _map_rows(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple]:
-    """(batch, row, group, idx, exits, counts, ...) of the rows of sorted partitions, one at a time."""
-    for batch in batches:
-        others = [batch.column(c).to_pylist() for c in more]
-        for i, (group, idx) in enumerate(zip(batch.column("_group").to_pylist(), batch.column("idx").to_pylist())):
-            exits, counts = (batch.column(c)[i].values.to_numpy() for c in ("exits", "counts"))
-            yield batch, i, group, idx, exits, counts, *(o[i] for o in others)
+def _map_rows(batch: pa.RecordBatch, key: str, *more: str) -> Iterator[tuple]:
+    """(key, group), idx, exits, counts, ... of the rows of a batch, one map at a time."""
+    names, groups, places, maps, *others = (batch.column(c).to_pylist() for c in (key, "_group", "idx", "map", *more))
+    for name, group, idx, data, *rest in zip(names, groups, places, maps, *others):
+        yield (name, group), idx, *unpacked(data), *rest
 
 
 def _grouped(maps: DataFrame, key: str) -> DataFrame:
@@ -174,22 +190,22 @@ def _composed(maps: DataFrame, key: str) -> DataFrame:
     """The maps of groups. A group is read as a stream: only the map so far is held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = to = total = name = None
-
-        def done():
-            arrays = [name, pa.array([last[1]]), pa.array([to.astype(np.int32)], pa.list_(pa.int32())), pa.array([total], pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays(arrays, names=[key, "idx", "exits", "counts"])
-
-        for batch, i, group, _, exits, counts in _map_rows(batches):
-            own = (batch.column(key)[i].as_py(), group)
-            if own != last:
-                if last is not None:
-                    yield done()
-                last, to, total, name = own, np.arange(len(exits)), np.zeros(len(exits), dtype=np.int64), batch.column(key).slice(i, 1)
-            total = total + counts[to]
-            to = exits[to]
+        last = to = total = kind = None
+        for batch in batches:
+            kind, done = batch.column(key).type, []
+            for own, _, exits, counts in _map_rows(batch, key):
+                if own != last:
+                    if last is not None:
+                        done.append((last, to, total))
+                    last, to, total = own, np.arange(len(exits)), np.zeros(len(exits), dtype=np.int64)
+                total = total + counts[to]
+                to = exits[to]
+            yield groups(done, kind)
         if last is not None:
-            yield done()
+            yield groups([(last, to, total)], kind)
+
+    def groups(done, kind):
+        return _map_batch(pa.array([name for (name, _), _, _ in done], kind), [(group, to, total) for (_, group), to, total in done], key)
 
     return _grouped(maps, key).mapInArrow(run, f"{_type(maps, key)}, {MAP}")
 
@@ -199,12 +215,15 @@ def _entered(maps: DataFrame, groups: DataFrame, key: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, at, number = None, 0, 0
-        for batch, i, group, idx, exits, counts, entry, first in _map_rows(batches, "entry", "first"):
-            own = (batch.column(key)[i].as_py(), group)
-            if own != last:
-                last, at, number = own, entry, first
-            yield pa.RecordBatch.from_arrays([batch.column(key).slice(i, 1), pa.array([idx]), pa.array([at]), pa.array([number])], names=[key, "idx", "entry", "first"])
-            at, number = int(exits[at]), number + int(counts[at])
+        for batch in batches:
+            found = []
+            for own, _, exits, counts, entry, first in _map_rows(batch, key, "entry", "first"):
+                if own != last:
+                    last, at, number = own, entry, first
+                found.append((at, number))
+                at, number = int(exits[at]), number + int(counts[at])
+            entered = [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("idx"), *entered], names=[key, "idx", "entry", "first"])
 
     groups = groups.withColumnRenamed("idx", "_group")
     rows = maps.withColumn("_group", F.floor(F.col("idx") / GROUP)).join(groups, [key, "_group"])
@@ -219,7 +238,7 @@ def entries(found: DataFrame, key: str, block: int, window: int, overlap: int) -
         levels.append(written(_composed(levels[-1], key), "group-maps"))
     zero = F.lit(0).cast("long")
     top = levels.pop()
-    totals = top.select(key, F.get("counts", F.lit(0)).alias("total"))
+    totals = top.select(key, F.col("chunks").alias("total"))
     entered = top.select(key, "idx", zero.alias("entry"), zero.alias("first"))
     for maps in reversed(levels):
         entered = _entered(maps, entered, key)
@@ -232,6 +251,7 @@ def _emitted(found: DataFrame, key: str, block: int, window: int, overlap: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = ("idx", "n", "text", "entry", "first", "total")
+            rows, own = [], []
             for i, (idx, n, text, entry, first, total) in enumerate(zip(*(batch.column(c).to_pylist() for c in names))):
                 start = idx * block
                 limit = min(block, n - start)
@@ -240,10 +260,11 @@ def _emitted(found: DataFrame, key: str, block: int, window: int, overlap: int)
                 while p < limit:
                     spans.append((p, int(ends[p])))
                     p = int(following[p])
-                if spans:
-                    rows = [(first + k, text[s:e], start + s, start + e, max(total, 1)) for k, (s, e) in enumerate(spans)]
-                    arrays = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()))]
-                    yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array([i] * len(rows))), *arrays], names=[key, *CHUNK_FIELDS])
+                rows += [(first + k, text[s:e], start + s, start + e, max(total, 1)) for k, (s, e) in enumerate(spans)]
+                own += [i] * len(spans)
+            if rows:
+                arrays = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(own)), *arrays], names=[key, *CHUNK_FIELDS])
 
     columns = found.select(key, "idx", "n", "text", "entry", "first", "total")
     return columns.mapInArrow(run, f"{_type(found, key)}, {fields}")

@@ -1,9 +1,11 @@
 """Files written by tasks, and texts chunked once for all their messages."""
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from docflow.checks import inputs as I
+from docflow.operators import large_texts
 from docflow.plans.chunk import chunk_messages
 from docflow.sources import files
 
@@ -46,3 +48,13 @@ def test_arrow_batches_are_bounded_by_bytes(spark):
     rows = spark.range(0, 300, numPartitions=1).select(F.repeat(F.lit("x"), 100_000).alias("content"))
     got = [r.size for r in rows.mapInArrow(sizes, "size long").collect()]
     assert sum(got) > 30_000_000 and max(got) < 8_000_000
+
+
+def test_a_range_map_is_smaller_than_its_text():
+    text = np.array([ord(c) for c in "Some words of a sentence that ends. " * 100], dtype=np.uint32)
+    for start, n in ((0, len(text)), (500, len(text)), (3500, len(text))):
+        exits, counts = large_texts.range_map(text[start : start + 1500], start, 500, n, 1000, 200)
+        data = large_texts.packed(exits, counts)
+        again = large_texts.unpacked(data)
+        assert (again[0] == exits).all() and (again[1] == counts).all()
+        assert len(data) < 500
