@@ -27,6 +27,10 @@ def chunk_messages(
     """
     # Blank texts go first: a test on the list itself would build each list twice.
     some = texts.filter(has_text(F.col("content")))
+    # Chunking is heavy and texts are small: partitions merged by their bytes would be too few tasks.
+    session = texts.sparkSession
+    tasks = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    some = some.repartition(tasks, "path")
     lists = some.select(F.col("path").alias("storagePath"), chunk_list(F.col("content"), window, overlap).alias("chunks"))
     return _keyed(explode_chunks(files.join(lists, "storagePath"), F.col("chunks"), "id", ["offset", "id", "name"]), now)
 
