@@ -16,6 +16,8 @@ D = floor((a + b) * (1 - t) / (1 + t)) shingles: at least k - D of their k segme
 * Where the sets of a segment would make many pairs each (a passage that many texts share, a large family with members far from its
   head), its sets are joined anew on single shingles, the rarest first. How many of a set's shingles take part depends on the size
   of the partner, too: far members of a family meet on what they have beside the family's text only.
+* Sets of one family meet on what they differ in from the shingles that most of the family have. Two sets that differ from these by r1
+  and r2 shingles and are alike share (r1 + r2 - D) / 2 of those at least; where that is none, both are alike with the set nearest to them.
 """
 
 from collections.abc import Iterator
@@ -366,90 +368,204 @@ def least_size(size: Column) -> Column:
     return (power + F.ceil(power * (size % SIZE_CLASSES) / SIZE_CLASSES)).cast("long")
 
 
+def _slices(lists: pa.Array) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of parts of a list column: not more than some million shingles are sorted at once, however long the sets."""
+    rows = 0
+    while rows < len(lists):
+        part, held = rows, 0
+        while rows < len(lists) and (not held or held + len(lists[rows]) <= 2_000_000):
+            held += len(lists[rows])
+            rows += 1
+        yield part, rows - part
+
+
 def shingle_counts(sets: DataFrame) -> DataFrame:
     """key, sets: in how many rows of `sets` a shingle is; counted within tasks first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("tokens")
-            # Not more than some million shingles are sorted at once, however long the sets.
-            rows = 0
-            while rows < len(lists):
-                part, held = rows, 0
-                while rows < len(lists) and (not held or held + len(lists[rows]) <= 2_000_000):
-                    held += len(lists[rows])
-                    rows += 1
-                keys, counts = np.unique(lists.slice(part, rows - part).flatten().to_numpy(zero_copy_only=False), return_counts=True)
+            for part, n in _slices(lists):
+                keys, counts = np.unique(lists.slice(part, n).flatten().to_numpy(zero_copy_only=False), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "sets"])
 
     return sets.select("tokens").mapInArrow(run, "key long, sets long").groupBy("key").agg(F.sum("sets").alias("sets"))
 
 
+def frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of `counts` (key, sets) that most sets have, sorted, and in how many they are."""
+    often = counts.filter(F.col("sets") > CROWDED).orderBy(F.desc("sets"), "key").limit(COMMON_SHINGLES).toArrow()
+    keys, sets = (often.column(c).to_numpy() for c in ("key", "sets"))
+    order = np.argsort(keys)
+    return keys[order], sets[order]
+
+
+def _rarest_first(keys: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The keys by counts, by their value among equal ones; one that is not in `common` (sorted) counts as none."""
+    often = np.zeros(len(keys), dtype=np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, keys), len(common) - 1)
+        often = np.where(common[at] == keys, counts[at], 0)
+    return keys[np.lexsort((keys, often))]
+
+
 def rare_shingles(sets: DataFrame, percent: int, common: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """key, place, node, label, n, size (class), low (least class of a partner): the first shingles of each set, rarest first.
+    """key, place, node, label, family, n, size (class), low (least class of a partner): the first shingles of each set, rarest first.
 
-    Alike sets share one of the first n - ceil(t n) + 1 shingles of each in any common order. Here it is that by counts, by hash among
-    equal ones; a shingle that is not in `common` (sorted) counts as none.
+    Alike sets share one of the first n - ceil(t n) + 1 shingles of each in any common order. Here it is that of `_rarest_first`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, labels = (batch.column(c).to_numpy() for c in ("node", "label"))
-            for node, label, tokens in zip(nodes, labels, batch.column("tokens")):
+            who = (batch.column(c).to_numpy() for c in ("node", "label", "family"))
+            for node, label, family, tokens in zip(*who, batch.column("tokens")):
                 tokens = tokens.values.to_numpy()
                 n = len(tokens)
-                often = np.zeros(n, dtype=np.int64)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-                    often = np.where(common[at] == tokens, counts[at], 0)
-                first = tokens[np.lexsort((tokens, often))[: n - -(-n * percent // 100) + 1]]
-                alone = [node, label, n, size_class(n), size_class(max(1, -(-n * percent // 100)))]
+                first = _rarest_first(tokens, common, counts)[: n - -(-n * percent // 100) + 1]
+                alone = [node, label, family, n, size_class(n), size_class(max(1, -(-n * percent // 100)))]
                 same = [pa.array(np.full(len(first), value, dtype=np.int64)) for value in alone]
                 places = pa.array(np.arange(1, len(first) + 1))
-                names = ["key", "place", "node", "label", "n", "size", "low"]
+                names = ["key", "place", "node", "label", "family", "n", "size", "low"]
                 yield pa.RecordBatch.from_arrays([pa.array(first), places, *same], names=names)
 
-    return sets.mapInArrow(run, "key long, place long, node long, label long, n long, size long, low long")
+    return sets.mapInArrow(run, "key long, place long, node long, label long, family long, n long, size long, low long")
 
 
-def rare_shingle_pairs(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a < b: pairs of the nodes of `crowd` (node, label) with different labels that share one of their rarest shingles.
+def rare_shingle_pairs(crowd: DataFrame, percent: int) -> DataFrame:
+    """a < b: pairs of the nodes of `crowd` (node, label, family, tokens) of different labels and families that share one of their rarest shingles.
 
     Sets of sizes m and n that are alike share o = ceil(t (m + n) / (1 + t)) shingles at least, so one of the first n - o + 1 of each. A
     row goes to each class of sizes that its shingle is found with, as long as its place is one of those for the least size there.
     """
-    tokens = kept(crowd.join(sets, "node").select("node", "label", "tokens"), "crowd")
-    often = shingle_counts(tokens).filter(F.col("sets") > CROWDED).orderBy(F.desc("sets"), "key").limit(COMMON_SHINGLES).toArrow()
-    keys, counts = (often.column(c).to_numpy() for c in ("key", "sets"))
-    order = np.argsort(keys)
-    rows = first = kept(rare_shingles(tokens, percent, keys[order], counts[order]), "rare-shingles")
-    release(tokens)
+    rows = first = kept(rare_shingles(crowd, percent, *frequent(shingle_counts(crowd))), "rare-shingles")
 
-    # Shingles with one label end here.
-    partners = rows.groupBy("key").agg(F.min("label").alias("l1"), F.max("label").alias("l2"), F.collect_set("size").alias("others"))
-    partners = partners.filter("l1 < l2").select("key", "others")
+    # Shingles with one label or one family end here.
+    partners = rows.groupBy("key").agg(
+        *(f(c).alias(f"{name}_{c}") for c in ("label", "family") for f, name in ((F.min, "least"), (F.max, "most"))),
+        F.collect_set("size").alias("others"),
+    )
+    partners = partners.filter("least_label < most_label AND least_family < most_family").select("key", "others")
     rows = rows.join(partners, "key").withColumn("other", F.explode("others")).drop("others")
     least = F.greatest(least_size(F.col("other")), F.ceil(F.col("n") * percent / 100))
     shared = F.ceil((F.col("n") + least) * percent / (100 + percent))
     rows = kept(rows.filter((F.col("other") >= F.col("low")) & (F.col("place") <= F.col("n") - shared + 1)), "rare-shingles")
     release(first)
 
-    labels = rows.select("key", "size", "other", "label").distinct()
+    labels = rows.select("key", "size", "other", "label", "family").distinct()
     same = [F.col("x.key") == F.col("y.key"), F.col("x.size") == F.col("y.other"), F.col("x.other") == F.col("y.size")]
-    two = labels.alias("x").join(labels.alias("y"), [*same, F.col("x.label") < F.col("y.label")])
-    two = two.select("x.key", "x.size", "x.other", F.col("x.label").alias("l1"), F.col("y.label").alias("l2"))
-    left = rows.select("key", "size", "other", F.col("label").alias("l1"), F.col("node").alias("n1"))
-    right = rows.select("key", F.col("size").alias("other"), F.col("other").alias("size"), F.col("label").alias("l2"), F.col("node").alias("n2"))
-    pairs = two.join(left, ["key", "size", "other", "l1"]).join(right, ["key", "size", "other", "l2"])
-    return pairs.select(F.least("n1", "n2").alias("a"), F.greatest("n1", "n2").alias("b")).distinct()
+    unlike = [F.col("x.label") < F.col("y.label"), F.col("x.family") != F.col("y.family")]
+    two = labels.alias("x").join(labels.alias("y"), [*same, *unlike])
+    own = [F.col(f"{side}.{c}").alias(f"{c}{i}") for i, side in ((1, "x"), (2, "y")) for c in ("label", "family")]
+    two = two.select("x.key", "x.size", "x.other", *own)
+    left = rows.select("key", "size", "other", *(F.col(c).alias(f"{c}1") for c in ("label", "family", "node")))
+    swapped = [F.col("size").alias("other"), F.col("other").alias("size")]
+    right = rows.select("key", *swapped, *(F.col(c).alias(f"{c}2") for c in ("label", "family", "node")))
+    pairs = two.join(left, ["key", "size", "other", "label1", "family1"]).join(right, ["key", "size", "other", "label2", "family2"])
+    return pairs.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
+
+
+def _of_family(family: int, tokens: np.ndarray) -> np.ndarray:
+    """Names of shingles that differ between families."""
+    return (tokens.view(np.uint64) ^ mixed(np.array([family]).view(np.uint64))).view(np.int64)
+
 
+def family_counts(members: DataFrame) -> DataFrame:
+    """family, key, sets: in how many sets of its family a shingle is; counted within tasks first."""
 
-def open_pairs(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a < b: the pairs of nodes with different labels to compare for the rows of `open_members`."""
-    crowd = rows.filter("crowded").select("node", "label").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            families, lists = batch.column("family").to_numpy(), batch.column("tokens")
+            for part, n in _slices(lists):
+                held: dict[int, list[np.ndarray]] = {}
+                for family, tokens in zip(families[part : part + n].tolist(), lists.slice(part, n)):
+                    held.setdefault(family, []).append(tokens.values.to_numpy())
+                for family, some in held.items():
+                    keys, counts = np.unique(_of_family(family, np.concatenate(some)), return_counts=True)
+                    columns = [pa.array(np.full(len(keys), family)), pa.array(keys), pa.array(counts)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["family", "key", "sets"])
+
+    found = members.select("family", "tokens").mapInArrow(run, "family long, key long, sets long")
+    return found.groupBy("family", "key").agg(F.sum("sets").alias("sets"))
+
+
+def differences(members: DataFrame, percent: int, common: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """key, node, label, family, over, most: what each set of `members` differs in from its family's base, rarest first, and a row without a key.
+
+    Let r be the number of differences of a set of n shingles, and over = (100 + percent) r - (100 - percent) n. Two sets are alike if
+    they share s = (over1 + over2) / (2 (100 + percent)) differences or more, so one of the first r - s + 1 of each, if s is above 0.
+    A row is of these where the other set's `over` is not above `most`.
+    """
+    whole = 100 + percent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            who = (batch.column(c).to_numpy() for c in ("node", "label", "family"))
+            for node, label, family, tokens, base in zip(*who, batch.column("tokens"), batch.column("base")):
+                tokens = tokens.values.to_numpy()
+                base = base.values.to_numpy() if base.is_valid else np.empty(0, dtype=np.int64)
+                keys = _rarest_first(np.setxor1d(_of_family(family, tokens), base, assume_unique=True), common, counts)
+                over = whole * len(keys) - (100 - percent) * len(tokens)
+                most = 2 * whole * (len(keys) - np.arange(len(keys))) - over
+                same = [pa.array(np.full(len(keys) + 1, value, dtype=np.int64)) for value in (node, label, family, over)]
+                columns = [pa.array([None, *keys.tolist()], pa.int64()), *same, pa.array([None, *most.tolist()], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "label", "family", "over", "most"])
+
+    return members.mapInArrow(run, "key long, node long, label long, family long, over long, most long")
+
+
+def family_pairs(crowd: DataFrame, percent: int) -> DataFrame:
+    """a < b: pairs of the nodes of `crowd` (node, label, family, tokens) of different labels and one family that hold all its components together.
+
+    Sets of which two are alike by their distances from the base alone are alike with the set nearest to it, too; they are paired with
+    that one only. All others meet on a shared difference.
+    """
+    sizes = crowd.groupBy("family").agg(F.count("*").alias("size"), F.countDistinct("label").alias("labels"))
+    members = crowd.join(sizes.filter("labels > 1").drop("labels"), "family")
+    counts = family_counts(members).join(sizes.select("family", "size"), "family")
+    counts = kept(counts.filter(f"2 * sets > size OR sets > {CROWDED}"), "family-counts")
+    base = counts.filter("2 * sets > size").groupBy("family").agg(F.collect_list("key").alias("base"))
+    common = frequent(counts.select("key", F.least("sets", F.col("size") - F.col("sets")).alias("sets")))
+    found = kept(differences(members.drop("size").join(base, "family", "left"), percent, *common), "differences")
+    release(counts)
+
+    alone = found.filter("key IS NULL")
+    nearest = alone.groupBy("family").agg(F.min(F.struct("over", "node", "label")).alias("m"))
+    star = alone.join(nearest, "family").filter("label <> m.label AND over + m.over <= 0").select("node", F.col("m.node").alias("to"))
+
+    # Sets paired with the nearest one have its label from here on. Differences that no other label has, or none within reach, end here.
+    rows = found.filter("key IS NOT NULL").join(nearest, "family")
+    rows = rows.withColumn("label", F.expr("IF(over + m.over <= 0, m.label, label)")).drop("m")
+    lows = rows.groupBy("key", "label").agg(F.min("over").alias("low"))
+    lined = Window.partitionBy("key").orderBy("low", "label")
+    lows = lows.withColumn("second", F.lead("low").over(lined)).withColumn("rank", F.row_number().over(lined))
+    lows = lows.filter("rank = 1 AND second IS NOT NULL").select("key", F.col("label").alias("first"), "low", "second")
+    rows = rows.join(lows, "key").filter("most >= IF(label = first, second, low)").select("key", "node", "label", "over", "most")
+    rows = kept(rows, "differences")
+    near = ["x.key = y.key", "x.label < y.label", "x.over + y.over > 0", "x.over <= y.most", "y.over <= x.most"]
+    met = rows.alias("x").join(rows.alias("y"), F.expr(" AND ".join(near))).select(F.col("x.node"), F.col("y.node").alias("to"))
+    return star.union(met).select(F.least("node", "to").alias("a"), F.greatest("node", "to").alias("b")).distinct()
+
+
+def families(rows: DataFrame) -> DataFrame:
+    """node, label, family: the sets of crowded rows of `open_members`, each in the family of the head it shares most segments with."""
+    heads = rows.filter("crowded").groupBy("node", "label", "first_head").agg(F.sum("weight").alias("weight"))
+    return heads.groupBy("node", "label").agg(F.max_by("first_head", F.struct("weight", "first_head")).alias("family"))
+
+
+def open_pairs(rows: DataFrame, sets: DataFrame, percent: int, all_links: bool = False) -> DataFrame:
+    """a < b: the pairs of nodes with different labels to compare for the rows of `open_members`.
+
+    They hold every component together; with `all_links` there is every pair that may be alike.
+    """
+    crowd = rows.filter("crowded").select("node", "label", F.col("label").alias("family")).distinct() if all_links else families(rows)
     pairs = cross_pairs(rows.filter("NOT crowded").select("key", "node", "label"))
     if not crowd.isEmpty():
-        pairs = pairs.union(rare_shingle_pairs(crowd, sets, percent)).distinct()
+        crowd = kept(crowd.join(sets, "node").select("node", "label", "family", "tokens"), "crowd")
+        pairs = pairs.union(rare_shingle_pairs(crowd, percent))
+        if not all_links:
+            pairs = pairs.union(family_pairs(crowd, percent))
+        pairs = pairs.distinct()
+        release(crowd)
     return pairs
 
 
@@ -496,7 +612,7 @@ def set_links(docs: DataFrame, percent: int = round(100 * LIKENESS), width: int
     members = one_of_equal_keys(found)
     # Each set is a label of its own, so no pair is left out for being of one component.
     rows = open_members(members.withColumn("label", F.col("node")))
-    links = check.links(kept(open_pairs(rows, sets, percent), "pairs"))
+    links = check.links(kept(open_pairs(rows, sets, percent, all_links=True), "pairs"))
     return of_doc.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "node"), links
 
 

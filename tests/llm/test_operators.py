@@ -118,6 +118,32 @@ def test_pairs_of_two_families(spark, monkeypatch):
     assert found[400] < 6 * found[100] and found[400] < 400 * 400 / 4, found
 
 
+def test_pairs_of_one_family(spark, monkeypatch):
+    """A family of members near its text and of some that are too far from most: pairs compared do not grow with the square of the members."""
+    looked_at = []
+
+    class Counting(ngram_join.Verifier):
+        def links(self, pairs):
+            looked_at.append(pairs.count())
+            return super().links(pairs)
+
+    monkeypatch.setattr(ngram_join, "Verifier", Counting)
+    base, found = random_text(150, 10**6).split(), {}
+    for members in (150, 600):
+        texts = []
+        for i in range(members):
+            words = list(base)
+            for j in DRAW.integers(0, len(words), 1 + i % 3 * 3):
+                words[j] = f"m{i}"
+            texts.append(" ".join(words))
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        looked_at.clear()
+        classes = {r.doc_id: r.component_id for r in ngram_join.similarity_classes(docs).collect()}
+        found[members] = sum(looked_at)
+        assert [classes[i] for i in range(len(texts))] == brute.classes(texts)
+    assert found[600] < 6 * found[150], found
+
+
 def test_equal_keys_of_salted_segments(spark):
     """Sets of other salts, unlike both centers, still share what they shared before the merge of equal segments."""
     band, salts = 5, {0: [1], 1: [10, 11], 2: [20, 21]}
