@@ -118,30 +118,28 @@ def test_pairs_of_two_families(spark, monkeypatch):
     assert found[400] < 6 * found[100] and found[400] < 400 * 400 / 4, found
 
 
-def test_pairs_of_one_family(spark, monkeypatch):
-    """A family of members near its text and of some that are too far from most: pairs compared do not grow with the square of the members."""
-    looked_at = []
-
-    class Counting(ngram_join.Verifier):
-        def links(self, pairs):
-            looked_at.append(pairs.count())
-            return super().links(pairs)
-
-    monkeypatch.setattr(ngram_join, "Verifier", Counting)
-    base, found = random_text(150, 10**6).split(), {}
-    for members in (150, 600):
-        texts = []
-        for i in range(members):
-            words = list(base)
-            for j in DRAW.integers(0, len(words), 1 + i % 3 * 3):
-                words[j] = f"m{i}"
-            texts.append(" ".join(words))
-        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-        looked_at.clear()
-        classes = {r.doc_id: r.component_id for r in ngram_join.similarity_classes(docs).collect()}
-        found[members] = sum(looked_at)
-        assert [classes[i] for i in range(len(texts))] == brute.classes(texts)
-    assert found[600] < 6 * found[150], found
+def test_pairs_of_one_family(spark):
+    """Members near a family's text and some that are too far from most: a few pairs a member hold each component together."""
+    base, members = np.unique(DRAW.integers(0, 2**62, 150)), 300
+    sets = {}
+    for i in range(members):
+        held = DRAW.permutation(base)[(3, 12, 30)[i % 3] :]
+        sets[i] = np.unique(np.r_[held, DRAW.integers(0, 2**62, len(base) - len(held))])
+    rows = [(1, i, i, 7, 1, True, 0, 0) for i in sets]
+    rows = spark.createDataFrame(rows, "key long, node long, label long, band int, weight long, crowded boolean, first_label long, first_head long")
+    tokens = spark.createDataFrame([(i, x.tolist()) for i, x in sets.items()], "node long, tokens array<long>")
+    pairs = [(r.a, r.b) for r in ngram_join.open_pairs(rows, tokens, 75).collect()]
+
+    def components(pairs):
+        root = list(range(members))
+        for a, b in pairs:
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both) and root[a] != root[b]:
+                root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+        return root
+
+    assert components(pairs) == components([(a, b) for a in range(members) for b in range(a + 1, members)])
+    assert len(pairs) < 20 * members, len(pairs)
 
 
 def test_equal_keys_of_salted_segments(spark):
