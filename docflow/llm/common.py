@@ -24,9 +24,13 @@ _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 
 
-def bounded(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches that Python workers get."""
-    for key, value in BATCHES.items():
+# Rows that hold a text or a set of shingles: by default a task's Parquet reader makes arrays for 4096 of them at once, anew for each file.
+WIDE_ROWS = {"spark.sql.parquet.columnarReaderBatchSize": "512"}
+
+
+def bounded(spark: SparkSession, wide: bool = False) -> SparkSession:
+    """Bound the Arrow batches that Python workers get; with `wide` also the batches of rows that a task reads from Parquet."""
+    for key, value in {**BATCHES, **(WIDE_ROWS if wide else {})}.items():
         spark.conf.set(key, value)
     return spark
 

@@ -13,7 +13,8 @@ PROFILE = 300
 # A table of so many languages is broadcast at most: a label column with more is no language column.
 MAX_LANGUAGES = 10_000
 _MAX_GRAMS = 400_000
-_STRETCH = 1 << 20
+# So many code points are turned into grams at once: a Python worker takes some 200 bytes for each meanwhile.
+_STRETCH = 1 << 17
 _EDGE = np.uint32(ord("_"))
 
 
@@ -21,11 +22,13 @@ _EDGE = np.uint32(ord("_"))
 def _classes() -> np.ndarray:
     """Of each code point: 1 a letter, 2 a mark, 0 anything else."""
     table = np.zeros(0x110000, dtype=np.uint8)
-    everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    for value, kind in ((1, r"\p{L}+"), (2, r"\p{M}+")):
-        for found in regex.finditer(kind, everything):
-            low, high = ord(found[0][0]), ord(found[0][-1])
-            table[low : high + 1] = value
+    for start in range(0, 0x110000, 0x800):
+        if start == 0xD800:  # surrogates
+            continue
+        some = "".join(map(chr, range(start, start + 0x800)))
+        for value, kind in ((1, r"\p{L}+"), (2, r"\p{M}+")):
+            for found in regex.finditer(kind, some):
+                table[start + found.start() : start + found.end()] = value
     return table
 
 
@@ -88,7 +91,7 @@ def _together(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, n
 
 def counted_grams(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
     """The distinct grams of texts, sorted, and their counts. Long texts are worked on in stretches that end between runs."""
-    parts, held, size = [], [], 0
+    parts, held, size, most = [], [], 0, _MAX_GRAMS
     for text in texts:
         for stretch in _stretches(text):
             held.append(stretch)
@@ -96,8 +99,9 @@ def counted_grams(texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
             if size >= _STRETCH:
                 parts.append(_counted(grams("\n".join(held))))
                 held, size = [], 0
-                if sum(len(p[0]) for p in parts) > _MAX_GRAMS:
+                if sum(len(p[0]) for p in parts) > most:
                     parts = [_together(parts)]
+                    most = max(_MAX_GRAMS, 2 * len(parts[0][0]))
     if held:
         parts.append(_counted(grams("\n".join(held))))
     return _together(parts)

@@ -1,6 +1,7 @@
 """The trie's parentheses, SimHash's posting lists and the spelling tiles against plain versions, on rows that the tables lack."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -165,3 +166,27 @@ def test_grams_of_odd_texts(monkeypatch):
             found, counts = langid.counted_grams([text])
             assert {decode(int(g)): int(n) for g, n in zip(found, counts)} == dict(brute.grams(text))
             assert (np.diff(found) > 0).all()
+
+
+def test_memory_of_counting_grams():
+    rng = random.Random(5)
+    text = "".join(rng.choices("abc déßΣς́ \n一二", k=1_500_000))
+    langid._classes.cache_clear()
+    tracemalloc.start()
+    langid.counted_grams([text, text[:1000]])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 50_000_000
+
+
+def test_merging_of_many_distinct_grams(monkeypatch):
+    rng = random.Random(6)
+    text = "".join(chr(rng.choice([0x20, *range(0x4E00, 0x4E40)])) for _ in range(3000))
+    whole, counts = langid.counted_grams([text])
+    monkeypatch.setattr(langid, "_STRETCH", 50)
+    monkeypatch.setattr(langid, "_MAX_GRAMS", 100)
+    merged, again, together = [], langid._together, lambda parts: merged.append(1) or again(parts)
+    monkeypatch.setattr(langid, "_together", together)
+    found, n = langid.counted_grams([text])
+    assert (found == whole).all() and (n == counts).all()
+    assert len(merged) <= 10

@@ -101,3 +101,10 @@ def test_run_is_the_stages_in_a_row(results, spark):
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     rows = [Counter(map(str, f[names].itertuples(index=False, name=None))) for f in (found, frames["best_fit_packing"])]
     assert rows[0] == rows[1]
+
+
+def test_stages_read_wide_rows_in_small_batches(spark, edge):
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    spark.conf.unset(name)
+    STAGES["mix_sources"](spark, spark.read.parquet(f"{edge}/documents.parquet"), edge)
+    assert int(spark.conf.get(name)) <= 512
