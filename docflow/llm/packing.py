@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from docflow.llm.common import kept
-from docflow.llm.tokens import map_ids
+from docflow.llm.tokens import REMEMBERED, map_ids
 
 PIECES = T.StructType(
     [
@@ -26,7 +26,7 @@ PACKED = T.StructType(
 MEET = 4
 
 
-def pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int, remembered: int = REMEMBERED) -> DataFrame:
     """The documents' pieces: ids of the text and the end id, cut every `length` ids. Null text is empty: the end id alone."""
     end = end_id.to_bytes(4, "little")
 
@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int, end_id: int) -> DataFra
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         return [pa.array(c, k) for c, k in zip((ids_of, number, start, size, crc), kinds)]
 
-    return map_ids(docs, tokenizer, True, make, PIECES)
+    return map_ids(docs, tokenizer, True, make, PIECES, remembered)
 
 
 def least_bins(lengths: np.ndarray, capacity: int) -> int:
@@ -116,7 +116,8 @@ def _packer(turn: int, last: bool, length: int, exchange: int) -> Callable[[pa.T
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, length: int = 4096, end_id: int = 1, pieces_per_partition: int = 50_000, exchange: int = 8
+    docs: DataFrame, tokenizer: str, length: int = 4096, end_id: int = 1, pieces_per_partition: int = 50_000, exchange: int = 8,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of all pieces of docs (doc_id long, text).
 
@@ -127,18 +128,19 @@ def pack(
     Null text is a document of the end id alone; a null doc_id is kept; repeated rows are packed each on its own; no documents
     give no rows.
     """
-    return pack_with_bounds(docs, tokenizer, length, end_id, pieces_per_partition, exchange)[0]
+    return pack_with_bounds(docs, tokenizer, length, end_id, pieces_per_partition, exchange, remembered)[0]
 
 
 def pack_with_bounds(
-    docs: DataFrame, tokenizer: str, length: int = 4096, end_id: int = 1, pieces_per_partition: int = 50_000, exchange: int = 8
+    docs: DataFrame, tokenizer: str, length: int = 4096, end_id: int = 1, pieces_per_partition: int = 50_000, exchange: int = 8,
+    remembered: int = REMEMBERED,
 ) -> tuple[DataFrame, DataFrame]:
     """The rows of `pack`, and turn, part, bins, bound, given of each partition that was packed, the last one too.
 
     bound is what any packing of the partition's pieces takes at least: bins equal to it are certified. given of the bins were
     given away to the next turn. The bounds hold for their partitions, not for all pieces together.
     """
-    rows = kept(pieces(docs, tokenizer, length, end_id), "pieces")
+    rows = kept(pieces(docs, tokenizer, length, end_id, remembered), "pieces")
     parts = max(1, -(-rows.count() // pieces_per_partition))
     # The rows of a written table keep their place, also when they are read again.
     rows = rows.withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(parts)))

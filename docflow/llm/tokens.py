@@ -29,11 +29,15 @@ def _byte_signs() -> dict[int, str]:
 _SIGNS = _byte_signs()
 
 
+# So many chunks, and up to twice as many, are remembered by a Python worker: about 200 bytes each.
+REMEMBERED = 500_000
+
+
 class Encoder:
     """bytes of a text to its ids as little-endian unsigned 32-bit integers, as the library's default gives them: the literal of an
     added token in a text is that token. Such a text is encoded as a whole."""
 
-    def __init__(self, definition: str, space_parts: bool):
+    def __init__(self, definition: str, space_parts: bool, remembered: int = REMEMBERED):
         """definition: JSON of the tokenizer. space_parts: white space parts tokens and is dropped (else it belongs to them)."""
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -41,7 +45,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.added = [token["content"].encode() for token in json.loads(definition).get("added_tokens") or []]
         self.model, self.space_parts = self.tokenizer.model, space_parts
-        self.chunks = WordTable(self._encode, 500_000)
+        self.chunks = WordTable(self._encode, remembered)
 
     def _encode(self, chunk: bytes) -> bytes:
         text = chunk.decode()
@@ -71,25 +75,26 @@ class Encoder:
         return b"".join(map(self.chunks.__getitem__, chunks))
 
 
-_encoders: dict[tuple[int, bool], Encoder] = {}
+_encoders: dict[tuple[int, bool, int], Encoder] = {}
 
 
-def encoder(definition: str, space_parts: bool) -> Encoder:
-    """One encoder per Python worker and tokenizer."""
-    key = (hash(definition), space_parts)
+def encoder(definition: str, space_parts: bool, remembered: int = REMEMBERED) -> Encoder:
+    """One encoder per Python worker, tokenizer and number of chunks to remember."""
+    key = (hash(definition), space_parts, remembered)
     if key not in _encoders:
-        _encoders[key] = Encoder(definition, space_parts)
+        _encoders[key] = Encoder(definition, space_parts, remembered)
     return _encoders[key]
 
 
 def map_ids(
-    docs: DataFrame, tokenizer: str, space_parts: bool, make: Callable[[list, list[bytes | None], Callable], list], schema: T.StructType
+    docs: DataFrame, tokenizer: str, space_parts: bool, make: Callable[[list, list[bytes | None], Callable], list], schema: T.StructType,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Rows made from the texts of doc_id, text: make(doc_ids, texts, encode) gives the columns of `schema`."""
     definition = Path(tokenizer).read_text()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(definition, space_parts).ids
+        encode = encoder(definition, space_parts, remembered).ids
         for batch in batches:
             columns = make(batch.column("doc_id").to_pylist(), texts_as_bytes(batch.column("text")), encode)
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)

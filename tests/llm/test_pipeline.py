@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from docflow.llm import sql
+from docflow.llm import packing, sql
 from docflow.llm.common import kept
 from tests.llm import brute
 
@@ -108,3 +108,14 @@ def test_stages_read_wide_rows_in_small_batches(spark, edge):
     spark.conf.unset(name)
     STAGES["mix_sources"](spark, spark.read.parquet(f"{edge}/documents.parquet"), edge)
     assert int(spark.conf.get(name)) <= 512
+
+
+def test_packing_stage_remembers_fewer_chunks(spark, edge, monkeypatch):
+    seen, pack = [], packing.pack
+    monkeypatch.setattr(packing, "pack", lambda *a, **b: seen.append(b.get("remembered", 500_000)) or pack(*a, **b))
+    docs = spark.read.parquet(f"{edge}/documents.parquet")
+    found = STAGES["best_fit_packing"](spark, docs, edge).select("doc_id", "piece", "start", "length", "ids_crc32").collect()
+    assert seen and seen[0] <= 100_000
+    path = public_tokenizers.path("word_bpe_49k.json")
+    few = packing.pieces(docs, path, 4096, 1, remembered=2).select("doc_id", "piece", "start", "length", "ids_crc32").collect()
+    assert Counter(few) == Counter(found)
