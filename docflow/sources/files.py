@@ -1,21 +1,26 @@
 """File bytes by id or by path.
 
 `read_bytes` is a table of all files with their bytes. `index` has their paths and sizes only: a job decides on it which files it wants, and
-the tasks that want them open those and no others. `write_files` lands rows as files.
+the tasks that want them open those and no others. `write_files` lands rows as files. `note_landed` lists a folder in tasks and logs what is
+new there: a stream follows that log, so its driver knows a name for each thousand landed files and not the files.
 """
 
 from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docflow.functions.files import path_stem
+from docflow.sources import folders
 
 FILE = "path string, modificationTime timestamp, length long, content binary"
-# Files of a folder: it is listed by one call.
+LANDED = "path string, length long, landed timestamp"
+# Files of a folder: it is listed by one call. Also those that a file of the log of landed files names.
 FOLDER = 1000
+# Bytes of the files that a task opens before it hands them on.
+OPENED = 4 << 20
 
 
 def file_id(path: Column) -> Column:
@@ -82,13 +87,101 @@ def write_files(rows: DataFrame, path: str, key: str, line: str) -> None:
     lines.mapInArrow(write, "files long").write.format("noop").mode("overwrite").save()
 
 
+def listable(path: str) -> bool:
+    """Whether tasks can list a path: it is no pattern, and has a scheme of `open_path`."""
+    try:
+        return not set(path) & set("*?[]{}\\") and bool(_place(path))
+    except (ValueError, OSError, ImportError):
+        return False
+
+
+def _listed(there: DataFrame) -> DataFrame:
+    """What is in some folders, other folders too. As in Spark's own listings, names that begin with a dot or an underscore are hidden."""
+
+    def hidden(name: str) -> bool:
+        return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        types = (pa.string(), pa.bool_(), pa.int64(), pa.timestamp("us", "UTC"))
+        for path in (p for batch in batches for p in batch.column(0).to_pylist()):
+            system, place = _place(path)
+            own = system.get_file_info(place)
+            found = [own] if own.is_file else [f for f in system.get_file_info(fs.FileSelector(place)) if not hidden(f.base_name)]
+            scheme = "file:" if path.startswith(("file:", "/")) else path.rstrip("/").removesuffix(place.rstrip("/"))
+            for start in range(0, len(found), 10 * FOLDER):
+                part = found[start : start + 10 * FOLDER]
+                # Milliseconds, as Spark's listings have them.
+                rows = ((scheme + f.path, not f.is_file, f.size or 0, (f.mtime_ns or 0) // 1_000_000 * 1000) for f in part)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["path", "folder", "length", "landed"])
+
+    return there.mapInArrow(run, "path string, folder boolean, length long, landed timestamp")
+
+
+def note_landed(spark: SparkSession, path: str, log: str, most: int = FOLDER) -> None:
+    """Add the files that are under `path` and not yet in the log to it, at most `most` to a file of the log.
+
+    Folders are listed by tasks, a level of them at a time. What an ended call left in the log is whole files of it; the next call adds the rest.
+    """
+    tasks = spark.sparkContext.defaultParallelism
+    levels, there = [], spark.createDataFrame([(path,)], "path string")
+    try:
+        while not levels or not there.isEmpty():
+            levels.append(_listed(there.repartition(tasks, "path")).persist(StorageLevel.DISK_ONLY))
+            there = levels[-1].filter("folder").select("path")
+        found = levels[0]
+        for level in levels[1:]:
+            found = found.unionByName(level)
+        known = spark.read.schema(LANDED).parquet(log).select("path")
+        new = found.filter("NOT folder").drop("folder").join(known, "path", "left_anti").persist(StorageLevel.DISK_ONLY)
+        levels.append(new)
+        if not new.isEmpty():
+            new.write.option("maxRecordsPerFile", most).mode("append").parquet(log)
+    finally:
+        for level in levels:
+            level.unpersist()
+
+
+def _opened(landed: DataFrame) -> DataFrame:
+    """path, landed and the bytes of files, opened by the tasks that have their paths. A file that is gone is an error."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(some):
+            types = (pa.string(), pa.binary(), pa.timestamp("us", "UTC"))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), types)], names=["path", "content", "landed"])
+
+        for batch in batches:
+            some, size = [], 0
+            for path, at in zip(*(batch.column(c).to_pylist() for c in ("path", "landed"))):
+                some.append((path, open_path(path), at))
+                size += len(some[-1][1])
+                if size >= OPENED:
+                    yield rows(some)
+                    some, size = [], 0
+            if some:
+                yield rows(some)
+
+    return landed.select("path", "landed").mapInArrow(run, "path string, content binary, landed timestamp")
+
+
 def read_bytes_stream(
-    spark: SparkSession, path: str, id_of: Callable[[Column], Column] = file_id, max_files: int = 1000
+    spark: SparkSession, path: str, id_of: Callable[[Column], Column] = file_id, max_files: int = 1000, log: str | None = None
 ) -> DataFrame:
-    """(id, content, landed) of files as they land."""
-    reader = spark.readStream.format("binaryFile").schema(FILE).option("recursiveFileLookup", True)
-    files = reader.option("maxFilesPerTrigger", max_files).load(path)
-    return files.select(id_of(F.col("path")).alias("id"), "content", F.col("modificationTime").alias("landed"))
+    """(id, content, landed) of files as they land.
+
+    With the log that `note_landed` keeps of them, the stream follows the log and its tasks open the files. Without one the driver lists
+    all files, and holds several kilobytes for each.
+    """
+    if log is None:
+        reader = spark.readStream.format("binaryFile").schema(FILE).option("recursiveFileLookup", True)
+        files = reader.option("maxFilesPerTrigger", max_files).load(path)
+        return files.select(id_of(F.col("path")).alias("id"), "content", F.col("modificationTime").alias("landed"))
+    folders.make(spark, log)
+    names = spark.readStream.schema(LANDED).option("maxFilesPerTrigger", max(1, max_files // FOLDER)).parquet(log)
+    # Names are small and files are not: splits of the log would be too few tasks.
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return _opened(names.repartition(tasks, "path")).select(id_of(F.col("path")).alias("id"), "content", "landed")
 
 
 def read_paths(wanted: DataFrame, files: DataFrame, path: str = "path") -> DataFrame:

@@ -13,6 +13,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def make(spark: SparkSession, path: str) -> None:
+    """A folder and those above it; one that is there is no error."""
+    system, place = _at(spark, path)
+    system.mkdirs(place)
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """What a folder holds; nothing if it is not there."""
     system, place = _at(spark, path)

@@ -1,6 +1,7 @@
 """The stages as streaming queries. Each has its own checkpoint and can be stopped and started alone."""
 
 import hashlib
+import threading
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -16,12 +17,14 @@ from docflow.plans.listing import listing_messages
 from docflow.plans.parse import last_parsed, parse_attempts, parsed_messages, pdf_messages, save_state
 from docflow.schemas import FILE_RECORD, OVERLAP, PARSED_RECORD, WINDOW_SIZE
 from docflow.sources import folders
-from docflow.sources.files import file_id, read_bytes_stream
+from docflow.sources.files import FOLDER, file_id, listable, note_landed, read_bytes_stream
 from docflow.sources.listing import list_files, read_page_stream
 from docflow.sources.topics import batch_of, follow, topic_stream_writer, write_topic
 from docflow.streaming.progress import report
 
 TEXTS = "path string, id string, content string, text_length long, landed timestamp, status string"
+# Seconds between two listings of the folder where files land, while a stream runs on.
+LISTED_EVERY = 10
 
 
 def listing_stage(
@@ -36,18 +39,49 @@ def extract_stage(
     spark: SparkSession, source: str, texts: str, checkpoint: str, extractor: Extractor = utf8_pages,
     id_of: Callable[[Column], Column] = file_id, max_files: int = 1000,
 ) -> DataStreamWriter:
-    """Landed files to texts by path, each landed file extracted once."""
-    landed = read_bytes_stream(spark, source, id_of, max_files)
-    return texts_writer(extract_text(landed, extractor), texts, checkpoint)
+    """Landed files to texts by path, each landed file extracted once.
+
+    The files are listed by tasks, into a log beside the checkpoint that the stream follows; patterns and schemes that Python has no file
+    system for are listed by Spark on the driver.
+    """
+    if not listable(source):
+        return texts_writer(extract_text(read_bytes_stream(spark, source, id_of, max_files), extractor), texts, checkpoint)
+    log = f"{checkpoint}/landed"
+    landed = read_bytes_stream(spark, source, id_of, max_files, log)
+    return texts_writer(extract_text(landed, extractor), texts, checkpoint, lambda: note_landed(spark, source, log, min(FOLDER, max_files)))
+
+
+class LandedWriter(DataStreamWriter):
+    """Of a stream that follows a log: `note` adds to the log when the stream starts and, unless that drains what there is, while it runs."""
+
+    def __init__(self, df: DataFrame, note: Callable[[], None]):
+        super().__init__(df)
+        self._note, self._drains = note, False
+
+    def trigger(self, **options) -> DataStreamWriter:
+        self._drains = bool(options.get("availableNow") or options.get("once"))
+        return super().trigger(**options)
+
+    def start(self, *args, **options) -> StreamingQuery:
+        self._note()
+        query = super().start(*args, **options)
+        if not self._drains:
+            threading.Thread(target=self._go_on, args=(query,), daemon=True).start()
+        return query
+
+    def _go_on(self, query: StreamingQuery) -> None:
+        while not query.awaitTermination(LISTED_EVERY):
+            self._note()
 
 
-def texts_writer(extracted: DataFrame, texts: str, checkpoint: str) -> DataStreamWriter:
+def texts_writer(extracted: DataFrame, texts: str, checkpoint: str, note: Callable[[], None] | None = None) -> DataStreamWriter:
     """Extracted files to a table partitioned by status, so that lookups of texts open successful files only."""
     rows = extracted.select(
         storage_path(F.col("id")).alias("path"), "id", F.col("text").alias("content"), "text_length", "landed", "status"
     )
+    writer = rows.writeStream if note is None else LandedWriter(rows, note)
     return (
-        rows.writeStream.format("parquet")
+        writer.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .option("path", texts)

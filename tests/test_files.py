@@ -1,5 +1,7 @@
 """Files written by tasks, and texts chunked once for all their messages."""
 
+import time
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -7,7 +9,8 @@ from pyspark.sql import functions as F
 from docflow.checks import inputs as I
 from docflow.operators import large_texts
 from docflow.plans.chunk import chunk_messages
-from docflow.sources import files
+from docflow.sources import files, topics as tp
+from docflow.streaming import stages
 
 
 def test_files_are_landed_without_a_folder_each(spark, tmp_path):
@@ -58,3 +61,65 @@ def test_a_range_map_is_smaller_than_its_text():
         again = large_texts.unpacked(data)
         assert (again[0] == exits).all() and (again[1] == counts).all()
         assert len(data) < 500
+
+
+def test_landed_files_are_streamed_without_the_driver_listing_them(spark, tmp_path, monkeypatch):
+    """Files in nested folders, a log file for each few of them, a bounded drain and a stream that runs on."""
+    monkeypatch.setattr(stages, "FOLDER", 2)
+    monkeypatch.setattr(files, "FOLDER", 2)
+    monkeypatch.setattr(stages, "LISTED_EVERY", 1)
+    source, texts, mark = tmp_path / "in", str(tmp_path / "texts"), str(tmp_path / "mark")
+    names = [f"{folder}/f {i}.txt" for i, folder in enumerate(("a", "a", "a", "a/b", "a/b", "."))]
+    hidden = ["_temporary/x.txt", ".y.txt", "a/z.txt._COPYING_"]
+    for name in names + hidden:
+        (source / name).parent.mkdir(parents=True, exist_ok=True)
+        (source / name).write_text(f"text of {name}")
+
+    def stage():
+        return stages.extract_stage(spark, f"file://{source}", texts, mark, max_files=4)
+
+    def found():
+        return sorted((r.id, r.content) for r in stages.read_texts(spark, texts).collect())
+
+    def rows(some):
+        return sorted((name.split("/")[-1][:-4], f"text of {name}") for name in some)
+
+    def logged():
+        return spark.read.schema(files.LANDED).parquet(f"{mark}/landed")
+
+    query = stage().trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert found() == rows(names)
+    # What the stream was given is files of the log, two landed files to each.
+    sources = list((tmp_path / "mark/sources/0").glob("[0-9]*"))
+    assert sources and not any("/in/" in s.read_text() for s in sources)
+    assert max(logged().groupBy(F.input_file_name()).count().toPandas()["count"]) <= 2
+    assert all(p["numInputRows"] <= 4 for p in query.recentProgress) and len(sources) >= 2
+
+    # Modified files are not new, later ones are.
+    (source / "a/f 0.txt").write_text("another text")
+    later = ["c/d/f 6.txt"]
+    (source / "c/d").mkdir(parents=True)
+    (source / later[0]).write_text(f"text of {later[0]}")
+    tp.run_available(stage())
+    assert found() == rows(names + later)
+    before = logged().count()
+    query = stage().trigger(processingTime="200 milliseconds").start()
+    try:
+        (source / "a/f 7.txt").write_text("text of a/f 7.txt")
+        end = time.monotonic() + 60
+        while len(found()) < 8 and time.monotonic() < end:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert found() == rows([*names, *later, "a/f 7.txt"])
+    assert logged().count() == before + 1
+
+
+def test_streams_of_what_tasks_cannot_list(spark, tmp_path):
+    assert files.listable(str(tmp_path)) and files.listable(f"file://{tmp_path}")
+    assert not files.listable(f"{tmp_path}/*") and not files.listable("viewfs://store/in")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.txt").write_text("alpha")
+    tp.run_available(stages.extract_stage(spark, f"{tmp_path}/i*", str(tmp_path / "texts"), str(tmp_path / "mark")))
+    assert [r.content for r in stages.read_texts(spark, str(tmp_path / "texts")).collect()] == ["alpha"]
