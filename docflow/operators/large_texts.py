@@ -5,11 +5,14 @@ out, for every position at which the chain of chunks can enter it, where the cha
 the window has characters. Maps of neighbours are composed into maps of groups of ranges, those into maps of groups of groups. On the way
 back down every range is told where the chain really enters it, and all ranges emit their chunks at once.
 
-A text comes as one row or as many pieces in order; neither its characters nor its ranges ever meet in one task.
+A text comes as one row or as many pieces in order; neither its characters nor its ranges ever meet in one task. Neighbouring short ranges are
+one row, a stretch: the window that a row has after its own characters would else be most of what is shuffled and written, and the maps
+the rest. Their maps are composed where they are made. Characters are written once, and shuffled by no more than two exchanges of a job.
 """
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +26,10 @@ from docflow.schemas import OVERLAP, SENTENCE_LOOK_BACK, WINDOW_SIZE, WORD_LOOK_
 from docflow.session import written
 
 BLOCK = 100_000
-# Ranges, or groups of ranges, that are composed into one.
+# Stretches, or groups of them, that are composed into one.
 GROUP = 256
+# Characters of the ranges that make a stretch; a range as long as this is one by itself.
+STRETCH = 100_000
 SENTENCE_ENDS = np.array([ord(c) for c in ".!?\n"], dtype=np.uint32)
 # chunks: those of a chain that enters at the first place; map: exits and counts of all places, see `packed`.
 MAP = "idx long, chunks long, map binary"
@@ -67,14 +72,30 @@ def leave(following: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def range_map(points: np.ndarray, start: int, block: int, n: int, window: int, overlap: int) -> tuple[np.ndarray, np.ndarray]:
     """Per entry, counted from the range's start: the place of exit, counted from the next range's start, and the chunks between."""
-    left = n - start
-    limit = min(block, left)
-    exits, counts = np.arange(window) - block, np.zeros(window, dtype=np.int64)
-    if limit > 0:
-        to, count = leave(chunk_steps(points, limit, left, n, window, overlap)[1])
-        own = min(window, limit)
-        exits[:own], counts[:own] = to[:own] - block, count[:own]
-    return np.clip(exits, 0, window - 1), counts
+    return next(range_maps(points, start, block, 1, n, window, overlap))
+
+
+def range_maps(points: np.ndarray, start: int, block: int, ranges: int, n: int, window: int, overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The maps of the ranges of a stretch, up to the end of the text; of a stretch after that end, that of the first."""
+    limit = min(ranges * block, n - start)
+    following = chunk_steps(points, limit, n - start, n, window, overlap)[1] if limit > 0 else np.empty(0, dtype=np.int64)
+    for at in range(0, max(limit, 1), block):
+        exits, counts = np.arange(window) - block, np.zeros(window, dtype=np.int64)
+        own = following[at : at + block]
+        if len(own):
+            to, count = leave(own - at)
+            first = min(window, len(own))
+            exits[:first], counts[:first] = to[:first] - block, count[:first]
+        yield np.clip(exits, 0, window - 1), counts
+
+
+def then(before: tuple[np.ndarray, np.ndarray] | None, after: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The map of two neighbours."""
+    if before is None:
+        return after
+    to, total = before
+    exits, counts = after
+    return exits[to], total + counts[to]
 
 
 # --- pieces to ranges ---------------------------------------------------------------------------
@@ -94,19 +115,20 @@ def cleaned_pieces(pieces: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     The same text as cleaning the whole gives: white space that goes on in the next piece is one space, and spaces at both ends of
     the whole go after control characters have gone.
     """
-    collapsed = pieces.select(key, "seq", collapse_spaces(F.col("text")).alias("c"), has_text(F.col("text")).alias("some"))
+    c = collapse_spaces(F.col("text"))
     ends = F.when(F.length("c") > 0, F.struct("seq", F.col("c").endswith(" ").alias("space")))
-    narrow = collapsed.select(key, "seq", ends.alias("ends"))
-    before = earlier(narrow, [key], "seq", {"last": ("max", F.col("ends"))}).select(key, "seq", F.coalesce("last.space", F.lit(False)).alias("after_space"))
-    rows = collapsed.join(before, [key, "seq"])
-    text = F.when(F.col("after_space") & F.col("c").startswith(" "), F.substring("c", F.lit(2), F.length("c"))).otherwise(F.col("c"))
-    body = F.regexp_replace(text, F.lit(CONTROL), F.lit(""))
-    rows = written(rows.select(key, "seq", "some", body.alias("body")), "pieces")
-
-    length = F.length("body").cast("long")
-    placed = earlier(rows.select(key, "seq", "some", length.alias("size"), F.length(F.ltrim("body")).alias("from"), F.length(F.rtrim("body")).alias("to")),
-                     [key], "seq", {"place": ("sum", F.col("size"))})
-    placed = placed.withColumn("place", F.coalesce("place", F.lit(0)))
+    # Of the text without the control characters; a space at its start is there before they go.
+    measured = pieces.select(key, "seq", c.alias("c"), has_text(F.col("text")).alias("some")).withColumn("body", _without_control(F.col("c"))).select(
+        key, "seq", "some", ends.alias("ends"), F.col("c").startswith(" ").alias("lead"), F.length("body").cast("long").alias("size"),
+        F.length(F.ltrim("body")).alias("from"), F.length(F.rtrim("body")).alias("to"),
+    )
+    measured = written(measured, "measures", tidy=True)
+    before = earlier(measured.select(key, "seq", "ends"), [key], "seq", {"last": ("max", F.col("ends"))})
+    rows = measured.drop("ends").join(before.select(key, "seq", F.coalesce("last.space", F.lit(False)).alias("after_space")), [key, "seq"])
+    twice = (F.col("after_space") & F.col("lead")).alias("twice")
+    less = F.col("twice").cast("int")
+    rows = rows.select(key, "seq", "some", twice, "size", "from", "to").withColumns({"size": F.col("size") - less, "to": F.col("to") - less})
+    placed = earlier(rows, [key], "seq", {"place": ("sum", F.col("size"))}).withColumn("place", F.coalesce("place", F.lit(0)))
     letters = F.col("from") > 0
     texts = placed.groupBy(key).agg(
         F.min(F.when(letters, F.col("place") + F.col("size") - F.col("from"))).alias("first"),
@@ -114,12 +136,18 @@ def cleaned_pieces(pieces: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
         F.max("some").alias("some"),
     )
     texts = texts.filter("some").select(key, F.coalesce("first", F.lit(0)).alias("first"), (F.coalesce("last", F.lit(0)) - F.coalesce("first", F.lit(0))).alias("n"))
-    place = placed.join(texts, key).select(key, "seq", (F.col("place") - F.col("first")).alias("place"), "n")
-    return rows.select(key, "seq", "body").join(place, [key, "seq"]).drop("seq"), texts.select(key, "n")
+    places = written(placed.join(texts, key).select(key, "seq", "twice", (F.col("place") - F.col("first")).alias("place"), "n"), "places", tidy=True)
+    body = F.when(F.col("twice"), F.substring("c", F.lit(2), F.length("c"))).otherwise(F.col("c"))
+    rows = pieces.join(places, [key, "seq"]).withColumn("c", c).select(key, _without_control(body).alias("body"), "place", "n")
+    return rows, places.select(key, "n").distinct()
+
+
+def _without_control(text: Column) -> Column:
+    return F.regexp_replace(text, F.lit(CONTROL), F.lit(""))
 
 
 def ranges(pieces: DataFrame, texts: DataFrame, key: str, block: int, window: int) -> DataFrame:
-    """key, idx, n, text: the ranges of the cleaned texts, each with the window after it. A text without characters has one range."""
+    """key, idx, n, text: the stretches, of `block` characters, of the cleaned texts, each with the window after it. A text without characters has one."""
     size = F.length("body")
     start, end = F.greatest("place", F.lit(0)), F.least(F.col("place") + size, F.col("n"))
     lowest = F.greatest(F.lit(0), F.floor((start - window) / block))
@@ -152,18 +180,22 @@ def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(exits), np.cumsum(counts)
 
 
-def _map_batch(keys: pa.Array, maps: list[tuple], key: str) -> pa.RecordBatch:
-    """Rows of MAP of (idx, exits, counts) with their keys."""
-    columns = [[idx for idx, _, _ in maps], [int(counts[0]) for _, _, counts in maps], [packed(exits, counts) for _, exits, counts in maps]]
-    arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()))]
+def _map_batch(keys: pa.Array, maps: Iterable[tuple], key: str) -> pa.RecordBatch:
+    """Rows of MAP of (idx, exits, counts) with their keys; a map is packed before the next is taken."""
+    rows = [(idx, int(counts[0]), packed(exits, counts)) for idx, exits, counts in maps]
+    arrays = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))]
     return pa.RecordBatch.from_arrays([keys, *arrays], names=[key, "idx", "chunks", "map"])
 
 
-def _maps(found: DataFrame, key: str, block: int, window: int, overlap: int) -> DataFrame:
+def _maps(found: DataFrame, key: str, block: int, per: int, window: int, overlap: int) -> DataFrame:
+    """The maps of stretches of `per` ranges."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("idx", "n", "text")))
-            maps = [(idx, *range_map(_code_points(text), idx * block, block, n, window, overlap)) for idx, n, text in rows]
+            maps = (
+                (idx, *reduce(then, range_maps(_code_points(text), idx * per * block, block, per, n, window, overlap), None)) for idx, n, text in rows
+            )
             yield _map_batch(batch.column(key), maps, key)
 
     return found.select(key, "idx", "n", "text").mapInArrow(run, f"{_type(found, key)}, {MAP}")
@@ -190,19 +222,18 @@ def _composed(maps: DataFrame, key: str) -> DataFrame:
     """The maps of groups. A group is read as a stream: only the map so far is held."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = to = total = kind = None
+        last = so_far = kind = None
         for batch in batches:
             kind, done = batch.column(key).type, []
             for own, _, exits, counts in _map_rows(batch, key):
                 if own != last:
                     if last is not None:
-                        done.append((last, to, total))
-                    last, to, total = own, np.arange(len(exits)), np.zeros(len(exits), dtype=np.int64)
-                total = total + counts[to]
-                to = exits[to]
+                        done.append((last, *so_far))
+                    last, so_far = own, None
+                so_far = then(so_far, (exits, counts))
             yield groups(done, kind)
         if last is not None:
-            yield groups([(last, to, total)], kind)
+            yield groups([(last, *so_far)], kind)
 
     def groups(done, kind):
         return _map_batch(pa.array([name for (name, _), _, _ in done], kind), [(group, to, total) for (_, group), to, total in done], key)
@@ -231,11 +262,11 @@ def _entered(maps: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     return rows.mapInArrow(run, f"{_type(maps, key)}, idx long, entry long, first long")
 
 
-def entries(found: DataFrame, key: str, block: int, window: int, overlap: int) -> DataFrame:
-    """key, idx, entry, first, total: for each range where the chain enters, the number of its first chunk, and all chunks of its text."""
-    levels = [written(_maps(found, key, block, window, overlap), "range-maps")]
+def entries(found: DataFrame, key: str, block: int, per: int, window: int, overlap: int) -> DataFrame:
+    """key, idx, entry, first, total: for each stretch where the chain enters, the number of its first chunk, and all chunks of its text."""
+    levels = [written(_maps(found, key, block, per, window, overlap), "range-maps", tidy=True)]
     while (levels[-1].agg(F.max("idx")).first()[0] or 0) > 0:
-        levels.append(written(_composed(levels[-1], key), "group-maps"))
+        levels.append(written(_composed(levels[-1], key), "group-maps", tidy=True))
     zero = F.lit(0).cast("long")
     top = levels.pop()
     totals = top.select(key, F.col("chunks").alias("total"))
@@ -282,8 +313,9 @@ def chunk_pieces(pieces: DataFrame, key: str, window: int = WINDOW_SIZE, overlap
     whole = pieces.filter(F.col(key).isNotNull() & F.col("seq").isNotNull())
     whole = whole.select(key, F.col("seq").cast("long").alias("seq"), F.coalesce("text", F.lit("")).alias("text"))
     cleaned, texts = cleaned_pieces(whole, key)
-    found = written(ranges(cleaned, texts, key, block, window), "ranges")
-    rows = _emitted(found.join(entries(found, key, block, window, overlap), [key, "idx"]), key, block, window, overlap)
+    per = max(1, STRETCH // block)
+    found = written(ranges(cleaned, texts, key, per * block, window), "ranges", tidy=True)
+    rows = _emitted(found.join(entries(found, key, block, per, window, overlap), [key, "idx"]), key, per * block, window, overlap)
     number: Column = F.col("chunkIndex")
     return rows.select(key, chunk_id(F.col(key).cast("string"), number).alias("chunkId"), *CHUNK_FIELDS)
 

@@ -62,8 +62,22 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/docflow/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written to a fresh work folder and read from there: computed once, and there if executors are lost."""
-    path = work_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+# The shuffle files of a job go when it ends; else when the driver's collector finds that no plan needs them.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
+    """The rows, written to a fresh work folder and read from there: computed once, and there if executors are lost.
+
+    With `tidy` the shuffle files of the job that writes them are removed right after it.
+    """
+    spark = df.sparkSession
+    path, before = work_folder(spark, name), spark.conf.get(TIDY)
+    try:
+        if tidy:
+            spark.conf.set(TIDY, "true")
+        df.write.parquet(path)
+    finally:
+        if tidy:
+            spark.conf.set(TIDY, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -198,6 +198,29 @@ def test_large_texts_equal_the_rule(spark, monkeypatch, window, overlap, block,
         assert len(found) == len(expected) and all(r.totalChunks == totals[r.id] and r.chunkId == f"{r.id}_chunk_{r.chunkIndex}" for r in found)
 
 
+@pytest.mark.parametrize("stretch, window, overlap, block, group", [(7, 10, 0, 3, 2), (150, 40, 7, 50, 2), (1, 150, 30, 64, 3)])
+def test_stretches_of_ranges_equal_the_rule(spark, monkeypatch, stretch, window, overlap, block, group):
+    monkeypatch.setattr(large_texts, "STRETCH", stretch)
+    test_large_texts_equal_the_rule(spark, monkeypatch, window, overlap, block, group)
+
+
+def test_short_ranges_are_not_written_with_a_window_each(spark, monkeypatch):
+    tables = {}
+
+    def noted(df, name, *args, **options):
+        tables[name] = large_texts_written(df, name, *args, **options)
+        return tables[name]
+
+    large_texts_written = large_texts.written
+    monkeypatch.setattr(large_texts, "written", noted)
+    text = "Some words of a sentence that ends. " * 6000
+    rows = large_texts.chunk_large_texts(spark.createDataFrame([("a", text)], "id string, text string"), "id", "text", block=500).collect()
+    assert sorted((r.startPosition, r.endPosition, r.chunkText) for r in rows) == rule_chunks(text, 1000, 200)
+    held = [t.agg(F.sum(F.length(c))).first()[0] or 0 for t in tables.values() for c, kind in t.dtypes if kind == "string" and c != "id"]
+    assert len(text) <= sum(held) < 1.1 * len(text)
+    assert tables["range-maps"].count() == 3
+
+
 def test_text_of_all_documents(spark, sf):
     import hashlib
 
