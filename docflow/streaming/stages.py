@@ -2,6 +2,7 @@
 
 import hashlib
 import threading
+import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -70,8 +71,15 @@ class LandedWriter(DataStreamWriter):
         return query
 
     def _go_on(self, query: StreamingQuery) -> None:
-        while not query.awaitTermination(LISTED_EVERY):
-            self._note()
+        while query.isActive:
+            time.sleep(LISTED_EVERY)
+            try:
+                if query.isActive:
+                    self._note()
+            except Exception:
+                # A stream that no longer hears of new files must not look as if it ran.
+                query.stop()
+                raise
 
 
 def texts_writer(extracted: DataFrame, texts: str, checkpoint: str, note: Callable[[], None] | None = None) -> DataStreamWriter:

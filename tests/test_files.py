@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from docflow.checks import inputs as I
 from docflow.operators import large_texts
 from docflow.plans.chunk import chunk_messages
+from docflow.schemas import CHUNK_RECORD, FILE_RECORD
 from docflow.sources import files, topics as tp
 from docflow.streaming import stages
 
@@ -116,6 +117,37 @@ def test_landed_files_are_streamed_without_the_driver_listing_them(spark, tmp_pa
     assert logged().count() == before + 1
 
 
+def test_files_that_land_late_are_parsed_and_not_named_to_the_driver(spark, tmp_path, monkeypatch):
+    """Files land after their messages, all in one micro-batch: the driver gets a name for each ten of them, and every file is chunked."""
+    monkeypatch.setattr(stages, "FOLDER", 10)
+    topics = {n: str(tmp_path / n) for n in ("files", "texts", "parsed", "chunks")}
+    marks = {n: str(tmp_path / f"mark-{n}") for n in topics}
+    rows = spark.range(0, 60).select(F.col("id").alias("offset"), F.col("id").cast("string").alias("id"), F.concat(F.lit("n"), "id").alias("name"),
+                                     F.lit("application/pdf").alias("mimeType"))
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in FILE_RECORD if f.name not in rows.columns]
+    value = F.struct(*[F.col(f.name) for f in FILE_RECORD])
+    messages = rows.select("*", *empty).select(F.col("id").alias("key"), "offset", value.alias("value"))
+
+    def drain():
+        tp.run_available(stages.parse_stage(spark, topics["files"], topics["texts"], topics["parsed"], marks["parsed"]))
+        tp.run_available(stages.chunk_stage(spark, topics["parsed"], topics["texts"], topics["chunks"], marks["chunks"]))
+
+    tp.write_topic(messages, topics["files"])
+    drain()
+    assert tp.read_topic(spark, topics["chunks"], CHUNK_RECORD).count() == 0
+    source = str(tmp_path / "in")
+    files.write_files(rows.filter("id % 2 = 0").withColumn("line", F.concat(F.lit("text "), "id")), source, "id", "line")
+    id_ = lambda path: F.regexp_extract(path, r"/id=(\d+)\.", 1)
+    tp.run_available(stages.extract_stage(spark, source, topics["texts"], marks["texts"], id_of=id_, max_files=1 << 20))
+    tp.write_topic(messages.limit(0), topics["files"])
+    drain()
+    found = tp.read_topic(spark, topics["chunks"], CHUNK_RECORD).select("key", "value.chunkText").collect()
+    assert sorted(map(tuple, found)) == sorted((f"{i}_chunk_0", f"text {i}") for i in range(0, 60, 2))
+    named = [line for s in (tmp_path / "mark-texts/sources/0").glob("[0-9]*") for line in s.read_text().splitlines() if "path" in line]
+    assert named and not any("id=" in line for line in named)
+    assert all(r["count"] <= 10 for r in spark.read.schema(files.LANDED).parquet(f"{marks['texts']}/landed").groupBy(F.input_file_name()).count().collect())
+
+
 def test_streams_of_what_tasks_cannot_list(spark, tmp_path):
     assert files.listable(str(tmp_path)) and files.listable(f"file://{tmp_path}")
     assert not files.listable(f"{tmp_path}/*") and not files.listable("viewfs://store/in")
