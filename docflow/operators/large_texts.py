@@ -124,10 +124,10 @@ def cleaned_pieces(pieces: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     )
     measured = written(measured, "measures", tidy=True)
     before = earlier(measured.select(key, "seq", "ends"), [key], "seq", {"last": ("max", F.col("ends"))})
-    rows = measured.drop("ends").join(before.select(key, "seq", F.coalesce("last.space", F.lit(False)).alias("after_space")), [key, "seq"])
-    twice = (F.col("after_space") & F.col("lead")).alias("twice")
-    less = F.col("twice").cast("int")
-    rows = rows.select(key, "seq", "some", twice, "size", "from", "to").withColumns({"size": F.col("size") - less, "to": F.col("to") - less})
+    before = written(before.select(key, "seq", F.coalesce("last.space", F.lit(False)).alias("after_space")), "spaces", tidy=True)
+    rows = measured.drop("ends").join(before, [key, "seq"])
+    less = (F.col("after_space") & F.col("lead")).cast("int")
+    rows = rows.select(key, "seq", "some", (F.col("size") - less).alias("size"), "from", (F.col("to") - less).alias("to"))
     placed = earlier(rows, [key], "seq", {"place": ("sum", F.col("size"))}).withColumn("place", F.coalesce("place", F.lit(0)))
     letters = F.col("from") > 0
     texts = placed.groupBy(key).agg(
@@ -136,9 +136,9 @@ def cleaned_pieces(pieces: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
         F.max("some").alias("some"),
     )
     texts = texts.filter("some").select(key, F.coalesce("first", F.lit(0)).alias("first"), (F.coalesce("last", F.lit(0)) - F.coalesce("first", F.lit(0))).alias("n"))
-    places = written(placed.join(texts, key).select(key, "seq", "twice", (F.col("place") - F.col("first")).alias("place"), "n"), "places", tidy=True)
-    body = F.when(F.col("twice"), F.substring("c", F.lit(2), F.length("c"))).otherwise(F.col("c"))
-    rows = pieces.join(places, [key, "seq"]).withColumn("c", c).select(key, _without_control(body).alias("body"), "place", "n")
+    places = written(placed.join(texts, key).select(key, "seq", (F.col("place") - F.col("first")).alias("place"), "n"), "places", tidy=True)
+    body = F.when(F.col("after_space") & F.col("c").startswith(" "), F.substring("c", F.lit(2), F.length("c"))).otherwise(F.col("c"))
+    rows = pieces.join(before, [key, "seq"]).join(places, [key, "seq"]).withColumn("c", c).select(key, _without_control(body).alias("body"), "place", "n")
     return rows, places.select(key, "n").distinct()
 
 
@@ -147,7 +147,10 @@ def _without_control(text: Column) -> Column:
 
 
 def ranges(pieces: DataFrame, texts: DataFrame, key: str, block: int, window: int) -> DataFrame:
-    """key, idx, n, text: the stretches, of `block` characters, of the cleaned texts, each with the window after it. A text without characters has one."""
+    """key, idx, n, text, parts: the stretches, of `block` characters, of the cleaned texts, each with the window after it. A text without characters has one.
+
+    Pieces that share a key and a seq overlap: `parts` has those of such a stretch with their places, and is null else.
+    """
     size = F.length("body")
     start, end = F.greatest("place", F.lit(0)), F.least(F.col("place") + size, F.col("n"))
     lowest = F.greatest(F.lit(0), F.floor((start - window) / block))
@@ -156,8 +159,10 @@ def ranges(pieces: DataFrame, texts: DataFrame, key: str, block: int, window: in
     high = F.least(end, (F.col("idx") + 1) * block + window)
     part = F.struct(low.alias("at"), F.substring("body", (low - F.col("place") + 1).cast("int"), (high - low).cast("int")).alias("text"))
     parts = inside.filter(low < high).select(key, "idx", "n", part.alias("part")).groupBy(key, "idx", "n").agg(F.sort_array(F.collect_list("part")).alias("parts"))
-    found = parts.select(key, "idx", "n", F.array_join("parts.text", "").alias("text"))
-    none = texts.filter("n = 0").select(key, F.lit(0).cast("long").alias("idx"), "n", F.lit("").alias("text"))
+    text = F.array_join("parts.text", "")
+    apart = F.length(text) == F.least(F.col("n"), (F.col("idx") + 1) * block + window) - F.col("idx") * block
+    found = parts.select(key, "idx", "n", F.when(apart, text).alias("text"), F.when(~apart, F.col("parts")).alias("parts"))
+    none = texts.filter("n = 0").select(key, F.lit(0).cast("long").alias("idx"), "n", F.lit("").alias("text"), F.lit(None).cast(found.schema["parts"].dataType).alias("parts"))
     return found.unionByName(none)
 
 
@@ -168,6 +173,19 @@ def _code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
 
 
+def _readings(text: str | None, parts: list[dict] | None, start: int, block: int, size: int, n: int, window: int) -> list[tuple[int, int, str]]:
+    """Start, length and text of what of a stretch is read at once: all of it, or each range if pieces overlap."""
+    if parts is None:
+        return [(start, size, text)]
+    found = []
+    for at in range(start, min(start + size, n), block):
+        end = min(n, at + block + window)
+        own = ((p["at"], p["text"]) for p in parts if p["at"] < end and p["at"] + len(p["text"]) > at)
+        own = sorted((max(place, at), part[max(at - place, 0) : end - place]) for place, part in own)
+        found.append((at, block, "".join(part for _, part in own)))
+    return found
+
+
 def packed(exits: np.ndarray, counts: np.ndarray) -> bytes:
     """A map in few bytes: chains of neighbouring places soon meet, so nearly all differences between neighbours are 0 or 1."""
     return zlib.compress(np.diff(exits, prepend=0).astype(np.int32).tobytes() + np.diff(counts, prepend=0).astype(np.int64).tobytes(), 1)
@@ -192,13 +210,15 @@ def _maps(found: DataFrame, key: str, block: int, per: int, window: int, overlap
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("idx", "n", "text")))
-            maps = (
-                (idx, *reduce(then, range_maps(_code_points(text), idx * per * block, block, per, n, window, overlap), None)) for idx, n, text in rows
-            )
+            rows = zip(*(batch.column(c).to_pylist() for c in ("idx", "n", "text", "parts")))
+            maps = ((idx, *reduce(then, of_stretch(idx, n, text, parts), None)) for idx, n, text, parts in rows)
             yield _map_batch(batch.column(key), maps, key)
 
-    return found.select(key, "idx", "n", "text").mapInArrow(run, f"{_type(found, key)}, {MAP}")
+    def of_stretch(idx, n, text, parts):
+        for at, size, read in _readings(text, parts, idx * per * block, block, per * block, n, window):
+            yield from range_maps(_code_points(read), at, block, size // block, n, window, overlap)
+
+    return found.select(key, "idx", "n", "text", "parts").mapInArrow(run, f"{_type(found, key)}, {MAP}")
 
 
 def _type(df: DataFrame, key: str) -> str:
@@ -276,28 +296,30 @@ def entries(found: DataFrame, key: str, block: int, per: int, window: int, overl
     return entered.join(totals, key)
 
 
-def _emitted(found: DataFrame, key: str, block: int, window: int, overlap: int) -> DataFrame:
+def _emitted(found: DataFrame, key: str, block: int, per: int, window: int, overlap: int) -> DataFrame:
     fields = "chunkIndex long, chunkText string, startPosition long, endPosition long, totalChunks long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = ("idx", "n", "text", "entry", "first", "total")
+            names = ("idx", "n", "text", "parts", "entry", "first", "total")
             rows, own = [], []
-            for i, (idx, n, text, entry, first, total) in enumerate(zip(*(batch.column(c).to_pylist() for c in names))):
-                start = idx * block
-                limit = min(block, n - start)
-                spans, p = ([(0, 0)], 0) if n == 0 else ([], entry)
-                ends, following = chunk_steps(_code_points(text), limit, n - start, n, window, overlap) if p < limit else ((), ())
-                while p < limit:
-                    spans.append((p, int(ends[p])))
-                    p = int(following[p])
-                rows += [(first + k, text[s:e], start + s, start + e, max(total, 1)) for k, (s, e) in enumerate(spans)]
+            for i, (idx, n, text, parts, p, first, total) in enumerate(zip(*(batch.column(c).to_pylist() for c in names))):
+                spans = [("", 0, 0)] if n == 0 else []
+                for at, size, read in _readings(text, parts, idx * per * block, block, per * block, n, window):
+                    limit = min(size, n - at)
+                    ends, following = chunk_steps(_code_points(read), limit, n - at, n, window, overlap) if p < limit else ((), ())
+                    while p < limit:
+                        end = int(ends[p])
+                        spans.append((read[p:end], at + p, at + end))
+                        p = int(following[p])
+                    p = min(max(p - size, 0), window - 1)
+                rows += [(first + k, *span, max(total, 1)) for k, span in enumerate(spans)]
                 own += [i] * len(spans)
             if rows:
                 arrays = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()))]
                 yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(own)), *arrays], names=[key, *CHUNK_FIELDS])
 
-    columns = found.select(key, "idx", "n", "text", "entry", "first", "total")
+    columns = found.select(key, "idx", "n", "text", "parts", "entry", "first", "total")
     return columns.mapInArrow(run, f"{_type(found, key)}, {fields}")
 
 
@@ -315,7 +337,7 @@ def chunk_pieces(pieces: DataFrame, key: str, window: int = WINDOW_SIZE, overlap
     cleaned, texts = cleaned_pieces(whole, key)
     per = max(1, STRETCH // block)
     found = written(ranges(cleaned, texts, key, per * block, window), "ranges", tidy=True)
-    rows = _emitted(found.join(entries(found, key, block, per, window, overlap), [key, "idx"]), key, per * block, window, overlap)
+    rows = _emitted(found.join(entries(found, key, block, per, window, overlap), [key, "idx"]), key, block, per, window, overlap)
     number: Column = F.col("chunkIndex")
     return rows.select(key, chunk_id(F.col(key).cast("string"), number).alias("chunkId"), *CHUNK_FIELDS)
 

@@ -204,6 +204,14 @@ def test_stretches_of_ranges_equal_the_rule(spark, monkeypatch, stretch, window,
     test_large_texts_equal_the_rule(spark, monkeypatch, window, overlap, block, group)
 
 
+def test_pieces_that_share_a_place_are_read_range_by_range():
+    """As when each range was a row: a range has the parts of all pieces that reach into it, in order."""
+    parts = [{"at": at, "text": text} for at, text in ((0, "abcdef"), (0, "abcdef"), (6, "abcdef"), (6, "abcdef"))]
+    read = large_texts._readings(None, parts, 0, 4, 8, 12, 2)
+    assert read == [(0, 4, "abcdef" * 2), (4, 4, "efef" + "abcd" * 2)]
+    assert large_texts._readings("abcdefghij", None, 8, 4, 8, 18, 2) == [(8, 8, "abcdefghij")]
+
+
 def test_short_ranges_are_not_written_with_a_window_each(spark, monkeypatch):
     tables = {}
 
